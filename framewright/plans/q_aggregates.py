@@ -1,0 +1,252 @@
+"""Queries over aggregates and windows."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framewright.operators import aggregate as agg
+from framewright.operators import windows
+from framewright.plans.catalog import register
+from framewright.sources.tables import Tables
+
+
+@register("agg_counts", covers=("A1", "A2", "A4", "A9", "L2"), oracle="""
+SELECT count(*) AS n_rows, count(nullif(l_discount, 0.0)) AS n_discounted,
+       count(DISTINCT l_partkey) AS n_parts, sum(DISTINCT l_quantity) AS sum_distinct_quantity
+FROM lineitem
+""")
+def agg_counts(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    return li.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count(F.nullif(F.col("l_discount"), F.lit(0.0))).alias("n_discounted"),
+                  F.count_distinct("l_partkey").alias("n_parts"),
+                  F.sum_distinct("l_quantity").alias("sum_distinct_quantity"))
+
+
+@register("agg_stats", covers=("A10", "A11", "A12", "A13", "A14", "A15", "A16"), oracle="""
+SELECT round(avg(l_quantity), 6) AS avg_x, round(avg(l_quantity), 6) AS mean_x,
+       round(sum(l_quantity) / count(l_quantity), 6) AS sum_over_count_x,
+       round(var_pop(l_quantity), 6) AS var_pop_x, round(var_samp(l_quantity), 6) AS var_samp_x,
+       round(stddev_pop(l_quantity), 6) AS stddev_pop_x, round(stddev_samp(l_quantity), 6) AS stddev_samp_x,
+       round(skewness(l_quantity) * (count(l_quantity) - 2) / sqrt(count(l_quantity) * (count(l_quantity) - 1)), 6)
+         AS skewness_x,
+       round(kurtosis_pop(l_quantity), 6) AS kurtosis_x,
+       round(corr(l_quantity, l_discount), 6) AS corr_xy,
+       round(covar_samp(l_quantity, l_discount), 6) AS covar_samp_xy,
+       round(covar_pop(l_quantity, l_discount), 6) AS covar_pop_xy
+FROM lineitem
+""")
+def agg_stats(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    cols = agg.moments("l_quantity", "l_discount")
+    out = li.agg(*cols)
+    return out.select(*[F.round(F.col(c), 6).alias(c) for c in out.columns])
+
+
+@register("agg_approx", covers=("A5", "A28"))
+def agg_approx(spark, sf_dir):
+    """Rows only: sketch answers are within a stated error, not equal to exact answers
+    (tests check the error bound)."""
+    li = Tables(spark, sf_dir).lineitem
+    return li.agg(agg.approx_distinct("l_partkey", 0.1).alias("approx_parts"),
+                  agg.approx_quantiles("l_quantity", [0.25, 0.5, 0.75]).alias("quartiles"))
+
+
+@register("agg_collect", covers=("A17",), oracle="""
+SELECT c_nationkey, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS segments
+FROM customer GROUP BY c_nationkey
+""")
+def agg_collect(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    return c.groupBy("c_nationkey").agg(F.array_join(agg.sorted_set("c_mktsegment"), ",").alias("segments"))
+
+
+@register("agg_collect_pairs", covers=("A17",), oracle="""
+SELECT c_nationkey, string_agg(c_mktsegment || ':' || n, ',' ORDER BY c_mktsegment) AS segment_counts
+FROM (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY 1, 2)
+GROUP BY c_nationkey
+""")
+def agg_collect_pairs(spark, sf_dir):
+    c = Tables(spark, sf_dir).customer
+    lists = agg.sorted_list_of_pairs(c, ["c_nationkey"], "c_mktsegment")
+    text = F.array_join(F.transform("c_mktsegment_counts",
+                                    lambda x: F.concat(x["c_mktsegment"], F.lit(":"), x["n"].cast("string"))), ",")
+    return lists.select("c_nationkey", text.alias("segment_counts"))
+
+
+@register("agg_first_last_by", covers=("A6",), oracle="""
+SELECT o_custkey, arg_min(o_totalprice, o_orderkey) AS price_first, arg_max(o_totalprice, o_orderkey) AS price_last,
+       min(o_orderdate) AS first_date, max(o_orderdate) AS last_date
+FROM orders GROUP BY o_custkey
+""")
+def agg_first_last_by(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return o.groupBy("o_custkey").agg(*agg.first_last_by("o_totalprice", "o_orderkey", "price"),
+                                      F.min("o_orderdate").alias("first_date"),
+                                      F.max("o_orderdate").alias("last_date"))
+
+
+@register("agg_multi", covers=("A3", "A18", "A19"), oracle="""
+SELECT l_returnflag, l_linestatus, count(*) AS n, sum(l_quantity) AS sum_qty,
+       round(avg(l_extendedprice), 4) AS avg_price, round(stddev_samp(l_quantity), 6) AS sd_qty,
+       max(l_discount) AS max_disc
+FROM lineitem GROUP BY l_returnflag, l_linestatus
+""")
+def agg_multi(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    return agg.group_agg(li, ["l_returnflag", "l_linestatus"],
+                         F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("sum_qty"),
+                         F.round(F.avg("l_extendedprice"), 4).alias("avg_price"),
+                         F.round(F.stddev_samp("l_quantity"), 6).alias("sd_qty"),
+                         F.expr("max(l_discount)").alias("max_disc"))
+
+
+@register("agg_numeric_averages", covers=("A20",), oracle="""
+SELECT l_returnflag, round(avg(l_quantity), 6) AS avg_l_quantity, round(avg(l_discount), 6) AS avg_l_discount,
+       round(avg(l_tax), 6) AS avg_l_tax
+FROM lineitem GROUP BY l_returnflag
+""")
+def agg_numeric_averages(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.select("l_returnflag", "l_quantity", "l_discount", "l_tax")
+    out = agg.averages_of_numeric(li, ["l_returnflag"])
+    return out.select("l_returnflag", *[F.round(c, 6).alias(c) for c in out.columns if c != "l_returnflag"])
+
+
+_GROUPED_INPUT = "(SELECT CAST(l_shipdate AS DATE) AS ship_date, l_returnflag, l_quantity FROM lineitem)"
+
+
+def _ship_flag(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    return li.select(F.to_date("l_shipdate").alias("ship_date"), "l_returnflag", "l_quantity")
+
+
+_AGGS_SQL = "sum(l_quantity) AS total_quantity, count(*) AS n, grouping(ship_date, l_returnflag) AS grouping_id"
+
+
+def _aggs():
+    return F.sum("l_quantity").alias("total_quantity"), F.count(F.lit(1)).alias("n")
+
+
+@register("agg_rollup", covers=("A21", "A24"), oracle=f"""
+SELECT ship_date, l_returnflag, {_AGGS_SQL} FROM {_GROUPED_INPUT}
+GROUP BY ROLLUP (ship_date, l_returnflag)
+""")
+def agg_rollup(spark, sf_dir):
+    return agg.rollup(_ship_flag(spark, sf_dir), ["ship_date", "l_returnflag"], *_aggs())
+
+
+@register("agg_cube", covers=("A22", "A24"), oracle=f"""
+SELECT ship_date, l_returnflag, {_AGGS_SQL} FROM {_GROUPED_INPUT}
+GROUP BY CUBE (ship_date, l_returnflag)
+""")
+def agg_cube(spark, sf_dir):
+    return agg.cube(_ship_flag(spark, sf_dir), ["ship_date", "l_returnflag"], *_aggs())
+
+
+@register("agg_grouping_sets", covers=("A23", "A24"), oracle=f"""
+SELECT ship_date, l_returnflag, {_AGGS_SQL} FROM {_GROUPED_INPUT}
+GROUP BY GROUPING SETS ((ship_date), (l_returnflag))
+""")
+def agg_grouping_sets(spark, sf_dir):
+    return agg.grouping_sets(_ship_flag(spark, sf_dir), [["ship_date"], ["l_returnflag"]],
+                             ["ship_date", "l_returnflag"], *_aggs())
+
+
+# The return flags of the test tables, given so the pivot needs no extra job.
+RETURN_FLAGS = ["A", "N", "R"]
+
+
+@register("agg_pivot", covers=("A25",), oracle="""
+SELECT l_suppkey,
+       sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS "A",
+       sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS "N",
+       sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS "R"
+FROM lineitem GROUP BY l_suppkey
+""")
+def agg_pivot(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem
+    return agg.pivot(li, ["l_suppkey"], "l_returnflag", RETURN_FLAGS, F.sum("l_quantity"))
+
+
+@register("crosstab_pairs", covers=("A29",), oracle="""
+SELECT p_type, p_size, count(*) AS n FROM part GROUP BY p_type, p_size
+""")
+def crosstab_pairs(spark, sf_dir):
+    return agg.crosstab_pairs(Tables(spark, sf_dir).part, "p_type", "p_size")
+
+
+# The part types of the test tables (the wide crosstab's columns).
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("crosstab_wide", covers=("A29",), oracle="SELECT p_brand AS p_brand_p_type, " + ", ".join(
+    f"count(*) FILTER (WHERE p_type = '{t}') AS \"{t}\"" for t in PART_TYPES) + " FROM part GROUP BY p_brand")
+def crosstab_wide(spark, sf_dir):
+    return agg.crosstab(Tables(spark, sf_dir).part, "p_brand", "p_type", PART_TYPES)
+
+
+@register("freq_items", covers=("A30",))
+def freq_items(spark, sf_dir):
+    """Rows only: the frequent-items sketch may report false positives."""
+    return agg.frequent_items(Tables(spark, sf_dir).part, ["p_type", "p_brand"], 0.1)
+
+
+@register("frequent_values", covers=("A30",), oracle="""
+SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand
+HAVING count(*) >= 0.04 * (SELECT count(*) FROM part)
+""")
+def frequent_values(spark, sf_dir):
+    return agg.frequent_values(Tables(spark, sf_dir).part, "p_brand", 0.04)
+
+
+@register("describe_table", covers=("A27",))
+def describe_table(spark, sf_dir):
+    """Rows only: every cell is text formatted by Spark."""
+    return agg.summary(Tables(spark, sf_dir).part, "p_size", "p_retailprice")
+
+
+@register("spend_per_customer_day", covers=("A26", "D12"), oracle="""
+SELECT o_custkey, date_trunc('day', o_orderdate) AS window_start,
+       date_trunc('day', o_orderdate) + INTERVAL 1 DAY AS window_end,
+       round(sum(o_totalprice), 2) AS total_spend, count(*) AS n_orders
+FROM orders GROUP BY 1, 2, 3
+""")
+def spend_per_customer_day(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    return agg.time_bucket(o, ["o_custkey"], "o_orderdate", "1 day",
+                           F.round(F.sum("o_totalprice"), 2).alias("total_spend"),
+                           F.count(F.lit(1)).alias("n_orders"))
+
+
+_RANK_SQL = """
+SELECT l_suppkey, ship_date, l_orderkey, l_linenumber, l_quantity,
+       max(l_quantity) OVER (PARTITION BY l_suppkey, ship_date ORDER BY l_quantity DESC
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_quantity,
+       dense_rank() OVER (PARTITION BY l_suppkey, ship_date ORDER BY l_quantity DESC) AS quantity_dense_rank,
+       rank() OVER (PARTITION BY l_suppkey, ship_date ORDER BY l_quantity DESC) AS quantity_rank
+FROM (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS ship_date, l_orderkey, l_linenumber, l_quantity
+      FROM lineitem WHERE l_suppkey IS NOT NULL)
+"""
+_RANK_NAMES = ("max_quantity", "quantity_dense_rank", "quantity_rank")
+
+
+def _rank_input(spark, sf_dir):
+    li = Tables(spark, sf_dir).lineitem.where(F.col("l_suppkey").isNotNull())
+    return li.select("l_suppkey", F.to_date("l_shipdate").alias("ship_date"), "l_orderkey", "l_linenumber",
+                     "l_quantity")
+
+
+def _long_ranks(df):
+    return df.withColumns({n: F.col(n).cast("long") for n in _RANK_NAMES[1:]})
+
+
+@register("ranked_purchases", covers=("W1", "W2", "W3", "W4", "W5", "F13"), oracle=_RANK_SQL)
+def ranked_purchases(spark, sf_dir):
+    return _long_ranks(windows.ranked_report(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],
+                                             "l_quantity", _RANK_NAMES))
+
+
+@register("ranked_purchases_window", covers=("W1", "W2", "W3", "W4", "W5"), oracle=_RANK_SQL)
+def ranked_purchases_window(spark, sf_dir):
+    return _long_ranks(windows.ranked_report_window(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],
+                                                    "l_quantity", _RANK_NAMES))
