@@ -72,8 +72,8 @@ def epoch_nanos(ts: Column) -> Column:
 def from_epoch_nanos(nanos: Column) -> Column:
     """D11/R10 exact form: nanoseconds since the epoch to an NTZ timestamp (microseconds kept,
     sub-microsecond part truncated)."""
-    return F.timestamp_add("MICROSECOND", F.floor(nanos / 1000).cast("long"),
-                           F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    micros = F.floor(nanos.cast("decimal(20,0)") / F.lit(1000)).cast("long")   # exact, no double
+    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
 
 
 def from_epoch_nanos_double(nanos: Column) -> Column:
