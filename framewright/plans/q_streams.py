@@ -1,0 +1,133 @@
+"""Structured Streaming queries over the events table.
+
+Each builder runs a streaming query over the ``events`` file of the folder (files-per-trigger
+limit 1), drains it into its sink and returns the result table as a batch frame.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framewright.plans.catalog import register
+from framewright.sources.tables import Tables
+from framewright.streaming import operators as so
+from framewright.streaming.sinks import run_to_table, unique_name
+from framewright.streaming.sources import table_stream
+
+
+def _events(spark, sf_dir):
+    return table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
+
+
+@register("stream_count", covers=("R1", "R13", "R14", "R15", "R16", "S13", "S19", "S20"), oracle="""
+SELECT event_type, count(*) AS count FROM events GROUP BY event_type
+""")
+def stream_count(spark, sf_dir):
+    counts = so.count_by(_events(spark, sf_dir), "event_type")
+    return run_to_table(counts, "complete", unique_name("stream_count"), spark)
+
+
+@register("stream_filter", covers=("R2", "F12", "F13"), oracle="""
+SELECT event_id, user_id, event_type FROM events
+WHERE event_type LIKE '%i%' AND props IS NOT NULL
+""")
+def stream_filter(spark, sf_dir):
+    ev = _events(spark, sf_dir)
+    out = (ev.withColumn("has_i", F.expr("event_type LIKE '%i%'")).where("has_i")
+           .where("props IS NOT NULL").select("event_id", "user_id", "event_type"))
+    return run_to_table(out, "append", unique_name("stream_filter"), spark)
+
+
+@register("stream_cube", covers=("R3", "A20", "A22"), oracle="""
+SELECT event_type, user_id, round(sum(value), 2) / count(value) AS avg_value,
+       grouping(event_type, user_id) AS grouping_id
+FROM events GROUP BY CUBE (event_type, user_id)
+""")
+def stream_cube(spark, sf_dir):
+    ev = _events(spark, sf_dir).drop("props", "ts")
+    numeric = [c for c, t in ev.dtypes if t in ("double", "bigint", "int") and c not in ("event_type", "user_id")]
+    # Averages as (sum rounded to the data's 2 decimals) / count: the same double in any engine
+    # and any summation order, so results compare exactly.
+    cubed = ev.cube("event_type", "user_id").agg(
+        *[(F.round(F.sum(c), 2) / F.count(c)).alias(f"avg_{c}") for c in numeric],
+        F.grouping_id().alias("grouping_id"))
+    cubed = cubed.drop("avg_event_id")          # averaged like every numeric column, then dropped
+    res = run_to_table(cubed, "complete", unique_name("stream_cube"), spark)
+    return res.select("event_type", "user_id", "avg_value", "grouping_id")
+
+
+@register("stream_static_join", covers=("R4", "J15"), oracle="""
+SELECT s.event_type, s.user_id, s.stream_avg, h.static_max
+FROM (SELECT event_type, user_id, round(sum(value), 2) / count(value) AS stream_avg
+      FROM events GROUP BY CUBE (event_type, user_id)) s
+JOIN (SELECT event_type, user_id, max(value) AS static_max FROM events GROUP BY event_type, user_id) h
+  USING (event_type, user_id)
+""")
+def stream_static_join(spark, sf_dir):
+    static = Tables(spark, sf_dir).events.groupBy("event_type", "user_id").agg(F.max("value").alias("static_max"))
+    cubed = (_events(spark, sf_dir).select("event_type", "user_id", "value")
+             .cube("event_type", "user_id").agg((F.round(F.sum("value"), 2) / F.count("value")).alias("stream_avg")))
+    # Cube subtotal rows carry null keys and find no partner in the inner join on two keys.
+    joined = cubed.join(static, ["event_type", "user_id"])
+    res = run_to_table(joined, "complete", unique_name("stream_static_join"), spark)
+    return res.select("event_type", "user_id", "stream_avg", "static_max")
+
+
+@register("stream_tumbling", covers=("R5", "D12", "A26"), oracle="""
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       user_id, round(sum(value), 2) AS total_value
+FROM events GROUP BY 1, 2, user_id
+""")
+def stream_tumbling(spark, sf_dir):
+    out = so.windowed(_events(spark, sf_dir), "ts", "1 day", None, ["user_id"],
+                      F.sum("value").alias("total_value"))
+    res = run_to_table(out, "complete", unique_name("stream_tumbling"), spark)
+    return res.select("window_start", "window_end", "user_id", F.round("total_value", 2).alias("total_value"))
+
+
+@register("stream_tumbling_count", covers=("R6",), oracle="""
+SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start,
+       time_bucket(INTERVAL 10 MINUTE, ts) + INTERVAL 10 MINUTE AS window_end, count(*) AS count
+FROM events GROUP BY 1, 2
+""")
+def stream_tumbling_count(spark, sf_dir):
+    out = so.windowed(_events(spark, sf_dir), "ts", "10 minutes", None, [], F.count(F.lit(1)).alias("count"))
+    return run_to_table(out, "complete", unique_name("stream_tumbling_count"), spark)
+
+
+_SLIDING_SQL = """
+SELECT ws AS window_start, ws + INTERVAL 10 MINUTE AS window_end, count(*) AS count
+FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS ws FROM events
+      UNION ALL
+      SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE FROM events)
+GROUP BY ws
+"""
+
+
+@register("stream_sliding", covers=("R7",), oracle=_SLIDING_SQL)
+def stream_sliding(spark, sf_dir):
+    out = so.windowed(_events(spark, sf_dir), "ts", "10 minutes", "5 minutes", [], F.count(F.lit(1)).alias("count"))
+    return run_to_table(out, "complete", unique_name("stream_sliding"), spark)
+
+
+@register("stream_watermark", covers=("R8",), oracle=f"""
+SELECT * FROM ({_SLIDING_SQL})
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
+""")
+def stream_watermark(spark, sf_dir):
+    """Append mode: a window is emitted once the watermark (max event time - 30 minutes)
+    passes its end; windows still open at the end of the input are not emitted."""
+    out = so.windowed(_events(spark, sf_dir), "ts", "10 minutes", "5 minutes", [], F.count(F.lit(1)).alias("count"),
+                      watermark="30 minutes")
+    return run_to_table(out, "append", unique_name("stream_watermark"), spark)
+
+
+@register("stream_dedup", covers=("R9",), oracle="""
+SELECT user_id, count(*) AS count FROM (SELECT DISTINCT user_id, ts FROM events) GROUP BY user_id
+""")
+def stream_dedup(spark, sf_dir):
+    ev = _events(spark, sf_dir).select("user_id", "ts", "event_type")
+    again = _events(spark, sf_dir).select("user_id", "ts", "event_type").where("event_type = 'view'")
+    deduped = so.deduplicated(ev.unionByName(again), ["user_id"], "ts", "5 seconds")
+    counts = deduped.groupBy("user_id").count()
+    return run_to_table(counts, "complete", unique_name("stream_dedup"), spark)
