@@ -250,3 +250,27 @@ def ranked_purchases(spark, sf_dir):
 def ranked_purchases_window(spark, sf_dir):
     return _long_ranks(windows.ranked_report_window(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],
                                                     "l_quantity", _RANK_NAMES))
+
+
+@register("events_user_day", covers=("A26", "D12"), oracle="""
+SELECT user_id, date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+       count(*) AS n_events, round(sum(value), 2) AS total_value
+FROM events GROUP BY 1, 2, 3
+""")
+def events_user_day(spark, sf_dir):
+    ev = Tables(spark, sf_dir).events
+    return agg.time_bucket(ev, ["user_id"], "ts", "1 day", F.count(F.lit(1)).alias("n_events"),
+                           F.round(F.sum("value"), 2).alias("total_value"))
+
+
+@register("count_distinct_parts", covers=("A4",), oracle="""
+SELECT count(DISTINCT l_partkey) AS n_parts FROM lineitem
+""")
+def count_distinct_parts(spark, sf_dir):
+    return Tables(spark, sf_dir).lineitem.agg(F.count_distinct("l_partkey").alias("n_parts"))
+
+
+@register("approx_distinct_parts", covers=("A5",))
+def approx_distinct_parts(spark, sf_dir):
+    """Rows only: a HyperLogLog++ estimate with relative error 0.1."""
+    return Tables(spark, sf_dir).lineitem.agg(agg.approx_distinct("l_partkey", 0.1).alias("approx_parts"))

@@ -1,0 +1,39 @@
+"""Feature pipeline and clustering over the order lines (retail stand-in)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from framewright.operators import features
+from framewright.operators.filters import time_split
+from framewright.plans.catalog import register
+from framewright.sources.tables import Tables
+
+
+def retail_lines(spark, sf_dir):
+    """Retail roles: unit price, quantity and invoice date of each order line."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_quantity", "l_extendedprice")
+    o = t.orders.select("o_orderkey", "o_orderdate")
+    lines = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    return lines.select((F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+                        F.col("l_quantity").alias("quantity"), F.col("o_orderdate").alias("invoice_date"))
+
+
+@register("kmeans_cost", covers=("M1", "M2", "M3", "M4", "M5", "M6", "M7", "F14", "O11"))
+def kmeans_cost(spark, sf_dir):
+    """Rows only: cluster costs depend on the seeded initialisation."""
+    prepped = features.prepare(retail_lines(spark, sf_dir), "invoice_date")
+    train, test = time_split(prepped, "invoice_date", "2000-01-01")
+    stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
+    train_f = stages.transform(train).select("features").cache()   # KMeans iterates over it
+    try:
+        model = features.fit_kmeans(train_f, k=20, seed=1)
+        # Both costs are distributed aggregates; only the two resulting numbers reach the driver.
+        train_cost = features.clustering_cost(spark, model, train_f).first()["cost"]
+        test_cost = features.clustering_cost(spark, model, stages.transform(test).select("features")).first()["cost"]
+        return spark.createDataFrame(
+            [(float(train_cost), float(test_cost), float(model.summary.trainingCost), model.getK())],
+            "train_cost double, test_cost double, summary_train_cost double, k int")
+    finally:
+        train_f.unpersist()

@@ -345,3 +345,25 @@ def sample_split(spark, sf_dir):
     parts = s.unionByName(a.select(F.lit("split_25").alias("part"))).unionByName(
         b.select(F.lit("split_75").alias("part")))
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("join_lines_orders", covers=("J1",), oracle="""
+SELECT l.l_orderkey, l.l_linenumber, l.l_quantity, o.o_custkey, o.o_orderdate
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+""")
+def join_lines_orders(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    return joins.join(li, o, [("l_orderkey", "o_orderkey")]).drop("o_orderkey")
+
+
+@register("semi_orders_with_lines", covers=("J5",), oracle="""
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+""")
+def semi_orders_with_lines(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    returned = t.lineitem.where(F.col("l_returnflag") == "R")
+    return joins.semi_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), returned,
+                           [("o_orderkey", "l_orderkey")])
