@@ -58,9 +58,10 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
     by_value = Window.partitionBy(*keys).orderBy(F.col(value).desc())
     before = by_value.rowsBetween(Window.unboundedPreceding, -1)
+    # All three functions share one partitioning and ordering: one sort of the counts.
     ranks = counts.select(
         *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], F.col(value).alias("__v"),
-        F.max(F.col(value)).over(Window.partitionBy(*keys)).alias(names[0]),
+        F.max(F.col(value)).over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(names[0]),
         F.row_number().over(by_value).alias(names[1]),
         (F.coalesce(F.sum(F.col(n)).over(before), F.lit(0)) + 1).cast("int").alias(names[2]),
     )
