@@ -367,3 +367,19 @@ def semi_orders_with_lines(spark, sf_dir):
     returned = t.lineitem.where(F.col("l_returnflag") == "R")
     return joins.semi_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), returned,
                            [("o_orderkey", "l_orderkey")])
+
+
+@register("comparison_flags", covers=("F3", "F4", "D9", "P6"), oracle="""
+SELECT o_orderkey, o_orderstatus = 'F' AS is_finished, o_orderstatus <> 'O' AS not_open,
+       o_orderstatus != 'P' AS not_pending, o_totalprice < 100000 AS small, o_totalprice > 300000 AS large,
+       o_totalprice >= 200000 AS at_least_200k, CAST(o_orderdate AS DATE) >= DATE '1998-01-01' AS recent
+FROM orders
+""")
+def comparison_flags(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    price = F.col("o_totalprice")
+    return o.select("o_orderkey", (F.col("o_orderstatus") == "F").alias("is_finished"),
+                    F.expr("o_orderstatus <> 'O'").alias("not_open"), F.expr("o_orderstatus != 'P'").alias("not_pending"),
+                    (price < 100000).alias("small"), (price > 300000).alias("large"),
+                    (price >= 200000).alias("at_least_200k"),
+                    (F.to_date("o_orderdate") >= F.to_date(F.lit("1998-01-01"))).alias("recent"))

@@ -19,7 +19,7 @@ def _events(spark, sf_dir):
     return table_stream(spark, sf_dir, "events", max_files_per_trigger=1)
 
 
-@register("stream_count", covers=("R1", "R13", "R14", "R15", "R16", "S13", "S19", "S20"), oracle="""
+@register("stream_count", covers=("R1", "R12", "R13", "R14", "R15", "R16", "R17", "S13", "S19", "S20", "P15"), oracle="""
 SELECT event_type, count(*) AS count FROM events GROUP BY event_type
 """)
 def stream_count(spark, sf_dir):
