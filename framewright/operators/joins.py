@@ -87,6 +87,19 @@ def _padded(df: DataFrame, first: list[str], other: DataFrame, other_first: bool
     return df.select(*(nulls + own if other_first else own + nulls))
 
 
+def _unmatched(side: DataFrame, other: DataFrame, pairs: list[tuple[str, str]], other_first: bool) -> list[DataFrame]:
+    """Rows of ``side`` without a partner in ``other``, padded with typed nulls.  Rows with a null
+    key never match and skip the anti join, so the anti join reads exactly the non-null-key input
+    the inner join reads and Spark can reuse that shuffle instead of repeating it."""
+    keys = [F.col(k) for k, _ in pairs]
+    not_null = keys[0].isNotNull()
+    for k in keys[1:]:
+        not_null = not_null & k.isNotNull()
+    unmatched = anti_join(side.where(not_null), other, pairs)
+    null_keyed = side.where(~not_null)
+    return [_padded(unmatched, side.columns, other, other_first), _padded(null_keyed, side.columns, other, other_first)]
+
+
 def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence, how: str = "full",
                skew_safe: bool = True) -> DataFrame:
     """``how`` in ``left``, ``right``, ``full``.  Output columns are all left columns then
@@ -106,11 +119,9 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence, how: str =
         return left.join(right, _condition(left, right, pairs), how).select(*left.columns, *right.columns)
     parts = [left.join(right, _condition(left, right, pairs), "inner").select(*left.columns, *right.columns)]
     if how in ("left", "full"):
-        unmatched = anti_join(left, right, pairs)
-        parts.append(_padded(unmatched, left.columns, right, other_first=False))
+        parts += _unmatched(left, right, pairs, other_first=False)
     if how in ("right", "full"):
-        unmatched = anti_join(right, left, [(rk, lk) for lk, rk in pairs])
-        parts.append(_padded(unmatched, right.columns, left, other_first=True))
+        parts += _unmatched(right, left, [(rk, lk) for lk, rk in pairs], other_first=True)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -324,8 +324,11 @@ SELECT l_suppkey, l_shipdate, l_quantity FROM lineitem
 """)
 def repartition_by_key(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem.select("l_suppkey", "l_shipdate", "l_quantity")
-    clustered = ordering.repartition(li, 16, "l_suppkey")
-    return ordering.coalesce(ordering.sort_within_partitions(clustered, "l_suppkey", "l_shipdate"), 8)
+    # Partition counts follow the session's shuffle width, never a constant: the same code then
+    # sizes itself on a laptop and on a cluster.
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    clustered = ordering.repartition(li, n, "l_suppkey")
+    return ordering.coalesce(ordering.sort_within_partitions(clustered, "l_suppkey", "l_shipdate"), max(1, n // 2))
 
 
 @register("distinct_pairs", covers=("A31",), oracle="""
