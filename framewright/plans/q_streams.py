@@ -131,3 +131,39 @@ def stream_dedup(spark, sf_dir):
     deduped = so.deduplicated(ev.unionByName(again), ["user_id"], "ts", "5 seconds")
     counts = deduped.groupBy("user_id").count()
     return run_to_table(counts, "complete", unique_name("stream_dedup"), spark)
+
+
+@register("stream_chained_windows", covers=("Q17", "R8"), oracle="""
+WITH ten AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS w, user_id, count(*) AS c FROM events GROUP BY 1, 2)
+SELECT * FROM (
+  SELECT time_bucket(INTERVAL 1 HOUR, w) AS window_start, time_bucket(INTERVAL 1 HOUR, w) + INTERVAL 1 HOUR AS window_end,
+         sum(c) AS n, max(c) AS peak
+  FROM ten GROUP BY 1, 2)
+WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
+""")
+def stream_chained_windows(spark, sf_dir):
+    """Two levels of windowed aggregation in append mode (events per user and 10 minutes, then per
+    hour the total and the busiest user-window); hours still open at the end are not emitted."""
+    ev = so.event_time(_events(spark, sf_dir), "ts").withWatermark("event_time", "30 minutes")
+    first = ev.groupBy(F.window("event_time", "10 minutes").alias("w"), "user_id").count()
+    second = so.coarser_windows(first, "w", "1 hour", F.sum("count").alias("n"), F.max("count").alias("peak"))
+    return run_to_table(so.flat_window(second, "window", to_ntz=True), "append",
+                        unique_name("stream_chained_windows"), spark)
+
+
+@register("stream_stream_join", covers=("Q17", "J1"), oracle="""
+SELECT c.event_id AS click_id, p.event_id AS purchase_id
+FROM events c JOIN events p
+  ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 1 HOUR
+WHERE c.event_type = 'click' AND p.event_type = 'purchase'
+""")
+def stream_stream_join(spark, sf_dir):
+    """Inner join of two streams: purchases within an hour after a click by the same user."""
+    def side(kind, prefix):
+        ev = so.event_time(_events(spark, sf_dir), "ts").where(F.col("event_type") == kind)
+        return ev.withWatermark("event_time", "30 minutes").select(
+            F.col("event_id").alias(f"{prefix}_id"), F.col("user_id").alias(f"{prefix}_user"),
+            F.col("event_time").alias(f"{prefix}_time"))
+    j = so.time_bounded_join(side("click", "click"), side("purchase", "purchase"),
+                             [("click_user", "purchase_user")], "click_time", "purchase_time", "1 hour")
+    return run_to_table(j.select("click_id", "purchase_id"), "append", unique_name("stream_stream_join"), spark)

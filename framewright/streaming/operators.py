@@ -56,3 +56,23 @@ def deduplicated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str,
     if within_watermark:
         return et.dropDuplicatesWithinWatermark(list(keys)).drop("__et")
     return et.dropDuplicates([*keys, "__et"]).drop("__et")
+
+
+def coarser_windows(df: DataFrame, window_col: str, size: str, *aggs: Column, keys: Sequence[str] = ()) -> DataFrame:
+    """Q17: a second windowed aggregation over the output of a first one (both stateful, append
+    mode under one watermark).  Each first-level window is placed by its event time
+    ``window_time`` (its end minus one microsecond)."""
+    return df.groupBy(F.window(F.window_time(F.col(window_col)), size).alias("window"), *keys).agg(*aggs)
+
+
+def time_bounded_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], left_time: str,
+                      right_time: str, within: str) -> DataFrame:
+    """Q17: inner stream-stream join on keys where the right event follows the left one by at most
+    ``within``.  Both sides need watermarks; the time bound lets Spark drop old join state."""
+    cond = None
+    for lk, rk in keys:
+        c = F.col(lk) == F.col(rk)
+        cond = c if cond is None else cond & c
+    cond = cond & (F.col(right_time) >= F.col(left_time)) & \
+        (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
+    return left.join(right, cond, "inner")
