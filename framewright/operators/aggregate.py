@@ -175,3 +175,37 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     ex = set(exclude)
     return [f.name for f in df.schema.fields if f.name not in ex and
             f.dataType.typeName() in ("integer", "long", "short", "byte", "float", "double", "decimal")]
+
+
+# Two-level sketch aggregation.  A global sketch aggregate ends in one task that merges one
+# partial buffer per map task; with hundreds of thousands of map tasks and large buffers (quantile
+# summaries at high accuracy) that single merge becomes the bottleneck.  These forms first merge
+# the partial sketches of each bucket of map tasks (bucket = map task index modulo ``buckets``:
+# each task feeds exactly one bucket, and a retried task feeds the same bucket), then merge the
+# bucket sketches once.  The sketches are mergeable DataSketches (KLL for quantiles, HLL for
+# distinct counts).
+
+
+def _task_bucket(buckets: int) -> Column:
+    return F.pmod(F.spark_partition_id(), F.lit(buckets)).alias("__bucket")
+
+
+def approx_quantiles_tree(df: DataFrame, column: str, probabilities: Sequence[float], k: int = 200,
+                          buckets: int = 1024, name: str = "quantiles") -> DataFrame:
+    """A28 at scale: one-row frame with the approximate quantiles of ``column`` (KLL sketch with
+    parameter ``k``; rank error about 1.65 / k)."""
+    per_bucket = (df.select(F.col(column).cast("double").alias("__x"), _task_bucket(buckets))
+                  .groupBy("__bucket").agg(F.kll_sketch_agg_double("__x", k).alias("__s")))
+    merged = per_bucket.agg(F.kll_merge_agg_double("__s", k).alias("__s"))
+    return merged.select(F.array(*[F.kll_sketch_get_quantile_double("__s", F.lit(float(p)))
+                                   for p in probabilities]).alias(name))
+
+
+def approx_distinct_tree(df: DataFrame, column: str, lg_k: int = 12, buckets: int = 1024,
+                         name: str = "approx_distinct") -> DataFrame:
+    """A5 at scale: one-row frame with an HLL estimate of the distinct values of ``column``
+    (relative standard error about 1.04 / sqrt(2 ** lg_k))."""
+    per_bucket = (df.select(F.col(column).alias("__x"), _task_bucket(buckets))
+                  .groupBy("__bucket").agg(F.hll_sketch_agg("__x", lg_k).alias("__s")))
+    merged = per_bucket.agg(F.hll_union_agg("__s").alias("__s"))
+    return merged.select(F.hll_sketch_estimate("__s").alias(name))

@@ -274,3 +274,13 @@ def count_distinct_parts(spark, sf_dir):
 def approx_distinct_parts(spark, sf_dir):
     """Rows only: a HyperLogLog++ estimate with relative error 0.1."""
     return Tables(spark, sf_dir).lineitem.agg(agg.approx_distinct("l_partkey", 0.1).alias("approx_parts"))
+
+
+@register("agg_approx_tree", covers=("A5", "A28"))
+def agg_approx_tree(spark, sf_dir):
+    """Rows only: the two-level sketch forms (DataSketches KLL / HLL) of the approximate
+    quantiles and distinct count."""
+    li = Tables(spark, sf_dir).lineitem
+    q = agg.approx_quantiles_tree(li, "l_quantity", [0.25, 0.5, 0.75], name="quartiles")
+    d = agg.approx_distinct_tree(li, "l_partkey", lg_k=7, name="approx_parts")
+    return d.select("approx_parts", q.scalar().alias("quartiles"))     # two one-row results side by side

@@ -118,3 +118,12 @@ def test_sorted_list_of_pairs_bounded(spark):
     df = spark.createDataFrame([("n", "x")] * 500 + [("n", "y")] * 3, "k string, item string")
     r = agg.sorted_list_of_pairs(df, ["k"], "item").first()
     assert [(p.item, p.n) for p in r.item_counts] == [("x", 500), ("y", 3)]
+
+
+def test_tree_sketches_within_error(spark):
+    li = _li(spark)
+    exact_d = li.agg(F.count_distinct("l_partkey")).first()[0]
+    d = agg.approx_distinct_tree(li, "l_partkey", lg_k=12, buckets=4).first()[0]
+    assert abs(d - exact_d) / exact_d <= 0.05
+    q = agg.approx_quantiles_tree(li, "l_quantity", [0.5], k=400, buckets=4).first()[0][0]
+    assert abs(q - li.agg(F.percentile("l_quantity", 0.5)).first()[0]) <= 1.0
