@@ -59,26 +59,21 @@ def string_functions(spark, sf_dir):
         element(words, 0).alias("first_word"), array_size(words).alias("n_words"))
 
 
-_MONTHS_BETWEEN_SQL = """
-round((year(d) - year(s)) * 12 + (month(d) - month(s))
-      + CASE WHEN day(d) = day(s) OR (d = last_day(d) AND s = last_day(s)) THEN 0
-             ELSE (day(d) - day(s)) / 31.0 END, 8)
-"""
-
-
-@register("date_functions", covers=("D2", "D3", "D4", "D5", "D6", "D7", "D8", "D9", "D10"), oracle=f"""
-SELECT o_orderkey, d AS order_day, d + INTERVAL 7 DAY AS plus_week, d - INTERVAL 30 DAY AS minus_30,
-       datediff('day', d, d - INTERVAL 7 DAY) AS back_week,
-       {_MONTHS_BETWEEN_SQL.replace(chr(10), ' ')} AS months_since_1996,
+@register("date_functions", covers=("D2", "D3", "D4", "D5", "D6", "D7", "D8", "D9", "D10"), oracle="""
+SELECT o_orderkey, d AS order_day,
+       CAST(d + INTERVAL 7 DAY AS DATE) AS plus_week,
+       CAST(d - INTERVAL 30 DAY AS DATE) AS minus_30,
+       datediff('day', d, CAST(d - INTERVAL 7 DAY AS DATE)) AS back_week,
+       round((year(d) - year(s)) * 12 + (month(d) - month(s))
+             + CASE WHEN day(d) = day(s) OR (d = last_day(d) AND s = last_day(s)) THEN 0
+                    ELSE (day(d) - day(s)) / 31.0 END, 8) AS months_since_1996,
        CAST(strftime(d, '%Y-%m-%d') AS DATE) AS parsed_default,
        CAST(strptime(strftime(d, '%Y-%d-%m'), '%Y-%d-%m') AS DATE) AS parsed_pattern,
        TRY_CAST(strftime(d, '%Y-%d-%m') AS DATE) AS try_swapped,
        strptime(strftime(d, '%Y-%m-%d') || ' 10:30:00', '%Y-%m-%d %H:%M:%S') AS parsed_ts,
        d >= DATE '1996-01-01' AS after_1996, dayname(d) AS weekday
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d, DATE '1996-01-01' AS s FROM orders)
-""".replace("d + INTERVAL 7 DAY", "CAST(d + INTERVAL 7 DAY AS DATE)")
-   .replace("d - INTERVAL 30 DAY AS", "CAST(d - INTERVAL 30 DAY AS DATE) AS")
-   .replace("d, d - INTERVAL 7 DAY)", "d, CAST(d - INTERVAL 7 DAY AS DATE))"))
+""")
 def date_functions(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
     d = F.to_date("o_orderdate")
