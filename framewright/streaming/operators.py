@@ -66,13 +66,26 @@ def coarser_windows(df: DataFrame, window_col: str, size: str, *aggs: Column, ke
 
 
 def time_bounded_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], left_time: str,
-                      right_time: str, within: str) -> DataFrame:
+                      right_time: str, within: str, salt: int = 1, left_id: str | None = None) -> DataFrame:
     """Q17: inner stream-stream join on keys where the right event follows the left one by at most
-    ``within``.  Both sides need watermarks; the time bound lets Spark drop old join state."""
+    ``within``.  Both sides need watermarks; the time bound lets Spark drop old join state.
+
+    ``salt`` > 1 spreads each key's join state over ``salt`` partitions: a left row takes one salt
+    value from a hash of ``left_id`` (deterministic, so a replayed batch salts the same way), each
+    right row is replicated to every salt value, and the salt joins the keys.  Every matching pair
+    still meets exactly once; a hot key's state and work are divided by ``salt`` at the price of
+    ``salt`` copies of the right side's state."""
     cond = None
     for lk, rk in keys:
         c = F.col(lk) == F.col(rk)
         cond = c if cond is None else cond & c
+    if salt > 1:
+        if left_id is None:
+            raise ValueError("salting needs a left row id column")
+        left = left.withColumn("__salt_l", F.pmod(F.xxhash64(F.col(left_id)), F.lit(salt)))
+        right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
+        cond = cond & (F.col("__salt_l") == F.col("__salt_r"))
     cond = cond & (F.col(right_time) >= F.col(left_time)) & \
         (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
-    return left.join(right, cond, "inner")
+    out = left.join(right, cond, "inner")
+    return out.drop("__salt_l", "__salt_r") if salt > 1 else out

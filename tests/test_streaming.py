@@ -94,3 +94,22 @@ def test_kafka_builders_without_broker(spark):
     df = spark.createDataFrame([("t1", 1, "v")], "topic string, k int, v string")
     recs = kafka.kafka_records(df, "v", key="k", topic="topic")
     assert recs.columns == ["topic", "key", "value"] and recs.first().key == "1"
+
+
+def test_salted_stream_join_equals_unsalted(spark):
+    d = _split_events(3)
+    schema = schema_of(spark, f"{SF001}/events.parquet")
+
+    def side(kind, prefix):
+        ev = so.event_time(file_stream(spark, d, "parquet", schema, max_files_per_trigger=1), "ts")
+        ev = ev.where(F.col("event_type") == kind).withWatermark("event_time", "30 minutes")
+        return ev.select(F.col("event_id").alias(f"{prefix}_id"), F.col("user_id").alias(f"{prefix}_user"),
+                         F.col("event_time").alias(f"{prefix}_time"))
+
+    def run(salt):
+        j = so.time_bounded_join(side("view", "a"), side("click", "b"), [("a_user", "b_user")], "a_time", "b_time",
+                                 "2 hours", salt=salt, left_id="a_id")
+        return sorted(map(tuple, run_to_table(j.select("a_id", "b_id"), "append", unique_name("sj"), spark).collect()))
+
+    plain, salted = run(1), run(5)
+    assert plain == salted and len(plain) > 0
