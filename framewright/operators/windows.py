@@ -51,22 +51,66 @@ def ranked_report_window(df: DataFrame, keys: Sequence[str], value: str,
                      rank(spec).alias(names[2]))
 
 
-def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
-                  names: tuple[str, str, str] = ("max_value", "dense_rank", "rank")) -> DataFrame:
-    """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``."""
-    n = "__n"
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
-    by_value = Window.partitionBy(*keys).orderBy(F.col(value).desc())
-    before = by_value.rowsBetween(Window.unboundedPreceding, -1)
-    # All three functions share one partitioning and ordering: one sort of the counts.
-    ranks = counts.select(
-        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], F.col(value).alias("__v"),
-        F.max(F.col(value)).over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(names[0]),
-        F.row_number().over(by_value).alias(names[1]),
-        (F.coalesce(F.sum(F.col(n)).over(before), F.lit(0)) + 1).cast("int").alias(names[2]),
-    )
+def _join_back(df: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str, names) -> DataFrame:
     cond = df[value].eqNullSafe(ranks["__v"])
     for i, k in enumerate(keys):
         cond = cond & df[k].eqNullSafe(ranks[f"__g{i}"])
     out = df.join(ranks, cond, "inner")
     return out.select(*[df[c] for c in df.columns], *[F.col(x) for x in names])
+
+
+def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
+                  names: tuple[str, str, str] = ("max_value", "dense_rank", "rank"),
+                  method: str = "counts", partitions: int | None = None) -> DataFrame:
+    """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``.
+
+    ``method="counts"`` ranks the (group, value) counts with one window per group: a hot group
+    costs one task per group *distinct value set*, which is small whenever the ordering column
+    has few distinct values per group.  ``method="range"`` also splits a group with very many
+    distinct values: the counts are range-partitioned on (group, value), which cuts a hot group
+    into value ranges on several partitions; the partition of each count is frozen by a reliable
+    checkpoint in the shared checkpoint folder, ranks are computed inside each partition and
+    shifted by the totals of the group's earlier (higher-valued) partitions."""
+    n = "__n"
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
+    gcols = [F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]
+    if method == "counts":
+        by_value = Window.partitionBy(*keys).orderBy(F.col(value).desc())
+        before = by_value.rowsBetween(Window.unboundedPreceding, -1)
+        # All three functions share one partitioning and ordering: one sort of the counts.
+        ranks = counts.select(
+            *gcols, F.col(value).alias("__v"),
+            F.max(F.col(value)).over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(names[0]),
+            F.row_number().over(by_value).alias(names[1]),
+            (F.coalesce(F.sum(F.col(n)).over(before), F.lit(0)) + 1).cast("int").alias(names[2]),
+        )
+        return _join_back(df, ranks, keys, value, names)
+    if method != "range":
+        raise ValueError(f"unknown method {method}")
+    from framewright.session import checkpoint_root
+    checkpoint_root(df.sparkSession)                     # the shared folder (set only when unset)
+    p = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = counts.repartitionByRange(p, *[F.col(k).asc() for k in keys], F.col(value).desc())
+    tagged = ranged.withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    # Per (group, partition): rows, distinct values and the largest value; then each group's
+    # offsets from its earlier partitions (a group spans at most ``p`` partitions).
+    totals = tagged.groupBy(*keys, "__pid").agg(F.sum(n).alias("__bn"), F.count(F.lit(1)).alias("__bd"),
+                                                F.max(value).alias("__bmax"))
+    earlier = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *keys, "__pid", F.coalesce(F.sum("__bn").over(earlier), F.lit(0)).alias("__off_n"),
+        F.coalesce(F.sum("__bd").over(earlier), F.lit(0)).alias("__off_d"),
+        F.max("__bmax").over(Window.partitionBy(*keys)).alias(names[0]))
+    local_spec = Window.partitionBy("__pid", *keys).orderBy(F.col(value).desc())
+    local = tagged.select(
+        *keys, "__pid", value,
+        F.coalesce(F.sum(n).over(local_spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.row_number().over(local_spec).alias("__local_dense"))
+    cond = local["__pid"] == offsets["__pid"]
+    for k in keys:
+        cond = cond & local[k].eqNullSafe(offsets[k])
+    ranks = local.join(offsets, cond, "inner").select(
+        *[local[k].alias(f"__g{i}") for i, k in enumerate(keys)], local[value].alias("__v"), offsets[names[0]],
+        (offsets["__off_d"] + local["__local_dense"]).cast("int").alias(names[1]),
+        (offsets["__off_n"] + local["__before"] + 1).cast("int").alias(names[2]))
+    return _join_back(df, ranks, keys, value, names)

@@ -284,3 +284,11 @@ def agg_approx_tree(spark, sf_dir):
     q = agg.approx_quantiles_tree(li, "l_quantity", [0.25, 0.5, 0.75], name="quartiles")
     d = agg.approx_distinct_tree(li, "l_partkey", lg_k=7, name="approx_parts")
     return d.select("approx_parts", q.scalar().alias("quartiles"))     # two one-row results side by side
+
+
+@register("ranked_purchases_range", covers=("W1", "W2", "W3", "W4", "W5"), oracle=_RANK_SQL)
+def ranked_purchases_range(spark, sf_dir):
+    """The ranked report with hot groups split by value range (for ordering columns with very
+    many distinct values per group)."""
+    return _long_ranks(windows.ranked_report(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],
+                                             "l_quantity", _RANK_NAMES, method="range"))

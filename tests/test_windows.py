@@ -33,3 +33,18 @@ def test_ranked_report_orders_per_customer(spark):
     fast = windows.ranked_report(o, ["o_custkey"], "price_band")
     direct = windows.ranked_report_window(o, ["o_custkey"], "price_band")
     assert _rows(fast) == _rows(direct)
+
+
+def test_range_method_splits_hot_group_with_many_values(spark):
+    rows = [("hot", float(i % 997) if i % 13 else None, i) for i in range(3000)]
+    rows += [(f"g{i % 50}", float(i % 7), 10_000 + i) for i in range(6000)]
+    rows += [(None, 1.0, 20_000), (None, None, 20_001)]
+    df = spark.createDataFrame(rows, "a string, v double, id long")
+    names = ("mx", "dr", "rk")
+    direct = windows.ranked_report_window(df, ["a"], "v", names)
+    by_range = windows.ranked_report(df, ["a"], "v", names, method="range", partitions=8)
+    assert _rows(by_range) == _rows(direct)
+    # The hot group's distinct values are spread over several range partitions.
+    counts = df.groupBy("a", "v").count().repartitionByRange(8, F.col("a").asc(), F.col("v").desc())
+    spread = counts.where("a = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert spread > 1
