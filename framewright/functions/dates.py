@@ -46,7 +46,7 @@ def parse_date(c: Column, fmt: str | None = None) -> Column:
 
 def try_parse_date(c: Column, fmt: str | None = None) -> Column:
     """Text to date; null when it does not parse."""
-    return F.try_to_date(c, F.lit(fmt)) if fmt else F.try_to_date(c)
+    return F.try_to_date(c, fmt) if fmt else F.try_to_date(c)
 
 
 def parse_timestamp(c: Column, fmt: str) -> Column:

@@ -136,14 +136,13 @@ def cross_product(left: DataFrame, right: DataFrame, max_right_rows: int = 10_00
     return left.crossJoin(F.broadcast(right))
 
 
-def array_member_join(left: DataFrame, array_col: str, right: DataFrame, right_key: str,
-                      how: str = "inner") -> DataFrame:
+def array_member_join(left: DataFrame, array_col: str, right: DataFrame, right_key: str) -> DataFrame:
     """Rows of ``left`` paired with the rows of ``right`` whose key is an element of
-    ``left[array_col]`` (``array_contains``), as an equi join on the distinct exploded elements
-    instead of a nested-loop join.  ``how`` is ``inner`` or ``left_semi``."""
+    ``left[array_col]`` (inner join on ``array_contains``), as an equi join on the distinct
+    exploded elements instead of a nested-loop join."""
     member = "__member"
     exploded = left.withColumn(member, F.explode(F.array_distinct(F.col(array_col))))
-    out = exploded.join(right, exploded[member] == right[right_key], how)
+    out = exploded.join(right, exploded[member] == right[right_key], "inner")
     return out.drop(member)
 
 

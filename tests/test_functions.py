@@ -37,10 +37,13 @@ def test_dates(spark):
     r = one(spark, dates.day_difference(dates.sub_days(d1, 7), d1).alias("dd"),
             dates.months_between(d1, d2).alias("mb"),
             dates.try_parse_date(F.lit("2016-20-12")).alias("bad"),
+            dates.try_parse_date(F.lit("2017-20-12"), "yyyy-dd-MM").alias("try_pat"),
+            dates.try_parse_date(F.lit("2017-40-12"), "yyyy-dd-MM").alias("try_bad"),
             dates.parse_date(F.lit("2017-20-12"), "yyyy-dd-MM").alias("pat"),
             dates.parse_date(F.lit("1/4/2011 10:00"), "M/d/yyyy H:mm").alias("short"),
             dates.weekday_name(d1).alias("wd"))
     assert r.dd == -7 and r.mb == pytest.approx(-16.67741935) and r.bad is None
+    assert r.try_pat == dt.date(2017, 12, 20) and r.try_bad is None
     assert r.pat == dt.date(2017, 12, 20) and r.short == dt.date(2011, 1, 4) and r.wd == "Friday"
 
 
