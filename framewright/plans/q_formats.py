@@ -36,7 +36,8 @@ def _events_json(spark, sf_dir) -> str:
 
 
 @register("csv_scan_inferred", covers=("S1", "S2"), oracle="""
-SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total_price, max(o_custkey) AS max_cust
+SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total_price,
+       CAST(max(o_custkey) AS INTEGER) AS max_cust
 FROM orders GROUP BY o_orderpriority
 """)
 def csv_scan_inferred(spark, sf_dir):

@@ -25,7 +25,7 @@ def struct_fields(spark, sf_dir):
 
 
 @register("array_functions", covers=("C3", "C4", "C5", "T11"), oracle="""
-SELECT p_partkey, w[1] AS first_word, w[6] AS sixth_word, len(w) AS n_words,
+SELECT p_partkey, w[1] AS first_word, w[6] AS sixth_word, CAST(len(w) AS INTEGER) AS n_words,
        list_contains(w, 'red') AS has_red
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)
 """)
@@ -37,7 +37,7 @@ def array_functions(spark, sf_dir):
 
 
 @register("explode_words", covers=("C6", "T11"), oracle="""
-SELECT p_partkey, generate_subscripts(w, 1) - 1 AS pos, unnest(w) AS word
+SELECT p_partkey, CAST(generate_subscripts(w, 1) - 1 AS INTEGER) AS pos, unnest(w) AS word
 FROM (SELECT p_partkey, string_split(p_name, ' ') AS w FROM part)
 """)
 def explode_words(spark, sf_dir):
@@ -68,7 +68,7 @@ def map_explode(spark, sf_dir):
 
 @register("json_functions", covers=("C10", "C11", "C12", "C13"), oracle="""
 SELECT event_id, json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.k') AS k,
-       to_json({'event_type': event_type, 'user_id': user_id}) AS as_json,
+       CAST(to_json({'event_type': event_type, 'user_id': user_id}) AS VARCHAR) AS as_json,
        CAST(event_id AS VARCHAR) AS second_id,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k_int
 FROM events
@@ -106,8 +106,8 @@ WORD_VALUES = {"red": 1000, "blue": 200, "hot": -300, "small": 100}
 
 
 @register("lookup_with_default", covers=("X3", "O1"), oracle="""
-SELECT p_partkey, word, CASE word WHEN 'red' THEN 1000 WHEN 'blue' THEN 200 WHEN 'hot' THEN -300
-                                  WHEN 'small' THEN 100 ELSE 0 END AS value
+SELECT p_partkey, word, CAST(CASE word WHEN 'red' THEN 1000 WHEN 'blue' THEN 200 WHEN 'hot' THEN -300
+                                  WHEN 'small' THEN 100 ELSE 0 END AS BIGINT) AS value
 FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)
 ORDER BY value, word, p_partkey
 """)

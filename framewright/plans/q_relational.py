@@ -130,7 +130,7 @@ def rename_drop_cast_backquote(spark, sf_dir):
 SELECT * FROM (
   SELECT strpos(p_name, 'red') > 0 AS is_red, strpos(p_name, 'blue') > 0 AS is_blue,
          strpos(p_name, 'hot') > 0 AS is_hot, p_partkey, p_name, p_type, p_size,
-         instr(p_name, 'widget') AS widget_pos
+         CAST(instr(p_name, 'widget') AS INTEGER) AS widget_pos
   FROM part)
 WHERE (p_type IN ('SMALL', 'PROMO') OR instr(p_name, 'widget') >= 1)
   AND NOT p_size <= 10

@@ -37,7 +37,7 @@ SELECT p_partkey,
        regexp_replace(p_name, 'red|blue', 'COLOR', 'g') AS name_colorless,
        translate(p_type, 'AE', '43') AS type_translated,
        regexp_extract(p_name, '(red|blue)', 1) AS color,
-       string_split(p_name, ' ')[1] AS first_word, len(string_split(p_name, ' ')) AS n_words
+       string_split(p_name, ' ')[1] AS first_word, CAST(len(string_split(p_name, ' ')) AS INTEGER) AS n_words
 FROM part
 """)
 def string_functions(spark, sf_dir):
@@ -63,7 +63,7 @@ def string_functions(spark, sf_dir):
 SELECT o_orderkey, d AS order_day,
        CAST(d + INTERVAL 7 DAY AS DATE) AS plus_week,
        CAST(d - INTERVAL 30 DAY AS DATE) AS minus_30,
-       datediff('day', d, CAST(d - INTERVAL 7 DAY AS DATE)) AS back_week,
+       CAST(datediff('day', d, CAST(d - INTERVAL 7 DAY AS DATE)) AS INTEGER) AS back_week,
        round((year(d) - year(s)) * 12 + (month(d) - month(s))
              + CASE WHEN day(d) = day(s) OR (d = last_day(d) AND s = last_day(s)) THEN 0
                     ELSE (day(d) - day(s)) / 31.0 END, 8) AS months_since_1996,

@@ -137,7 +137,7 @@ def stream_dedup(spark, sf_dir):
 WITH ten AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS w, user_id, count(*) AS c FROM events GROUP BY 1, 2)
 SELECT * FROM (
   SELECT time_bucket(INTERVAL 1 HOUR, w) AS window_start, time_bucket(INTERVAL 1 HOUR, w) + INTERVAL 1 HOUR AS window_end,
-         sum(c) AS n, max(c) AS peak
+         CAST(sum(c) AS BIGINT) AS n, max(c) AS peak
   FROM ten GROUP BY 1, 2)
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
 """)
