@@ -64,16 +64,37 @@ def weekday_name(c: Column) -> Column:
     return F.date_format(c, "EEEE")
 
 
+def epoch_micros(ts: Column) -> Column:
+    """NTZ timestamp to microseconds since the epoch, without any time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+
+
+def from_epoch_micros(micros: Column) -> Column:
+    """Microseconds since the epoch to an NTZ timestamp, without any time zone."""
+    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+
+
+def ntz_as_instant(ts: Column) -> Column:
+    """An NTZ wall-clock value as the TIMESTAMP instant with the same UTC wall clock.  Unlike a
+    cast, this does not depend on the session time zone (no shifted windows, no DST gaps)."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def instant_as_ntz(ts: Column) -> Column:
+    """Inverse of ``ntz_as_instant``."""
+    return from_epoch_micros(F.unix_micros(ts))
+
+
 def epoch_nanos(ts: Column) -> Column:
     """D11 inverse: NTZ timestamp to nanoseconds since the epoch (as a long)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts) * 1000
+    return epoch_micros(ts) * 1000
 
 
 def from_epoch_nanos(nanos: Column) -> Column:
     """D11/R10 exact form: nanoseconds since the epoch to an NTZ timestamp (microseconds kept,
-    sub-microsecond part truncated)."""
-    micros = F.floor(nanos.cast("decimal(20,0)") / F.lit(1000)).cast("long")   # exact, no double
-    return F.timestamp_add("MICROSECOND", micros, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    sub-microsecond part truncated toward zero, as the cast through double does)."""
+    micros = (nanos.cast("decimal(20,0)") / F.lit(1000)).cast("long")   # exact, truncates toward zero
+    return from_epoch_micros(micros)
 
 
 def from_epoch_nanos_double(nanos: Column) -> Column:

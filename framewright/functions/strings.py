@@ -39,10 +39,14 @@ def pad_right(c: Column, width: int, fill: str = " ") -> Column:
 
 
 def replace_words(c: Column, words: Sequence[str], replacement: str) -> Column:
-    """Replace every occurrence of any of the words (regex alternation, words escaped)."""
+    """Replace every occurrence of any of the words (regex alternation; words and the
+    replacement are taken literally).  No words: the text is unchanged."""
     import re
+    if not words:
+        return c
     pattern = "|".join(re.escape(w) for w in words)
-    return F.regexp_replace(c, pattern, replacement)
+    literal = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.regexp_replace(c, pattern, literal)
 
 
 def translate_chars(c: Column, source: str, target: str) -> Column:
@@ -53,6 +57,8 @@ def translate_chars(c: Column, source: str, target: str) -> Column:
 def extract_first(c: Column, words: Sequence[str]) -> Column:
     """First occurrence of any of the words, empty string when none matches."""
     import re
+    if not words:
+        return F.lit("")
     pattern = "(" + "|".join(re.escape(w) for w in words) + ")"
     return F.regexp_extract(c, pattern, 1)
 

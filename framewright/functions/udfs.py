@@ -12,9 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 
+CUBE_LIMIT = 2_097_151   # largest |x| whose cube fits in a signed 64-bit long
+
+
 @F.pandas_udf(LongType())
 def cube_long(x: pd.Series) -> pd.Series:
-    """``x ** 3`` for a long column, one Arrow batch at a time."""
+    """``x ** 3`` for a long column, one Arrow batch at a time; like the native expression
+    under ANSI mode, a result outside the long range raises instead of wrapping."""
+    if (x.abs() > CUBE_LIMIT).any():
+        raise ArithmeticError("long overflow in cube_long")
     return x * x * x
 
 

@@ -11,6 +11,7 @@ levels partial.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,9 +87,7 @@ def group_agg(df: DataFrame, keys: Sequence[Column | str], *aggs: Column) -> Dat
 
 def averages_of_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_") -> DataFrame:
     """``avg()`` of every numeric non-key column, renamed ``avg_<column>``."""
-    numeric = [f.name for f in df.schema.fields
-               if f.name not in keys and f.dataType.typeName() in
-               ("integer", "long", "short", "byte", "float", "double", "decimal")]
+    numeric = numeric_columns(df, keys)
     return df.groupBy(*keys).agg(*[F.avg(F.col(c)).alias(f"{prefix}{c}") for c in numeric])
 
 
@@ -140,8 +139,9 @@ def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence) -> DataFrame:
     first column is named ``<a>_<b>`` like ``df.stat.crosstab``.  Values are given so no job
     collects them."""
     wide = df.groupBy(a).pivot(b, list(b_values)).agg(F.count(F.lit(1)))
-    wide = wide.na.fill(0, [str(v) for v in b_values])
-    return wide.withColumnRenamed(a, f"{a}_{b}")
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    return wide.select(quoted(wide.columns[0]).alias(f"{a}_{b}"),
+                       *[F.coalesce(quoted(c), F.lit(0)).alias(c) for c in wide.columns[1:]])
 
 
 def frequent_items(df: DataFrame, cols: Sequence[str], support: float = 0.01) -> DataFrame:
@@ -152,9 +152,10 @@ def frequent_items(df: DataFrame, cols: Sequence[str], support: float = 0.01) ->
 def frequent_values(df: DataFrame, column: str, support: float) -> DataFrame:
     """A30 (exact form): values whose share of rows is at least ``support``, with their count.
     A grouped count filtered against a scalar subquery for the total; no false positives."""
-    total = df.agg(F.count(F.lit(1))).scalar()
     grouped = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return grouped.where(F.col("n") >= F.lit(support) * total)
+    total = grouped.agg(F.sum("n")).scalar()          # same grouped plan: Spark can reuse its shuffle
+    threshold = F.lit(Decimal(str(support))) * total  # exact decimal, no double rounding at the boundary
+    return grouped.where(F.col("n") >= threshold)
 
 
 def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
@@ -164,6 +165,8 @@ def distinct_rows(df: DataFrame, *cols: str) -> DataFrame:
 
 def conditional_sum(value: Column | str, *conditions: Column, name: str = "total") -> Column:
     """Sum of ``value`` once per true condition (a row may add more than once)."""
+    if not conditions:
+        raise ValueError("conditional_sum needs at least one condition")
     out = None
     for cond in conditions:
         term = F.sum(F.when(cond, _c(value)).otherwise(F.lit(0)))

@@ -22,12 +22,12 @@ def null_function_columns(a: str, b: str) -> list[Column]:
 
 def drop_nulls(df: DataFrame, how: str = "any", subset: Sequence[str] | None = None) -> DataFrame:
     """L3/L4: drop rows where any / all of the (subset) columns are null."""
-    return df.na.drop(how=how, subset=list(subset) if subset else None)
+    return df.na.drop(how=how, subset=list(subset) if subset is not None else None)
 
 
 def fill_nulls(df: DataFrame, value, subset: Sequence[str] | None = None) -> DataFrame:
     """Fill nulls with one value; only columns of a matching type change."""
-    return df.na.fill(value, list(subset) if subset else None)
+    return df.na.fill(value, list(subset) if subset is not None else None)
 
 
 def fill_nulls_by_column(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -37,4 +37,4 @@ def fill_nulls_by_column(df: DataFrame, values: Mapping[str, object]) -> DataFra
 
 def replace_values(df: DataFrame, to_replace, value, subset: Sequence[str] | None = None) -> DataFrame:
     """Replace given values in named columns."""
-    return df.na.replace(to_replace, value, list(subset) if subset else None)
+    return df.na.replace(to_replace, value, list(subset) if subset is not None else None)

@@ -48,7 +48,10 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: only happens in tests and local runs, never on a configured cluster.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and streaming "
+                               "results must be readable from every machine of the cluster")
+        # Unset on a local master (tests, local runs): a private folder is enough.
         configured = tempfile.mkdtemp(prefix="framewright-chk-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,9 +1,10 @@
 """Streaming operators.
 
 Event time: test tables hold ``TIMESTAMP_NTZ``; ``withWatermark`` needs ``TIMESTAMP``, so
-``event_time`` casts to it, and window bounds are cast back to NTZ on output so results do not
-depend on the session time zone for minute-aligned windows.  Windows without a watermark stay on
-NTZ (day windows then start at local midnight of the data, as in batch).
+``event_time`` maps an NTZ wall clock to the instant with the same UTC wall clock (through epoch
+microseconds, not a cast, so the session time zone plays no part: windows align exactly as in
+batch on NTZ, and no two wall-clock times merge in a DST gap), and window bounds map back to NTZ
+on output.  ``TIMESTAMP`` inputs are used as they are.
 """
 
 from __future__ import annotations
@@ -13,9 +14,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from framewright.functions.dates import instant_as_ntz, ntz_as_instant
+
 
 def event_time(df: DataFrame, ts: str, name: str = "event_time") -> DataFrame:
-    """An event-time column usable by a watermark."""
+    """An event-time column usable by a watermark (see module notes)."""
+    if dict(df.dtypes)[ts] == "timestamp_ntz":
+        return df.withColumn(name, ntz_as_instant(F.col(ts)))
     return df.withColumn(name, F.col(ts).cast("timestamp"))
 
 
@@ -23,7 +28,7 @@ def flat_window(df: DataFrame, w: str = "window", to_ntz: bool = False) -> DataF
     """Replace a window struct by ``window_start`` / ``window_end`` columns."""
     start, end = F.col(f"{w}.start"), F.col(f"{w}.end")
     if to_ntz:
-        start, end = start.cast("timestamp_ntz"), end.cast("timestamp_ntz")
+        start, end = instant_as_ntz(start), instant_as_ntz(end)
     others = [c for c in df.columns if c != w]
     return df.select(start.alias("window_start"), end.alias("window_end"), *others)
 
@@ -39,12 +44,13 @@ def windowed(df: DataFrame, ts: str, size: str, slide: str | None, keys: Sequenc
     time is cast for it and bounds come back as NTZ, so append mode emits each window once the
     watermark passes its end."""
     col = ts
+    was_ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
     if watermark:
         df = event_time(df, ts, "__et").withWatermark("__et", watermark)
         col = "__et"
     w = F.window(F.col(col), size, slide) if slide else F.window(F.col(col), size)
     out = df.groupBy(w.alias("window"), *keys).agg(*aggs)
-    return flat_window(out, to_ntz=bool(watermark))
+    return flat_window(out, to_ntz=bool(watermark) and was_ntz)
 
 
 def deduplicated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str,
@@ -75,17 +81,18 @@ def time_bounded_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[st
     right row is replicated to every salt value, and the salt joins the keys.  Every matching pair
     still meets exactly once; a hot key's state and work are divided by ``salt`` at the price of
     ``salt`` copies of the right side's state."""
-    cond = None
-    for lk, rk in keys:
-        c = F.col(lk) == F.col(rk)
-        cond = c if cond is None else cond & c
     if salt > 1:
         if left_id is None:
             raise ValueError("salting needs a left row id column")
         left = left.withColumn("__salt_l", F.pmod(F.xxhash64(F.col(left_id)), F.lit(salt)))
         right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)).cast("array<bigint>")))
-        cond = cond & (F.col("__salt_l") == F.col("__salt_r"))
-    cond = cond & (F.col(right_time) >= F.col(left_time)) & \
-        (F.col(right_time) <= F.col(left_time) + F.expr(f"INTERVAL {within}"))
+    cond = None
+    for lk, rk in keys:
+        c = left[lk] == right[rk]
+        cond = c if cond is None else cond & c
+    if salt > 1:
+        cond = cond & (left["__salt_l"] == right["__salt_r"])
+    cond = cond & (right[right_time] >= left[left_time]) & \
+        (right[right_time] <= left[left_time] + F.expr(f"INTERVAL {within}"))
     out = left.join(right, cond, "inner")
     return out.drop("__salt_l", "__salt_r") if salt > 1 else out

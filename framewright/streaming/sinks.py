@@ -72,10 +72,12 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
         raise RuntimeError(str(q.exception()))
     if sink == "memory":
         return spark.table(name)
-    try:
-        result = spark.read.parquet(data)
-    except Exception:
-        # Nothing was emitted (for example every window still open): an empty result.
+    if not q.recentProgress:
+        # No micro-batch ran (no input at all): nothing was written, the result is empty.
         result = spark.createDataFrame([], df.schema)
+    else:
+        # With the schema given, a committed output without data files (every window still open)
+        # reads as empty; any other failure to read is raised.
+        result = spark.read.schema(df.schema).parquet(data)
     result.createOrReplaceTempView(name)
     return result

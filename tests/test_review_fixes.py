@@ -1,0 +1,90 @@
+"""Regression tests for edge cases: literal replacements, empty lists, exact support boundaries,
+odd pivot values, overflow, empty subsets, time-zone independent event time."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from framewright.functions import dates, strings, udfs
+from framewright.operators import aggregate as agg
+from framewright.operators import nulls
+from framewright.plans.catalog import load_all
+from framewright.streaming import operators as so
+from tests.conftest import SF01
+from tests.oracle import compare
+
+
+def test_literal_replacement_and_empty_word_lists(spark):
+    r = spark.range(1).select(
+        strings.replace_words(F.lit("red car"), ["red"], "US$").alias("a"),
+        strings.replace_words(F.lit("red car"), ["red"], "a\\b").alias("b"),
+        strings.replace_words(F.lit("red car"), [], "X").alias("c"),
+        strings.extract_first(F.lit("red car"), []).alias("d")).first()
+    assert (r.a, r.b, r.c, r.d) == ("US$ car", "a\\b car", "red car", "")
+
+
+def test_frequent_values_exact_boundary(spark):
+    df = spark.createDataFrame([("a",)] * 7 + [("b",)] * 93, "x string")
+    assert {r.x for r in agg.frequent_values(df, "x", 0.07).collect()} == {"a", "b"}
+
+
+def test_crosstab_odd_values(spark):
+    df = spark.createDataFrame([("k", "p.q"), ("k", "r"), ("j", "r")], "a string, b string")
+    out = {r[0]: (r[1], r[2]) for r in agg.crosstab(df, "a", "b", ["p.q", "r"]).collect()}
+    assert out == {"k": (1, 1), "j": (0, 1)}
+
+
+def test_conditional_sum_needs_conditions():
+    with pytest.raises(ValueError):
+        agg.conditional_sum("v")
+
+
+def test_empty_subset_touches_nothing(spark):
+    df = spark.createDataFrame([(None, None), (1, None)], "a int, b string")
+    assert nulls.drop_nulls(df, "any", []).count() == 2
+    assert nulls.fill_nulls(df, 0, []).where("a IS NULL").count() == 1
+
+
+def test_cube_overflow_raises(spark):
+    with pytest.raises(Exception, match="overflow"):
+        spark.range(1).select(udfs.cube_long(F.lit(3_000_000).cast("long"))).collect()
+
+
+def test_epoch_nanos_truncate_toward_zero(spark):
+    r = spark.range(1).select(dates.from_epoch_nanos(F.lit(-1500).cast("long")).alias("t")).first()
+    assert r.t == dt.datetime(1969, 12, 31, 23, 59, 59, 999999)
+
+
+def test_event_time_ignores_session_time_zone(spark):
+    rows = [(dt.datetime(2024, 1, 1, 10, 10),), (dt.datetime(2024, 1, 1, 10, 50),)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        batch = so.windowed(so.event_time(df, "ts"), "ts", "1 hour", None, [], F.count(F.lit(1)).alias("n"))
+        got = {(str(r.window_start), r.n) for r in
+               so.flat_window(so.event_time(df, "ts").groupBy(F.window("event_time", "1 hour").alias("window"))
+                              .agg(F.count(F.lit(1)).alias("n")), to_ntz=True).collect()}
+        assert got == {("2024-01-01 10:00:00", 2)}
+        assert batch.count() == 1
+        q = load_all()["stream_watermark"]
+        from tests.oracle import duck
+        compare(q.build(spark, SF01), duck(SF01), q.oracle)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_stream_join_same_key_names(spark):
+    from framewright.streaming.sources import file_stream, schema_of
+    from framewright.streaming.sinks import run_to_table, unique_name
+    from tests.conftest import SF001
+    schema = schema_of(spark, f"{SF001}/events.parquet")
+
+    def side(kind):
+        ev = so.event_time(file_stream(spark, SF001, "parquet", schema, glob="events.parquet"), "ts")
+        return ev.where(F.col("event_type") == kind).withWatermark("event_time", "30 minutes") \
+                 .select("user_id", F.col("event_id").alias(f"{kind}_id"), F.col("event_time").alias(f"{kind}_t"))
+    j = so.time_bounded_join(side("view"), side("click"), [("user_id", "user_id")], "view_t", "click_t", "1 hour")
+    out = run_to_table(j.select("view_id", "click_id"), "append", unique_name("samekey"), spark)
+    assert out.count() >= 0
