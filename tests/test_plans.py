@@ -38,3 +38,36 @@ def test_semi_join_pre_aggregates_keys(spark):
     df = QUERIES["join_semi"].build(spark, SF01)
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate [o_custkey" in optimized or "Aggregate [__k0" in optimized
+
+
+def _final_plan(df):
+    df.collect()                     # runs the frame's own adaptive plan to its final form
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_outer_join_reuses_inner_join_shuffles(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as at scale: no side is small
+    try:
+        p = _final_plan(QUERIES["join_full"].build(spark, SF01))
+        assert p.count("ReusedExchange") >= 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_ranked_report_window_reads_counts_not_rows(spark):
+    df = QUERIES["ranked_purchases"].build(spark, SF01)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    window_at = optimized.index("Window [")
+    below = optimized[window_at:]
+    assert "Aggregate [" in below and "count(1)" in below
+
+
+def test_bounded_broadcast_probe(spark):
+    from framewright.plans.broadcast import broadcast_if_bounded, has_at_most
+    small = spark.range(10)
+    assert has_at_most(small, 10) and not has_at_most(small, 9)
+    hinted = broadcast_if_bounded(small, 10)
+    joined = spark.range(100).join(hinted, "id")
+    assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    assert broadcast_if_bounded(small, 5) is small
