@@ -46,6 +46,22 @@ def fit_features(train: DataFrame, numeric: Sequence[str], category: str) -> Pip
     return feature_stages(numeric, category).fit(train)
 
 
+def cached_for_iterations(df: DataFrame) -> DataFrame:
+    """Cache a frame that an iterative fit reads many times, spread over at least as many
+    partitions as the cluster has cores.  Small inputs that AQE coalesced into a few partitions
+    would otherwise leave cores idle in every iteration; large inputs already have more
+    partitions than cores and are cached as they are (no extra shuffle).  The caller unpersists."""
+    cached = df.cache()
+    cached.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    spread = df.repartition(cores).cache()
+    spread.count()
+    cached.unpersist()
+    return spread
+
+
 def fit_kmeans(features: DataFrame, k: int = 20, seed: int = 1, column: str = "features") -> KMeansModel:
     """M6."""
     return KMeans(k=k, seed=seed, featuresCol=column).fit(features)

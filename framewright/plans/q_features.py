@@ -26,7 +26,7 @@ def kmeans_cost(spark, sf_dir):
     prepped = features.prepare(retail_lines(spark, sf_dir), "invoice_date")
     train, test = time_split(prepped, "invoice_date", "2000-01-01")
     stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
-    train_f = stages.transform(train).select("features").cache()   # KMeans iterates over it
+    train_f = features.cached_for_iterations(stages.transform(train).select("features"))   # KMeans iterates over it
     try:
         model = features.fit_kmeans(train_f, k=20, seed=1)
         # Both costs are distributed aggregates; only the two resulting numbers reach the driver.
