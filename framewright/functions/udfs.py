@@ -15,13 +15,22 @@ from pyspark.sql.types import LongType
 CUBE_LIMIT = 2_097_151   # largest |x| whose cube fits in a signed 64-bit long
 
 
-@F.pandas_udf(LongType())
-def cube_long(x: pd.Series) -> pd.Series:
-    """``x ** 3`` for a long column, one Arrow batch at a time; like the native expression
-    under ANSI mode, a result outside the long range raises instead of wrapping."""
-    if (x.abs() > CUBE_LIMIT).any():
-        raise ArithmeticError("long overflow in cube_long")
-    return x * x * x
+def _make_cube_udf():
+    # Built inside a function so the batch function travels to the Python workers by value:
+    # workers need pandas, not this package on their path.
+    limit = CUBE_LIMIT
+
+    def cube(x: pd.Series) -> pd.Series:
+        if (x.abs() > limit).any():
+            raise ArithmeticError("long overflow in cube_long")
+        return x * x * x
+
+    return F.pandas_udf(cube, LongType())
+
+
+cube_long = _make_cube_udf()
+cube_long.__doc__ = """X1: ``x ** 3`` for a long column, one Arrow batch at a time; like the native
+expression under ANSI mode, a result outside the long range raises instead of wrapping."""
 
 
 def register_cube(spark: SparkSession, name: str = "cube_long") -> str:
