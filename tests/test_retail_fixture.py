@@ -58,7 +58,7 @@ def test_dates_parse_with_one_digit_month(retail):
 
 def test_nulls(retail):
     assert nulls.drop_nulls(retail, "any").count() == 9            # three rows hold a null
-    assert nulls.drop_nulls(retail, "all", ["Description", "CustomerID"]).count() == 12
+    assert nulls.drop_nulls(retail, "all", ["Description", "CustomerID"]).count() == 11   # row 8: both null
     filled = nulls.fill_nulls(retail, 0).where("CustomerID = 0").count()
     assert filled == 3
     assert nulls.fill_nulls(retail, "none").where("Description = 'none'").count() == 1
