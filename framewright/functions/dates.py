@@ -65,8 +65,13 @@ def weekday_name(c: Column) -> Column:
 
 
 def epoch_micros(ts: Column) -> Column:
-    """NTZ timestamp to microseconds since the epoch, without any time zone."""
-    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+    """NTZ timestamp to microseconds since the epoch, without any time zone: built from the
+    wall-clock fields (``timestamp_diff`` would pass through the session time zone and fold the
+    hour skipped by a daylight-saving change)."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return (days * 86_400_000_000 + F.hour(ts).cast("long") * 3_600_000_000
+            + F.minute(ts).cast("long") * 60_000_000
+            + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long"))
 
 
 def from_epoch_micros(micros: Column) -> Column:

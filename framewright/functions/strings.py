@@ -42,6 +42,7 @@ def replace_words(c: Column, words: Sequence[str], replacement: str) -> Column:
     """Replace every occurrence of any of the words (regex alternation; words and the
     replacement are taken literally).  No words: the text is unchanged."""
     import re
+    words = [w for w in words if w]
     if not words:
         return c
     pattern = "|".join(re.escape(w) for w in words)
@@ -57,8 +58,9 @@ def translate_chars(c: Column, source: str, target: str) -> Column:
 def extract_first(c: Column, words: Sequence[str]) -> Column:
     """First occurrence of any of the words, empty string when none matches."""
     import re
+    words = [w for w in words if w]
     if not words:
-        return F.lit("")
+        return F.when(c.isNotNull(), F.lit(""))
     pattern = "(" + "|".join(re.escape(w) for w in words) + ")"
     return F.regexp_extract(c, pattern, 1)
 

@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 
-CUBE_LIMIT = 2_097_151   # largest |x| whose cube fits in a signed 64-bit long
+# The range of x whose cube fits in a signed 64-bit long.
+CUBE_MIN, CUBE_MAX = -2_097_152, 2_097_151
 
 
 def _make_cube_udf():
     # Built inside a function so the batch function travels to the Python workers by value:
     # workers need pandas, not this package on their path.
-    limit = CUBE_LIMIT
+    low, high = CUBE_MIN, CUBE_MAX
 
     def cube(x: pd.Series) -> pd.Series:
-        if (x.abs() > limit).any():
+        x = x.astype("Int64")            # a batch with nulls arrives as float64: back to exact integers
+        if ((x < low) | (x > high)).any():
             raise ArithmeticError("long overflow in cube_long")
         return x * x * x
 

@@ -139,9 +139,9 @@ def crosstab(df: DataFrame, a: str, b: str, b_values: Sequence) -> DataFrame:
     first column is named ``<a>_<b>`` like ``df.stat.crosstab``.  Values are given so no job
     collects them."""
     wide = df.groupBy(a).pivot(b, list(b_values)).agg(F.count(F.lit(1)))
-    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
-    return wide.select(quoted(wide.columns[0]).alias(f"{a}_{b}"),
-                       *[F.coalesce(quoted(c), F.lit(0)).alias(c) for c in wide.columns[1:]])
+    from framewright.operators.project import quoted
+    return wide.select(F.col(quoted(wide.columns[0])).alias(f"{a}_{b}"),
+                       *[F.coalesce(F.col(quoted(c)), F.lit(0)).alias(c) for c in wide.columns[1:]])
 
 
 def frequent_items(df: DataFrame, cols: Sequence[str], support: float = 0.01) -> DataFrame:

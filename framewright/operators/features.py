@@ -51,14 +51,25 @@ def cached_for_iterations(df: DataFrame) -> DataFrame:
     partitions as the cluster has cores.  Small inputs that AQE coalesced into a few partitions
     would otherwise leave cores idle in every iteration; large inputs already have more
     partitions than cores and are cached as they are (no extra shuffle).  The caller unpersists."""
+    owned = not df.is_cached
     cached = df.cache()
-    cached.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cached.rdd.getNumPartitions() >= cores:
-        return cached
-    spread = df.repartition(cores).cache()
-    spread.count()
-    cached.unpersist()
+    try:
+        cached.count()
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        if cached.rdd.getNumPartitions() >= cores:
+            return cached
+        spread = cached.repartition(cores).cache()
+        try:
+            spread.count()
+        except Exception:
+            spread.unpersist()
+            raise
+    except Exception:
+        if owned:
+            cached.unpersist()
+        raise
+    if owned:
+        cached.unpersist()
     return spread
 
 

@@ -26,8 +26,9 @@ def kmeans_cost(spark, sf_dir):
     prepped = features.prepare(retail_lines(spark, sf_dir), "invoice_date")
     train, test = time_split(prepped, "invoice_date", "2000-01-01")
     stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
-    train_f = features.cached_for_iterations(stages.transform(train).select("features"))   # KMeans iterates over it
+    train_f = None
     try:
+        train_f = features.cached_for_iterations(stages.transform(train).select("features"))  # KMeans iterates
         model = features.fit_kmeans(train_f, k=20, seed=1)
         # Both costs are distributed aggregates; only the two resulting numbers reach the driver.
         train_cost = features.clustering_cost(spark, model, train_f).first()["cost"]
@@ -36,4 +37,5 @@ def kmeans_cost(spark, sf_dir):
             [(float(train_cost), float(test_cost), float(model.summary.trainingCost), model.getK())],
             "train_cost double, test_cost double, summary_train_cost double, k int")
     finally:
-        train_f.unpersist()
+        if train_f is not None:
+            train_f.unpersist()

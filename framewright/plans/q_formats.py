@@ -16,12 +16,13 @@ from framewright.streaming.sinks import run_to_table, unique_name
 from framewright.streaming.sources import file_stream
 
 
-def _orders_csv(spark, sf_dir) -> str:
+def _orders_csv(spark, sf_dir):
+    """Orders written as CSV with a header; returns the folder and the written frame's schema."""
     out = shared_dir(spark, "orders-csv")
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                             "o_orderpriority")
     files.write(o, out, "csv", header=True)
-    return out
+    return out, o.schema
 
 
 # Fixed value: microsecond text form of event times (the writer's default keeps milliseconds only).
@@ -41,7 +42,7 @@ SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total_pric
 FROM orders GROUP BY o_orderpriority
 """)
 def csv_scan_inferred(spark, sf_dir):
-    path = _orders_csv(spark, sf_dir)
+    path, _ = _orders_csv(spark, sf_dir)
     df = files.read_csv(spark, os.path.join(path, "*.csv"))          # many part files as one table
     return df.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"),
                                              F.round(F.sum("o_totalprice"), 2).alias("total_price"),
@@ -78,9 +79,6 @@ def json_scan_inferred(spark, sf_dir):
 SELECT o_orderstatus, count(*) AS count FROM orders GROUP BY o_orderstatus
 """)
 def stream_csv_count(spark, sf_dir):
-    path = _orders_csv(spark, sf_dir)
-    # The schema is declared (the written frame's), so no pass over the files infers it.
-    schema = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                                                  "o_orderpriority").schema
+    path, schema = _orders_csv(spark, sf_dir)   # declared schema: no pass over the files infers it
     stream = file_stream(spark, path, "csv", schema, glob="*.csv", max_files_per_trigger=1, header=True)
     return run_to_table(stream.groupBy("o_orderstatus").count(), "complete", unique_name("stream_csv_count"), spark)

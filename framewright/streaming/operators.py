@@ -17,9 +17,14 @@ from pyspark.sql import functions as F
 from framewright.functions.dates import instant_as_ntz, ntz_as_instant
 
 
+def _type_of(df: DataFrame, column: str) -> str:
+    """The type of a column as Spark resolves the name (case-insensitive, nested paths)."""
+    return df.select(column).dtypes[0][1]
+
+
 def event_time(df: DataFrame, ts: str, name: str = "event_time") -> DataFrame:
     """An event-time column usable by a watermark (see module notes)."""
-    if dict(df.dtypes)[ts] == "timestamp_ntz":
+    if _type_of(df, ts) == "timestamp_ntz":
         return df.withColumn(name, ntz_as_instant(F.col(ts)))
     return df.withColumn(name, F.col(ts).cast("timestamp"))
 
@@ -40,11 +45,11 @@ def count_by(df: DataFrame, *keys: str) -> DataFrame:
 
 def windowed(df: DataFrame, ts: str, size: str, slide: str | None, keys: Sequence[str], *aggs: Column,
              watermark: str | None = None) -> DataFrame:
-    """Aggregate per key and tumbling / sliding window; with ``watermark`` the event
-    time is cast for it and bounds come back as NTZ, so append mode emits each window once the
-    watermark passes its end."""
+    """Aggregate per key and tumbling / sliding window; with ``watermark`` append mode
+    emits each window once the watermark passes its end.  Window bounds have the input's type
+    (NTZ input: NTZ bounds, through the time-zone free mapping of the module notes)."""
     col = ts
-    was_ntz = dict(df.dtypes)[ts] == "timestamp_ntz"
+    was_ntz = _type_of(df, ts) == "timestamp_ntz"
     if watermark:
         df = event_time(df, ts, "__et").withWatermark("__et", watermark)
         col = "__et"

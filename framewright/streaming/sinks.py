@@ -49,6 +49,11 @@ def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str =
     if mode == "append":
         q = writer.format("parquet").option("path", data).start()
     elif mode == "complete":
+        if out_dir is None:
+            # An empty result table exists from the start, so a query that never runs a batch
+            # (no input) still reads back as an empty table; each batch then replaces it.
+            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(data)
+
         def overwrite(batch: DataFrame, epoch_id: int) -> None:
             batch.write.mode("overwrite").parquet(data)
         q = writer.foreachBatch(overwrite).start()
@@ -72,12 +77,8 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
         raise RuntimeError(str(q.exception()))
     if sink == "memory":
         return spark.table(name)
-    if not q.recentProgress:
-        # No micro-batch ran (no input at all): nothing was written, the result is empty.
-        result = spark.createDataFrame([], df.schema)
-    else:
-        # With the schema given, a committed output without data files (every window still open)
-        # reads as empty; any other failure to read is raised.
-        result = spark.read.schema(df.schema).parquet(data)
+    # With the schema given, a committed output without data files (no input, or every window
+    # still open) reads as empty; any other failure to read is raised.
+    result = spark.read.schema(df.schema).parquet(data)
     result.createOrReplaceTempView(name)
     return result

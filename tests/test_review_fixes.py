@@ -20,8 +20,11 @@ def test_literal_replacement_and_empty_word_lists(spark):
         strings.replace_words(F.lit("red car"), ["red"], "US$").alias("a"),
         strings.replace_words(F.lit("red car"), ["red"], "a\\b").alias("b"),
         strings.replace_words(F.lit("red car"), [], "X").alias("c"),
-        strings.extract_first(F.lit("red car"), []).alias("d")).first()
-    assert (r.a, r.b, r.c, r.d) == ("US$ car", "a\\b car", "red car", "")
+        strings.extract_first(F.lit("red car"), []).alias("d"),
+        strings.extract_first(F.lit(None).cast("string"), []).alias("e"),
+        strings.extract_first(F.lit("a red car"), ["", "red"]).alias("f"),
+        strings.replace_words(F.lit("red car"), ["", "red"], "X").alias("g")).first()
+    assert (r.a, r.b, r.c, r.d, r.e, r.f, r.g) == ("US$ car", "a\\b car", "red car", "", None, "red", "X car")
 
 
 def test_frequent_values_exact_boundary(spark):
@@ -43,12 +46,24 @@ def test_conditional_sum_needs_conditions():
 def test_empty_subset_touches_nothing(spark):
     df = spark.createDataFrame([(None, None), (1, None)], "a int, b string")
     assert nulls.drop_nulls(df, "any", []).count() == 2
+    assert nulls.drop_nulls(df, "all", []).count() == 2
     assert nulls.fill_nulls(df, 0, []).where("a IS NULL").count() == 1
+    assert nulls.drop_nulls(df, "any", "a").count() == 1            # one name is one column
+    assert nulls.fill_nulls(df, "z", "b").where("b = 'z'").count() == 2
 
 
 def test_cube_overflow_raises(spark):
     with pytest.raises(Exception, match="overflow"):
         spark.range(1).select(udfs.cube_long(F.lit(3_000_000).cast("long"))).collect()
+    with pytest.raises(Exception, match="overflow"):
+        spark.range(1).select(udfs.cube_long(F.lit(-2**63).cast("long"))).collect()
+    assert spark.range(1).select(udfs.cube_long(F.lit(-2_097_152).cast("long"))).first()[0] == -2**63
+
+
+def test_cube_exact_with_nulls_in_batch(spark):
+    df = spark.createDataFrame([(2_097_151,), (None,)], "x long")
+    got = [r[0] for r in df.select(udfs.cube_long("x")).collect()]
+    assert got == [2_097_151 ** 3, None]
 
 
 def test_epoch_nanos_truncate_toward_zero(spark):
@@ -62,12 +77,14 @@ def test_event_time_ignores_session_time_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
-        batch = so.windowed(so.event_time(df, "ts"), "ts", "1 hour", None, [], F.count(F.lit(1)).alias("n"))
-        got = {(str(r.window_start), r.n) for r in
-               so.flat_window(so.event_time(df, "ts").groupBy(F.window("event_time", "1 hour").alias("window"))
-                              .agg(F.count(F.lit(1)).alias("n")), to_ntz=True).collect()}
-        assert got == {("2024-01-01 10:00:00", 2)}
-        assert batch.count() == 1
+        # The watermark path: NTZ -> instant -> window -> NTZ (withWatermark is a no-op in batch).
+        out = so.windowed(df, "ts", "1 hour", None, [], F.count(F.lit(1)).alias("n"), watermark="10 minutes")
+        assert dict(out.dtypes)["window_start"] == "timestamp_ntz"
+        assert [(r.window_start, r.n) for r in out.collect()] == [(dt.datetime(2024, 1, 1, 10), 2)]
+        dup = spark.createDataFrame([(dt.datetime(2024, 3, 31, 2, 30),), (dt.datetime(2024, 3, 31, 3, 30),)],
+                                    "ts timestamp_ntz")
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")   # 02:00-03:00 does not exist there
+        assert so.deduplicated(dup, [], "ts", "1 minute").count() == 2
         q = load_all()["stream_watermark"]
         from tests.oracle import duck
         compare(q.build(spark, SF01), duck(SF01), q.oracle)
@@ -87,4 +104,18 @@ def test_stream_join_same_key_names(spark):
                  .select("user_id", F.col("event_id").alias(f"{kind}_id"), F.col("event_time").alias(f"{kind}_t"))
     j = so.time_bounded_join(side("view"), side("click"), [("user_id", "user_id")], "view_t", "click_t", "1 hour")
     out = run_to_table(j.select("view_id", "click_id"), "append", unique_name("samekey"), spark)
-    assert out.count() >= 0
+    ev = spark.read.parquet(f"{SF001}/events.parquet")
+    v, c = ev.where("event_type = 'view'").alias("v"), ev.where("event_type = 'click'").alias("c")
+    exp = v.join(c, F.expr("v.user_id = c.user_id AND c.ts >= v.ts AND c.ts <= v.ts + INTERVAL 1 HOUR")) \
+           .select(F.col("v.event_id").alias("view_id"), F.col("c.event_id").alias("click_id"))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, exp.collect())) and exp.count() > 0
+
+
+def test_empty_complete_stream_reads_empty(spark):
+    import tempfile
+    from framewright.streaming.sources import file_stream
+    from framewright.streaming.sinks import run_to_table, unique_name
+    d = tempfile.mkdtemp(prefix="fw-empty-")
+    out = run_to_table(file_stream(spark, d, "json", "k string").groupBy("k").count(), "complete",
+                       unique_name("empty"), spark)
+    assert out.count() == 0 and out.columns == ["k", "count"]
