@@ -19,8 +19,28 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+# Declared scans, one per (application, session, path).  Declaring a Parquet scan lists the
+# files and reads a footer for the schema on the driver (tens of milliseconds, more on object
+# stores); queries over the same tables reuse the declaration instead, as a Spark user keeps one
+# DataFrame per table.  Only the declaration is kept: no data is cached.  ``refresh`` forgets them
+# after files change.
+_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+
+
+def load(spark: SparkSession, sf_dir: str, name: str, reuse: bool = True) -> DataFrame:
+    path = table_path(sf_dir, name)
+    if not reuse:
+        return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, id(spark), path)
+    df = _SCANS.get(key)
+    if df is None:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
+
+
+def refresh() -> None:
+    """Forget the declared scans (after the files of a table changed)."""
+    _SCANS.clear()
 
 
 class Tables:
