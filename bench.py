@@ -23,7 +23,7 @@ HEADLINE = [
     "top5_suppliers_sql",           # group-by supplier, sum quantity, top 5
     "join_lines_orders",            # lineitem inner join orders
     "semi_orders_with_lines",       # orders left semi join lineitem
-    "ranked_purchases",             # rank over (supplier, ship date)
+    "ranked_purchases_window",      # rank over (supplier, ship date): a window, like the probe
     "agg_rollup",                   # rollup (ship date, return flag)
     "agg_cube",                     # cube (ship date, return flag)
     "agg_pivot",                    # pivot by return flag, explicit values
@@ -31,7 +31,7 @@ HEADLINE = [
     "count_distinct_parts",         # exact count distinct
     "approx_distinct_parts",        # approximate count distinct, error 0.1
     "top5_suppliers_by_quantity",   # the same top 5 with supplier names (join)
-    "ranked_purchases_window",
+    "ranked_purchases",             # the same ranks, skew-safe (pre-aggregated counts + join back)
     "join_full",
     "join_array_member",
     "two_sided_total",
@@ -47,7 +47,7 @@ HEADLINE = [
 # catalogue query that mirrors each probe query.
 BASELINE_WARM_BEST = {
     "top5_suppliers_sql": 0.20, "join_lines_orders": 1.03, "semi_orders_with_lines": 0.76,
-    "ranked_purchases": 1.25, "agg_rollup": 0.45, "agg_cube": 0.57, "agg_pivot": 0.45,
+    "ranked_purchases_window": 1.25, "agg_rollup": 0.45, "agg_cube": 0.57, "agg_pivot": 0.45,
     "events_user_day": 0.25, "count_distinct_parts": 0.20, "approx_distinct_parts": 0.19,
 }
 
