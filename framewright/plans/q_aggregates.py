@@ -165,7 +165,7 @@ FROM lineitem GROUP BY l_suppkey
 """)
 def agg_pivot(spark, sf_dir):
     li = Tables(spark, sf_dir).lineitem
-    return agg.pivot(li, ["l_suppkey"], "l_returnflag", RETURN_FLAGS, F.sum("l_quantity"))
+    return agg.pivot_values(li, ["l_suppkey"], "l_returnflag", RETURN_FLAGS, F.sum, "l_quantity")
 
 
 @register("crosstab_pairs", covers=("A29",), oracle="""

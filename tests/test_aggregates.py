@@ -47,6 +47,9 @@ def test_pivot_equals_conditional_sums(spark):
     c = li.groupBy("l_linestatus").agg(*[F.sum(F.when(F.col("l_returnflag") == v, F.col("l_quantity"))).alias(v)
                                          for v in ["A", "N", "R"]])
     assert sorted(map(tuple, p.collect())) == sorted(map(tuple, c.collect()))
+    one = agg.pivot_values(li, ["l_linestatus"], "l_returnflag", ["A", "N", "R", "X"], F.sum, "l_quantity")
+    spark_pivot = agg.pivot(li, ["l_linestatus"], "l_returnflag", ["A", "N", "R", "X"], F.sum("l_quantity"))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, spark_pivot.collect()))
 
 
 def test_crosstab_wide_matches_spark_crosstab(spark):
