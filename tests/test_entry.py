@@ -18,3 +18,10 @@ def test_oracles_name_registered_queries():
     assert set(o) <= set(q)
     assert set(q) - set(o) == ROWS_ONLY
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) and s for s in o.values())
+
+
+def test_command_line_list(capsys):
+    from framewright.__main__ import main
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == len(entry_module.queries()) and out[0].split("\t")[0] == "agg_approx"
