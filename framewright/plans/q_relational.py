@@ -217,9 +217,9 @@ def join_semi_duplicates(spark, sf_dir):
 
 
 @register("join_anti", covers=("J7",), oracle="""
-SELECT c_custkey, c_name, c_acctbal FROM customer
+SELECT c_custkey, c_name, c_acctbal FROM customer c
 WHERE c_acctbal > 5000
-  AND c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_totalprice > 300000 AND o.o_custkey = c.c_custkey)
 """)
 def join_anti(spark, sf_dir):
     c, o = _join_sides(spark, sf_dir)
