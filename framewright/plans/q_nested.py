@@ -68,7 +68,8 @@ def map_explode(spark, sf_dir):
 
 @register("json_functions", covers=("C10", "C11", "C12", "C13"), oracle="""
 SELECT event_id, json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.k') AS k,
-       CAST(to_json({'event_type': event_type, 'user_id': user_id}) AS VARCHAR) AS as_json,
+       CAST(CASE WHEN user_id IS NULL THEN to_json({'event_type': event_type})      -- null fields are omitted
+                 ELSE to_json({'event_type': event_type, 'user_id': user_id}) END AS VARCHAR) AS as_json,
        CAST(event_id AS VARCHAR) AS second_id,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k_int
 FROM events
