@@ -10,8 +10,9 @@ Ranks over a descending order only depend on those counts:
 * running ``max`` of the ordering column from the first row = the group maximum,
 
 so the window runs over distinct values only and the per-row result is a join back on
-(group, value), which AQE can split when a key is hot.  ``ranked_report_window`` is the direct
-single-window form, used by tests as the reference semantics.
+(group, value), which AQE can split when a key is hot.  ``method="auto"`` applies this only to the
+groups that are actually big and ranks every other row with the single window.
+``ranked_report_window`` is the direct single-window form, used by tests as the reference semantics.
 """
 
 from __future__ import annotations
@@ -59,9 +60,35 @@ def _join_back(df: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str,
     return out.select(*[df[c] for c in df.columns], *[F.col(x) for x in names])
 
 
+MAX_BIG_GROUPS = 64
+
+
+def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, big_group_rows: int,
+                        partitions: int | None) -> DataFrame:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+    # Bounded probe: at most MAX_BIG_GROUPS + 1 key rows reach the driver.
+    big = sizes.where(F.col("__size") > big_group_rows).select(*keys).limit(MAX_BIG_GROUPS + 1).collect()
+    if not big:
+        return ranked_report_window(df, keys, value, names)
+    if len(big) > MAX_BIG_GROUPS:
+        return ranked_report(df, keys, value, names, method="counts")
+    in_big = None
+    for row in big:
+        match = None
+        for k in keys:
+            c = F.col(k).eqNullSafe(F.lit(row[k]))
+            match = c if match is None else match & c
+        in_big = match if in_big is None else in_big | match
+    # Rows split by a predicate (no join, no shuffle): the window is safe for groups below the
+    # bound, and the few big groups take the pre-aggregated path.
+    return ranked_report_window(df.where(~in_big), keys, value, names).unionByName(
+        ranked_report(df.where(in_big), keys, value, names, method="counts"))
+
+
 def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
                   names: tuple[str, str, str] = ("max_value", "dense_rank", "rank"),
-                  method: str = "counts", partitions: int | None = None) -> DataFrame:
+                  method: str = "counts", partitions: int | None = None,
+                  big_group_rows: int = 1_000_000) -> DataFrame:
     """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``.
 
     ``method="counts"`` ranks the (group, value) counts with one window per group: a hot group
@@ -70,7 +97,15 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     distinct values: the counts are range-partitioned on (group, value), which cuts a hot group
     into value ranges on several partitions; the partition of each count is frozen by a reliable
     checkpoint in the shared checkpoint folder, ranks are computed inside each partition and
-    shifted by the totals of the group's earlier (higher-valued) partitions."""
+    shifted by the totals of the group's earlier (higher-valued) partitions.
+
+    ``method="auto"`` counts the rows of every group first (a partial aggregate, one row per
+    group, run when called) and fetches the keys of at most 64 groups with more than
+    ``big_group_rows`` rows: those groups take the ``counts`` path, all other rows the single
+    window, which is safe for them and cheaper (no join back).  With no big group it is the single
+    window; with more than 64 it is ``counts`` for all rows."""
+    if method == "auto":
+        return _ranked_report_auto(df, keys, value, names, big_group_rows, partitions)
     n = "__n"
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
     gcols = [F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]

@@ -56,7 +56,9 @@ def test_outer_join_reuses_inner_join_shuffles(spark):
 
 
 def test_ranked_report_window_reads_counts_not_rows(spark):
-    df = QUERIES["ranked_purchases"].build(spark, SF01)
+    from framewright.operators import windows
+    li = spark.read.parquet(f"{SF01}/lineitem.parquet")
+    df = windows.ranked_report(li, ["l_suppkey"], "l_quantity", method="counts")
     optimized = df._jdf.queryExecution().optimizedPlan().toString()
     window_at = optimized.index("Window [")
     below = optimized[window_at:]

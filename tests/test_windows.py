@@ -25,6 +25,12 @@ def test_ranked_report_ties_nulls_and_hot_group(spark):
     direct = windows.ranked_report_window(df, ["a", "b"], "v", names)
     assert fast.columns == direct.columns
     assert _rows(fast) == _rows(direct)
+    # auto: the hot group (300 rows) takes the counts path, the others the window.
+    auto = windows.ranked_report(df, ["a", "b"], "v", names, method="auto", big_group_rows=100)
+    assert _rows(auto) == _rows(direct)
+    # more big groups than the bound: counts for everything
+    many = windows.ranked_report(df, ["a", "b"], "v", names, method="auto", big_group_rows=1)
+    assert _rows(many) == _rows(direct)
 
 
 def test_ranked_report_orders_per_customer(spark):

@@ -89,6 +89,7 @@ def main() -> None:
     forms = {
         "rank_window": lambda: windows.ranked_report_window(li, keys, "l_quantity"),
         "rank_counts": lambda: windows.ranked_report(li, keys, "l_quantity"),
+        "rank_auto": lambda: windows.ranked_report(li, keys, "l_quantity", method="auto", big_group_rows=100_000),
         "full_join_spark": lambda: joins.outer_join(suppliers, li, [("s_key", "l_suppkey")], "full", skew_safe=False),
         "full_join_skew_safe": lambda: joins.outer_join(suppliers, li, [("s_key", "l_suppkey")], "full"),
     }
