@@ -64,14 +64,14 @@ MAX_BIG_GROUPS = 64
 
 
 def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, big_group_rows: int,
-                        partitions: int | None) -> DataFrame:
+                        partitions: int | None, hot_method: str = "counts") -> DataFrame:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
     # Bounded probe: at most MAX_BIG_GROUPS + 1 key rows reach the driver.
     big = sizes.where(F.col("__size") > big_group_rows).select(*keys).limit(MAX_BIG_GROUPS + 1).collect()
     if not big:
         return ranked_report_window(df, keys, value, names)
     if len(big) > MAX_BIG_GROUPS:
-        return ranked_report(df, keys, value, names, method="counts")
+        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
     in_big = None
     for row in big:
         match = None
@@ -82,13 +82,13 @@ def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, b
     # Rows split by a predicate (no join, no shuffle): the window is safe for groups below the
     # bound, and the few big groups take the pre-aggregated path.
     return ranked_report_window(df.where(~in_big), keys, value, names).unionByName(
-        ranked_report(df.where(in_big), keys, value, names, method="counts"))
+        ranked_report(df.where(in_big), keys, value, names, method=hot_method, partitions=partitions))
 
 
 def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
                   names: tuple[str, str, str] = ("max_value", "dense_rank", "rank"),
                   method: str = "counts", partitions: int | None = None,
-                  big_group_rows: int = 1_000_000) -> DataFrame:
+                  big_group_rows: int = 1_000_000, hot_method: str = "counts") -> DataFrame:
     """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``.
 
     ``method="counts"`` ranks the (group, value) counts with one window per group: a hot group
@@ -103,9 +103,10 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     group, run when called) and fetches the keys of at most 64 groups with more than
     ``big_group_rows`` rows: those groups take the ``counts`` path, all other rows the single
     window, which is safe for them and cheaper (no join back).  With no big group it is the single
-    window; with more than 64 it is ``counts`` for all rows."""
+    window; with more than 64 it is ``hot_method`` for all rows.  ``hot_method`` is ``counts`` or
+    ``range`` (for big groups with very many distinct values; only they pay for the checkpoint)."""
     if method == "auto":
-        return _ranked_report_auto(df, keys, value, names, big_group_rows, partitions)
+        return _ranked_report_auto(df, keys, value, names, big_group_rows, partitions, hot_method)
     n = "__n"
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
     gcols = [F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]

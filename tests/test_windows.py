@@ -50,6 +50,9 @@ def test_range_method_splits_hot_group_with_many_values(spark):
     direct = windows.ranked_report_window(df, ["a"], "v", names)
     by_range = windows.ranked_report(df, ["a"], "v", names, method="range", partitions=8)
     assert _rows(by_range) == _rows(direct)
+    auto_range = windows.ranked_report(df, ["a"], "v", names, method="auto", big_group_rows=1000,
+                                       hot_method="range", partitions=8)
+    assert _rows(auto_range) == _rows(direct)
     # The hot group's distinct values are spread over several range partitions.
     counts = df.groupBy("a", "v").count().repartitionByRange(8, F.col("a").asc(), F.col("v").desc())
     spread = counts.where("a = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
