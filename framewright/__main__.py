@@ -36,14 +36,18 @@ def main(argv: list[str] | None = None) -> int:
     if args.query not in catalog:
         print(f"unknown query {args.query!r}; try: python -m framewright list", file=sys.stderr)
         return 2
-    from pyspark.sql import SparkSession
-    builder = SparkSession.builder.appName(f"framewright-{args.query}")
     if args.master:
-        from framewright.session import LOCAL_DEFAULTS
-        builder = builder.master(args.master)
-        for k, v in LOCAL_DEFAULTS.items():
-            builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+        import re
+        from framewright.session import local_session
+        cores = re.fullmatch(r"local\[(\d+|\*)\]", args.master)
+        if not cores:
+            print("--master takes local[N] or local[*]; submit to a cluster with spark-submit", file=sys.stderr)
+            return 2
+        n = cores.group(1)
+        spark = local_session(cores=n, shuffle_partitions=int(n) if n != "*" else 8, app=f"framewright-{args.query}")
+    else:
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.appName(f"framewright-{args.query}").getOrCreate()
     try:
         df = catalog[args.query].build(spark, args.tables_dir)
         if args.out:

@@ -120,7 +120,10 @@ def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
     ``agg_fn(when(pivot_col == v, value_col))``.  For aggregates that skip nulls and give null on
     no input (sum, avg, min, max) the cells equal ``pivot``'s, in one shuffle instead of two
     (Spark's pivot first aggregates by key and pivot value, then pivots by key)."""
-    cells = [agg_fn(F.when(F.col(pivot_col) == F.lit(v), F.col(value_col))).alias(str(v)) for v in values]
+    typ = df.select(pivot_col).dtypes[0][1]
+    name = lambda v: "null" if v is None else (str(v).lower() if isinstance(v, bool) else str(v))
+    cells = [agg_fn(F.when(F.col(pivot_col).eqNullSafe(F.lit(v).cast(typ)), F.col(value_col))).alias(name(v))
+             for v in values]
     return df.groupBy(*keys).agg(*cells)
 
 

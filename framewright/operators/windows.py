@@ -65,20 +65,23 @@ MAX_BIG_GROUPS = 64
 
 def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, big_group_rows: int,
                         partitions: int | None, hot_method: str = "counts") -> DataFrame:
+    if hot_method not in ("counts", "range"):
+        raise ValueError(f"hot_method must be counts or range, not {hot_method}")
+    if not keys:                       # one global group: it is the big group
+        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
+    # Groups are routed by a 64-bit hash of their keys (null-safe, any key type, no literals to
+    # convert).  A normal group that shares a big group's hash is ranked by the big-group path,
+    # which is exact too, so routing never changes results.
+    group_hash = F.xxhash64(*[F.col(k) for k in keys])
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-    # Bounded probe: at most MAX_BIG_GROUPS + 1 key rows reach the driver.
-    big = sizes.where(F.col("__size") > big_group_rows).select(*keys).limit(MAX_BIG_GROUPS + 1).collect()
+    # Bounded probe: at most MAX_BIG_GROUPS + 1 hashes reach the driver.
+    big = [r[0] for r in sizes.where(F.col("__size") > big_group_rows)
+           .select(F.xxhash64(*[F.col(k) for k in keys])).limit(MAX_BIG_GROUPS + 1).collect()]
     if not big:
         return ranked_report_window(df, keys, value, names)
     if len(big) > MAX_BIG_GROUPS:
         return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
-    in_big = None
-    for row in big:
-        match = None
-        for k in keys:
-            c = F.col(k).eqNullSafe(F.lit(row[k]))
-            match = c if match is None else match & c
-        in_big = match if in_big is None else in_big | match
+    in_big = group_hash.isin(big)
     # Rows split by a predicate (no join, no shuffle): the window is safe for groups below the
     # bound, and the few big groups take the pre-aggregated path.
     return ranked_report_window(df.where(~in_big), keys, value, names).unionByName(

@@ -248,6 +248,13 @@ def ranked_purchases(spark, sf_dir):
                                              "l_quantity", _RANK_NAMES, method="auto"))
 
 
+@register("ranked_purchases_counts", covers=("W1", "W2", "W3", "W4", "W5"), oracle=_RANK_SQL)
+def ranked_purchases_counts(spark, sf_dir):
+    """The ranked report with every group ranked from pre-aggregated counts."""
+    return _long_ranks(windows.ranked_report(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],
+                                             "l_quantity", _RANK_NAMES, method="counts"))
+
+
 @register("ranked_purchases_window", covers=("W1", "W2", "W3", "W4", "W5"), oracle=_RANK_SQL)
 def ranked_purchases_window(spark, sf_dir):
     return _long_ranks(windows.ranked_report_window(_rank_input(spark, sf_dir), ["l_suppkey", "ship_date"],

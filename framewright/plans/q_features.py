@@ -27,8 +27,9 @@ def kmeans_cost(spark, sf_dir):
     train, test = time_split(prepped, "invoice_date", "2000-01-01")
     stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
     train_f = None
+    source = stages.transform(train).select("features")
     try:
-        train_f = features.cached_for_iterations(stages.transform(train).select("features"))  # KMeans iterates
+        train_f = features.cached_for_iterations(source)  # KMeans iterates over it
         model = features.fit_kmeans(train_f, k=20, seed=1)
         # Both costs are distributed aggregates; only the two resulting numbers reach the driver.
         train_cost = features.clustering_cost(spark, model, train_f).first()["cost"]
@@ -38,4 +39,4 @@ def kmeans_cost(spark, sf_dir):
             "train_cost double, test_cost double, summary_train_cost double, k int")
     finally:
         if train_f is not None:
-            train_f.unpersist()
+            train_f.unpersist()     # `source` is built here, so whatever is cached belongs to this run

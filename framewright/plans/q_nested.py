@@ -68,7 +68,9 @@ def map_explode(spark, sf_dir):
 
 @register("json_functions", covers=("C10", "C11", "C12", "C13"), oracle="""
 SELECT event_id, json_extract_string(props, '$.k') AS k_text, json_extract_string(props, '$.k') AS k,
-       CAST(CASE WHEN user_id IS NULL THEN to_json({'event_type': event_type})      -- null fields are omitted
+       CAST(CASE WHEN event_type IS NULL AND user_id IS NULL THEN '{}'           -- null fields are omitted
+                 WHEN user_id IS NULL THEN to_json({'event_type': event_type})
+                 WHEN event_type IS NULL THEN to_json({'user_id': user_id})
                  ELSE to_json({'event_type': event_type, 'user_id': user_id}) END AS VARCHAR) AS as_json,
        CAST(event_id AS VARCHAR) AS second_id,
        CAST(json_extract(props, '$.k') AS INTEGER) AS k_int

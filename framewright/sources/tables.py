@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -19,28 +20,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Declared scans, one per (application, session, path).  Declaring a Parquet scan lists the
-# files and reads a footer for the schema on the driver (tens of milliseconds, more on object
-# stores); queries over the same tables reuse the declaration instead, as a Spark user keeps one
-# DataFrame per table.  Only the declaration is kept: no data is cached.  ``refresh`` forgets them
-# after files change.
-_SCANS: dict[tuple[str, int, str], DataFrame] = {}
+# Schemas of the table files, read once per path.  Declaring a Parquet scan without a schema
+# reads a footer on the driver to infer it (tens of milliseconds, more on object stores); with the
+# remembered schema each load is still a fresh relation (its own listing and column ids, so two
+# loads of one table can be joined with each other).  ``refresh`` forgets the schemas after a
+# table's files change shape.
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, reuse: bool = True) -> DataFrame:
     path = table_path(sf_dir, name)
     if not reuse:
         return spark.read.parquet(path)
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    df = _SCANS.get(key)
-    if df is None:
-        df = _SCANS[key] = spark.read.parquet(path)
-    return df
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def refresh() -> None:
-    """Forget the declared scans (after the files of a table changed)."""
-    _SCANS.clear()
+    """Forget the remembered schemas (after the files of a table changed shape)."""
+    _SCHEMAS.clear()
 
 
 class Tables:

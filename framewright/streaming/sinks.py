@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -78,7 +79,13 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
     if sink == "memory":
         return spark.table(name)
     # With the schema given, a committed output without data files (no input, or every window
-    # still open) reads as empty; any other failure to read is raised.
-    result = spark.read.schema(df.schema).parquet(data)
+    # still open) reads as empty, and so does a result folder no batch ever created; any other
+    # failure to read is raised.
+    try:
+        result = spark.read.schema(df.schema).parquet(data)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        result = spark.createDataFrame([], df.schema)
     result.createOrReplaceTempView(name)
     return result

@@ -119,3 +119,51 @@ def test_empty_complete_stream_reads_empty(spark):
     out = run_to_table(file_stream(spark, d, "json", "k string").groupBy("k").count(), "complete",
                        unique_name("empty"), spark)
     assert out.count() == 0 and out.columns == ["k", "count"]
+
+
+def test_two_loads_of_a_table_join(spark):
+    from framewright.sources.tables import Tables
+    t = Tables(spark, SF01)
+    a, b = t.orders, t.orders
+    assert a.join(b, a["o_orderkey"] == b["o_custkey"]).count() >= 0
+
+
+def test_pivot_values_matches_pivot_on_nulls_and_booleans(spark):
+    df = spark.createDataFrame([("k", None, 1), ("k", "a", 5), ("j", "a", 2)], "g string, p string, v int")
+    mine = agg.pivot_values(df, ["g"], "p", [None, "a"], F.sum, "v")
+    theirs = agg.pivot(df, ["g"], "p", [None, "a"], F.sum("v"))
+    assert mine.columns == theirs.columns
+    assert sorted(map(tuple, mine.collect()), key=repr) == sorted(map(tuple, theirs.collect()), key=repr)
+    b = spark.createDataFrame([("k", True, 1), ("k", False, 2)], "g string, p boolean, v int")
+    assert agg.pivot_values(b, ["g"], "p", [True, False], F.sum, "v").columns == ["g", "true", "false"]
+
+
+def test_empty_complete_stream_with_own_folder(spark):
+    import tempfile
+    from framewright.streaming.sources import file_stream
+    from framewright.streaming.sinks import run_to_table, unique_name
+    src, out = tempfile.mkdtemp(prefix="fw-e-src-"), tempfile.mkdtemp(prefix="fw-e-out-")
+    res = run_to_table(file_stream(spark, src, "json", "k string").groupBy("k").count(), "complete",
+                       unique_name("empty_own"), spark, out_dir=out)
+    assert res.count() == 0
+
+
+def test_auto_ranks_global_and_ntz_keys(spark):
+    from framewright.operators import windows
+    df = spark.createDataFrame([(float(i % 4), i) for i in range(10)], "v double, id int")
+    direct = sorted(map(tuple, windows.ranked_report_window(df, [], "v").collect()))
+    assert sorted(map(tuple, windows.ranked_report(df, [], "v", method="auto", big_group_rows=5).collect())) == direct
+    rows = [(dt.datetime(2024, 1, 1, 10), float(i % 3), i) for i in range(20)] + \
+           [(dt.datetime(2024, 1, 2, 10), 1.0, 100)]
+    t = spark.createDataFrame(rows, "t timestamp_ntz, v double, id int")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        auto = windows.ranked_report(t, ["t"], "v", method="auto", big_group_rows=5)
+        plan = auto._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" in plan                     # the big group took the counts path
+        assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, windows.ranked_report_window(t, ["t"], "v").collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    with pytest.raises(ValueError):
+        windows.ranked_report(df, ["v"], "id", method="auto", hot_method="window")

@@ -80,7 +80,12 @@ def test_matches_duckdb_on_hot_keys(spark, skewed_dir, duck_skewed, name):
     compare(q.build(spark, skewed_dir), duck_skewed, q.oracle)
 
 
+@pytest.fixture(scope="module")
+def duck_null_keys(null_key_dir):
+    return duck(null_key_dir)
+
+
 @pytest.mark.parametrize("name", WITH_ORACLE)
-def test_matches_duckdb_with_null_keys(spark, null_key_dir, name):
+def test_matches_duckdb_with_null_keys(spark, null_key_dir, duck_null_keys, name):
     q = QUERIES[name]
-    compare(q.build(spark, null_key_dir), duck(null_key_dir), q.oracle)
+    compare(q.build(spark, null_key_dir), duck_null_keys, q.oracle)
