@@ -11,6 +11,7 @@ through the driver), or prints the first ``--show`` rows.  On a cluster, submit
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from framewright.plans.catalog import load_all
@@ -39,12 +40,15 @@ def main(argv: list[str] | None = None) -> int:
     if args.master:
         import re
         from framewright.session import local_session
-        cores = re.fullmatch(r"local\[(\d+|\*)\]", args.master)
-        if not cores:
-            print("--master takes local[N] or local[*]; submit to a cluster with spark-submit", file=sys.stderr)
+        m = re.fullmatch(r"local(?:\[(\d+|\*)(?:,\d+)?\])?", args.master)
+        if not m:
+            print("--master takes local, local[N] or local[*]; submit to a cluster with spark-submit",
+                  file=sys.stderr)
             return 2
-        n = cores.group(1)
-        spark = local_session(cores=n, shuffle_partitions=int(n) if n != "*" else 8, app=f"framewright-{args.query}")
+        n = m.group(1) or "1"
+        cores = (os.cpu_count() or 8) if n == "*" else int(n)
+        # A few shuffle partitions per core; AQE merges small ones.
+        spark = local_session(cores=n, shuffle_partitions=max(8, 4 * cores), app=f"framewright-{args.query}")
     else:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.appName(f"framewright-{args.query}").getOrCreate()

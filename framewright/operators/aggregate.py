@@ -119,11 +119,13 @@ def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
     """A25 as one aggregate: one conditional aggregate per given value,
     ``agg_fn(when(pivot_col == v, value_col))``.  For aggregates that skip nulls and give null on
     no input (sum, avg, min, max) the cells equal ``pivot``'s, in one shuffle instead of two
-    (Spark's pivot first aggregates by key and pivot value, then pivots by key)."""
-    typ = df.select(pivot_col).dtypes[0][1]
-    name = lambda v: "null" if v is None else (str(v).lower() if isinstance(v, bool) else str(v))
-    cells = [agg_fn(F.when(F.col(pivot_col).eqNullSafe(F.lit(v).cast(typ)), F.col(value_col))).alias(name(v))
-             for v in values]
+    (Spark's pivot first aggregates by key and pivot value, then pivots by key).  A NaN value
+    matches NaN rows (Spark SQL treats NaN as equal to NaN)."""
+    typ = df.select(pivot_col).schema[0].dataType
+    lits = [F.lit(v).cast(typ) for v in values]
+    # Column names as Spark's pivot writes them: the value cast to text (one tiny local job).
+    names = list(df.sparkSession.range(1).select(*[F.coalesce(x.cast("string"), F.lit("null")) for x in lits]).first())
+    cells = [agg_fn(F.when(F.col(pivot_col).eqNullSafe(x), F.col(value_col))).alias(nm) for x, nm in zip(lits, names)]
     return df.groupBy(*keys).agg(*cells)
 
 

@@ -50,8 +50,8 @@ def cached_for_iterations(df: DataFrame) -> DataFrame:
     """Cache a frame that an iterative fit reads many times, spread over at least as many
     partitions as the cluster has cores.  Small inputs that AQE coalesced into a few partitions
     would otherwise leave cores idle in every iteration; large inputs already have more
-    partitions than cores and are cached as they are (no extra shuffle).  The caller unpersists
-    the result unless it is the very frame passed in (an input the caller had cached already)."""
+    partitions than cores and are cached as they are (no extra shuffle).  Unpersist the result when
+    done, unless the input was already cached before the call (then it may be returned as is)."""
     owned = not df.is_cached
     cached = df.cache()
     try:

@@ -69,6 +69,9 @@ def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, b
         raise ValueError(f"hot_method must be counts or range, not {hot_method}")
     if not keys:                       # one global group: it is the big group
         return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
+    if any(getattr(df.select(k).schema[0].dataType, "collation", "UTF8_BINARY") != "UTF8_BINARY" for k in keys):
+        # Hashes see bytes, grouping sees the collation: route nothing, rank every group safely.
+        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
     # Groups are routed by a 64-bit hash of their keys (null-safe, any key type, no literals to
     # convert).  A normal group that shares a big group's hash is ranked by the big-group path,
     # which is exact too, so routing never changes results.
@@ -76,7 +79,7 @@ def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, b
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
     # Bounded probe: at most MAX_BIG_GROUPS + 1 hashes reach the driver.
     big = [r[0] for r in sizes.where(F.col("__size") > big_group_rows)
-           .select(F.xxhash64(*[F.col(k) for k in keys])).limit(MAX_BIG_GROUPS + 1).collect()]
+           .select(group_hash).limit(MAX_BIG_GROUPS + 1).collect()]
     if not big:
         return ranked_report_window(df, keys, value, names)
     if len(big) > MAX_BIG_GROUPS:
@@ -103,10 +106,11 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     shifted by the totals of the group's earlier (higher-valued) partitions.
 
     ``method="auto"`` counts the rows of every group first (a partial aggregate, one row per
-    group, run when called) and fetches the keys of at most 64 groups with more than
-    ``big_group_rows`` rows: those groups take the ``counts`` path, all other rows the single
+    group, run when called) and fetches 64-bit hashes of the keys of at most 64 groups with more
+    than ``big_group_rows`` rows: rows whose key hash is among them take the ``hot_method`` path
+    (a small group sharing a hash goes there too, which is still exact), all other rows the single
     window, which is safe for them and cheaper (no join back).  With no big group it is the single
-    window; with more than 64 it is ``hot_method`` for all rows.  ``hot_method`` is ``counts`` or
+    window; with more than 64, no keys, or collated string keys it is ``hot_method`` for all rows.  ``hot_method`` is ``counts`` or
     ``range`` (for big groups with very many distinct values; only they pay for the checkpoint)."""
     if method == "auto":
         return _ranked_report_auto(df, keys, value, names, big_group_rows, partitions, hot_method)

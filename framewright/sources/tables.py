@@ -25,17 +25,18 @@ def table_path(sf_dir: str, name: str) -> str:
 # remembered schema each load is still a fresh relation (its own listing and column ids, so two
 # loads of one table can be joined with each other).  ``refresh`` forgets the schemas after a
 # table's files change shape.
-_SCHEMAS: dict[str, StructType] = {}
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, reuse: bool = True) -> DataFrame:
     path = table_path(sf_dir, name)
     if not reuse:
         return spark.read.parquet(path)
-    schema = _SCHEMAS.get(path)
+    key = (spark.conf.get("spark.app.id", ""), path)       # per application: settings may differ
+    schema = _SCHEMAS.get(key)
     if schema is None:
         df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
+        _SCHEMAS[key] = df.schema
         return df
     return spark.read.schema(schema).parquet(path)
 

@@ -84,8 +84,9 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
     try:
         result = spark.read.schema(df.schema).parquet(data)
     except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
+        processed = sum(p.get("numInputRows", 0) for p in q.recentProgress)
+        if e.getCondition() != "PATH_NOT_FOUND" or processed > 0:
+            raise                      # rows went in, so their result must be readable
         result = spark.createDataFrame([], df.schema)
     result.createOrReplaceTempView(name)
     return result
