@@ -123,8 +123,13 @@ def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Seq
     matches NaN rows (Spark SQL treats NaN as equal to NaN)."""
     typ = df.select(pivot_col).schema[0].dataType
     lits = [F.lit(v).cast(typ) for v in values]
-    # Column names as Spark's pivot writes them: the value cast to text (one tiny local job).
-    names = list(df.sparkSession.range(1).select(*[F.coalesce(x.cast("string"), F.lit("null")) for x in lits]).first())
+    # Column names as Spark's pivot writes them: the value cast to text.  Plain values are named
+    # here; others (floats, dates, timestamps) by Spark itself in one tiny local job.
+    if all(v is None or isinstance(v, (str, int, bool)) for v in values):
+        names = ["null" if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in values]
+    else:
+        names = list(df.sparkSession.range(1).select(
+            *[F.coalesce(x.cast("string"), F.lit("null")) for x in lits]).first())
     cells = [agg_fn(F.when(F.col(pivot_col).eqNullSafe(x), F.col(value_col))).alias(nm) for x, nm in zip(lits, names)]
     return df.groupBy(*keys).agg(*cells)
 

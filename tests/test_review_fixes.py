@@ -169,3 +169,9 @@ def test_auto_ranks_global_and_ntz_keys(spark):
         spark.conf.set("spark.sql.session.timeZone", old)
     with pytest.raises(ValueError):
         windows.ranked_report(df, ["v"], "id", method="auto", hot_method="window")
+
+
+def test_pivot_values_names_for_floats_follow_spark(spark):
+    df = spark.createDataFrame([("k", 1e-5, 1), ("k", 2.5, 2)], "g string, p double, v int")
+    assert agg.pivot_values(df, ["g"], "p", [1e-5, 2.5], F.sum, "v").columns == \
+        agg.pivot(df, ["g"], "p", [1e-5, 2.5], F.sum("v")).columns
