@@ -54,7 +54,9 @@ def main() -> None:
     out = ["# PLANS", "", "Executed physical plans of the headline queries (generated by `tools/plan_report.py`).",
            "*Default*: session defaults at sf0.1.  *No broadcast*: `spark.sql.autoBroadcastJoinThreshold=-1`, the",
            "shape of the plan when no join side is small, as at 100 TB.  Shuffles count hash, range, single-partition",
-           "and round-robin exchanges; reused exchanges are shuffles Spark performs once for two consumers.", ""]
+           "and round-robin exchanges; reused exchanges are shuffles Spark performs once for two consumers.",
+           "Probe jobs that run when a query is built are not part of its plan: `ranked_purchases` first counts",
+           "rows per group (one partial aggregate); with no group above its bound it is then the single window.", ""]
     for name in HEADLINE:
         if name.startswith("stream_"):
             continue
