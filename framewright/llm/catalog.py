@@ -5,24 +5,46 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from framewright.llm import packing, token_counts
+from framewright.llm import fingerprints, mixing, packing, resharding, token_counts
 from framewright.llm.common import documents
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
+#: The layout that op6 starts from: shards by source, so the largest source overfills one of them.
+OLD_SHARDS, NEW_SHARDS = 16, 24
+
+
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), token_counts.tokenizer_path())
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+def op6_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    old = F.pmod(F.crc32(F.encode(F.coalesce(docs["source"], F.lit("")), "UTF-8")), F.lit(OLD_SHARDS))
+    placed = resharding.reshard(docs, old, OLD_SHARDS, [1] * NEW_SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), token_counts.tokenizer_path())
 
 
 def queries() -> dict[str, Builder]:
-    return {f.__name__: f for f in (op3_token_counts, op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_source_mix, op3_token_counts, op4_fingerprints, op6_flow_resharding,
+                                  op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_source_mix": mixing.SQL}
