@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import fingerprints, mixing, packing, resharding, token_counts
+from framewright.llm import fingerprints, mixing, packing, quality_classifier, quality_rules, resharding, token_counts
 from framewright.llm.common import documents
+from framewright.sources.tables import load
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,10 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), token_counts.tokenizer_path())
 
@@ -29,6 +34,11 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(documents(spark, sf_dir))
 
 
+def op5_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality_classifier.score(docs, quality_classifier.train(docs, load(spark, sf_dir, "labels")))
+
+
 def op6_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     old = F.pmod(F.crc32(F.encode(F.coalesce(docs["source"], F.lit("")), "UTF-8")), F.lit(OLD_SHARDS))
@@ -42,8 +52,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Builder]:
-    return {f.__name__: f for f in (op1_source_mix, op3_token_counts, op4_fingerprints, op6_flow_resharding,
-                                  op10_best_fit_packing)}
+    return {f.__name__: f for f in (op1_source_mix, op2_quality_rules, op3_token_counts, op4_fingerprints,
+                                  op5_factorisation_machine, op6_flow_resharding, op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
