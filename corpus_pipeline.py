@@ -1,26 +1,59 @@
-"""Corpus pipeline: quality rules, near-dedup, suffix-array dedup, mixing, packing."""
+"""Corpus pipeline: from ``documents`` to packed training sequences in five stages.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it kept.  The first
+four return the columns of ``documents``; the last returns the pieces and their sequences.
+
+1. quality rules: documents that the rules reject go;
+2. near-dedup: one document of each group of near copies stays;
+3. suffix-array dedup: bytes that an earlier document has in a run of 50 or more go;
+4. source mix: each source's documents are taken as often as its target asks for, 0 to 2 times;
+5. best-fit packing into sequences of 1024 tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from framewright.llm import packing, token_counts
+from framewright.llm import chosen_path, mixing, packing, quality_rules, suffix_dedup, token_counts
 from framewright.llm.common import documents, stored
 
 
-def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_rules.kept_documents(docs)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return chosen_path.deduplicated(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, token_counts.tokenizer_path())
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("quality rules", keep_quality),
+    ("near-dedup", drop_near_duplicates),
+    ("suffix-array dedup", cut_repeats),
+    ("source mix", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 
-#: The near-dedup and quality stages cannot be stated in SQL.
+#: SQL cannot state the covariance estimate, the components or the packing; tests/llm compare the
+#: stages with brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet and read by the next."""
+    """All stages over ``documents``; each result is written as Parquet and read by the next one."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import chosen_path, fingerprints, mixing, packing, quality_classifier, quality_rules, resharding, token_counts
+from framewright.llm import chosen_path, fingerprints, mixing, packing, quality_classifier, quality_rules, resharding, seed_extend, suffix_dedup, token_counts
 from framewright.llm.common import documents
 from framewright.sources.tables import load
 
@@ -51,13 +51,22 @@ def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.digest(documents(spark, sf_dir))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removals(documents(spark, sf_dir))
+
+
+def op9_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return seed_extend.removals(documents(spark, sf_dir))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), token_counts.tokenizer_path())
 
 
 def queries() -> dict[str, Builder]:
     return {f.__name__: f for f in (op1_source_mix, op2_quality_rules, op3_token_counts, op4_fingerprints,
-                                  op5_factorisation_machine, op6_flow_resharding, op7_chosen_path, op10_best_fit_packing)}
+                                  op5_factorisation_machine, op6_flow_resharding, op7_chosen_path, op8_suffix_dedup, op9_seed_extend,
+                                  op10_best_fit_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
