@@ -104,21 +104,20 @@ def udf_cube_sql(spark, sf_dir):
                      events=Tables(spark, sf_dir).events)
 
 
-# The lookup dictionary (word -> value); words not in it take the default 0.
-WORD_VALUES = {"red": 1000, "blue": 200, "hot": -300, "small": 100}
+# Points per colour of a part's name; words that are no listed colour take the default.
+COLOUR_POINTS = {"blue": 3, "green": 5, "red": 8}
 
 
 @register("lookup_with_default", covers=("X3", "O1"), oracle="""
-SELECT p_partkey, word, CAST(CASE word WHEN 'red' THEN 1000 WHEN 'blue' THEN 200 WHEN 'hot' THEN -300
-                                  WHEN 'small' THEN 100 ELSE 0 END AS BIGINT) AS value
+SELECT p_partkey, word, CAST(CASE word WHEN 'blue' THEN 3 WHEN 'green' THEN 5 WHEN 'red' THEN 8 ELSE 1 END AS BIGINT) AS points
 FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part)
-ORDER BY value, word, p_partkey
+ORDER BY points, word, p_partkey
 """)
 def lookup_with_default(spark, sf_dir):
     p = Tables(spark, sf_dir).part
     words = p.select("p_partkey", F.explode(F.split("p_name", " ")).alias("word"))
-    looked = shared.lookup_with_default(spark, words, "word", WORD_VALUES, default=0)
-    return looked.orderBy("value", "word", "p_partkey")
+    looked = shared.lookup_with_default(spark, words, "word", COLOUR_POINTS, default=1, value_name="points")
+    return looked.orderBy("points", "word", "p_partkey")
 
 
 @register("two_sided_total", covers=("X4",), oracle="""

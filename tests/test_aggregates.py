@@ -94,27 +94,24 @@ def test_first_last_by_is_repeatable(spark):
 
 
 def test_two_sided_total_counts_row_twice(spark):
-    flights = spark.createDataFrame(
-        [("China", "USA", 5), ("USA", "China", 7), ("China", "China", 2), ("USA", "Peru", 1)],
-        "dest string, origin string, count long")
-    totals = {r.entity: r.total for r in shared.two_sided_total(flights, "dest", "origin", "count").collect()}
-    assert totals["China"] == 5 + 7 + 2 + 2
-    one = shared.two_sided_total_for(flights, "dest", "origin", "count", "China").first().total
-    assert one == totals["China"]
+    trades = spark.createDataFrame(
+        [("wool", "salt", 11), ("salt", "salt", 4), ("tin", "wool", 6), ("salt", "tin", 20)], "given string, got string, sacks long")
+    totals = {r.entity: r.total for r in shared.two_sided_total(trades, "given", "got", "sacks").collect()}
+    assert totals == {"wool": 17, "salt": 11 + 4 + 4 + 20, "tin": 26}
+    assert shared.two_sided_total_for(trades, "given", "got", "sacks", "salt").first().total == totals["salt"]
 
 
 def test_observed_side_metric(spark):
-    flights = spark.createDataFrame([("China", "USA", 5), ("USA", "China", 7)], "dest string, origin string, c long")
-    df, obs = shared.observed(flights, "china", F.sum(F.when(F.col("dest") == "China", F.col("c"))).alias("to_china"))
+    trades = spark.createDataFrame([("wool", 11), ("tin", 6), ("wool", 2)], "given string, sacks long")
+    df, obs = shared.observed(trades, "wool", F.sum(F.when(F.col("given") == "wool", F.col("sacks"))).alias("wool_sacks"))
     df.write.format("noop").mode("overwrite").save()
-    assert obs.get["to_china"] == 5
+    assert obs.get["wool_sacks"] == 13
 
 
 def test_lookup_with_default(spark):
-    words = spark.createDataFrame([(w,) for w in "Spark The Definitive Guide : Big Data".split()], "word string")
-    out = shared.lookup_with_default(spark, words, "word", {"Spark": 1000, "Definitive": 200, "Big": -300}, 0)
-    got = dict((r.word, r.value) for r in out.collect())
-    assert got["Spark"] == 1000 and got["Big"] == -300 and got["Guide"] == 0
+    birds = spark.createDataFrame([("wren",), ("heron",), ("wren",), (None,)], "bird string")
+    out = shared.lookup_with_default(spark, birds, "bird", {"wren": 9, "owl": 41}, default=-1)
+    assert sorted(((r.bird, r.value) for r in out.collect()), key=repr) == [("heron", -1), ("wren", 9), ("wren", 9), (None, -1)]
 
 
 def test_sorted_list_of_pairs_bounded(spark):

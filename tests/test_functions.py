@@ -20,31 +20,31 @@ def test_rounding(spark):
 
 
 def test_strings(spark):
-    c = F.lit("  hello WORLD  ")
-    r = one(spark, strings.capitalise_words(F.lit("hello wORLD")).alias("t"), strings.pad_left(F.lit("HELLO"), 3).alias("p"),
+    c = F.lit("  tidal mark ")
+    r = one(spark, strings.capitalise_words(F.lit("north sEA")).alias("t"), strings.pad_left(F.lit("HARBOUR"), 4).alias("p"),
             strings.pad_right(F.lit("ab"), 4, "*").alias("rp"), *[x.alias(f"t{i}") for i, x in enumerate(strings.trims(c))],
             strings.extract_first(F.lit("nothing here"), ["red"]).alias("e"),
             strings.replace_words(F.lit("red and blue"), ["red", "blue"], "C").alias("r"),
-            strings.translate_chars(F.lit("LEET"), "LET", "137").alias("tr"),
+            strings.translate_chars(F.lit("ROPE"), "OE", "05").alias("tr"),
             strings.position(F.lit("abc"), "c").alias("pos"), strings.contains_flag(F.lit("abc"), "z").alias("f"))
-    assert r.t == "Hello World" and r.p == "HEL" and r.rp == "ab**"
-    assert (r.t0, r.t1, r.t2) == ("hello WORLD  ", "  hello WORLD", "hello WORLD")
-    assert r.e == "" and r.r == "C and C" and r.tr == "1337" and r.pos == 3 and r.f is False
+    assert r.t == "North Sea" and r.p == "HARB" and r.rp == "ab**"
+    assert (r.t0, r.t1, r.t2) == ("tidal mark ", "  tidal mark", "tidal mark")
+    assert r.e == "" and r.r == "C and C" and r.tr == "R0P5" and r.pos == 3 and r.f is False
 
 
 def test_dates(spark):
-    d1, d2 = F.to_date(F.lit("2016-01-01")), F.to_date(F.lit("2017-05-22"))
-    r = one(spark, dates.day_difference(dates.sub_days(d1, 7), d1).alias("dd"),
+    d1, d2 = F.to_date(F.lit("1999-03-15")), F.to_date(F.lit("2000-02-29"))
+    r = one(spark, dates.day_difference(dates.sub_days(d1, 30), d1).alias("dd"),
             dates.months_between(d1, d2).alias("mb"),
-            dates.try_parse_date(F.lit("2016-20-12")).alias("bad"),
-            dates.try_parse_date(F.lit("2017-20-12"), "yyyy-dd-MM").alias("try_pat"),
-            dates.try_parse_date(F.lit("2017-40-12"), "yyyy-dd-MM").alias("try_bad"),
-            dates.parse_date(F.lit("2017-20-12"), "yyyy-dd-MM").alias("pat"),
-            dates.parse_date(F.lit("1/4/2011 10:00"), "M/d/yyyy H:mm").alias("short"),
+            dates.try_parse_date(F.lit("1999-31-04")).alias("bad"),
+            dates.try_parse_date(F.lit("1999-31-08"), "yyyy-dd-MM").alias("try_pat"),
+            dates.try_parse_date(F.lit("1999-31-06"), "yyyy-dd-MM").alias("try_bad"),
+            dates.parse_date(F.lit("1999-31-08"), "yyyy-dd-MM").alias("pat"),
+            dates.parse_date(F.lit("7.9.2003 6h30"), "d.M.yyyy H'h'mm").alias("short"),
             dates.weekday_name(d1).alias("wd"))
-    assert r.dd == -7 and r.mb == pytest.approx(-16.67741935) and r.bad is None
-    assert r.try_pat == dt.date(2017, 12, 20) and r.try_bad is None
-    assert r.pat == dt.date(2017, 12, 20) and r.short == dt.date(2011, 1, 4) and r.wd == "Friday"
+    assert r.dd == -30 and r.mb == pytest.approx(-11.4516129) and r.bad is None
+    assert r.try_pat == dt.date(1999, 8, 31) and r.try_bad is None
+    assert r.pat == dt.date(1999, 8, 31) and r.short == dt.date(2003, 9, 7) and r.wd == "Monday"
 
 
 def test_epoch_nanos_round_trip(spark):

@@ -7,40 +7,42 @@ from framewright.operators import joins
 
 
 @pytest.fixture(scope="module")
-def people(spark):
-    person = spark.createDataFrame(
-        [(0, "Ada", 0, [100]), (1, "Bo", 1, [500, 250, 100]), (2, "Cyd", 1, [250, 100, 100])],
-        "id long, name string, graduate_program long, spark_status array<long>")
-    program = spark.createDataFrame(
-        [(0, "Masters", "Informatics", "North"), (2, "Masters", "EECS", "North"), (1, "PhD", "EECS", "North")],
-        "id long, degree string, department string, school string")
-    status = spark.createDataFrame([(500, "Lead"), (250, "Committer"), (100, "Contributor")], "id long, status string")
-    return person, program.withColumnRenamed("id", "program_id"), status
+def workshop(spark):
+    """Repair jobs (each at one bench, with the tool codes it needs), benches and tools.  Bench 30 has
+    no job, job 'dial' stands at a bench that does not exist, and one job lists a tool twice."""
+    job = spark.createDataFrame(
+        [("lens", 10, ["clamp", "loupe"]), ("gear", 10, ["file"]), ("case", 20, ["file", "file", "glue"]), ("dial", 40, [])],
+        "job string, bench long, tools array<string>")
+    bench = spark.createDataFrame([(10, "window", 4.5), (20, "door", 3.0), (30, "stairs", 2.25)],
+                                  "bench_no long, place string, width double")
+    tool = spark.createDataFrame([("clamp", 2), ("file", 7), ("glue", 1), ("saw", 5)], "code string, shelf int")
+    return job, bench, tool
 
 
 def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
-def test_golden_counts(spark, people):
-    person, program, status = people
-    on = [("graduate_program", "program_id")]
-    assert joins.join(person, program, on, "inner").count() == 3
-    assert joins.outer_join(person, program, on, "full").count() == 4
-    assert joins.outer_join(person, program, on, "left").count() == 3
-    assert joins.outer_join(person, program, on, "right").count() == 4
-    assert joins.semi_join(program, person, [("program_id", "graduate_program")]).count() == 2
-    assert joins.anti_join(program, person, [("program_id", "graduate_program")]).count() == 1
-    assert joins.cross_product(person, program).count() == 9
-    # Repeated element 100 in the last person's array must not double the pair.
-    assert joins.array_member_join(person, "spark_status", status, "id").count() == 6
+def test_golden_rows(spark, workshop):
+    job, bench, tool = workshop
+    on = [("bench", "bench_no")]
+    assert _rows(joins.join(job, bench, on).select("job", "place")) == [("case", "door"), ("gear", "window"), ("lens", "window")]
+    assert _rows(joins.outer_join(job, bench, on, "full").select("job", "place")) == sorted(
+        [("case", "door"), ("dial", None), ("gear", "window"), ("lens", "window"), (None, "stairs")], key=repr)
+    assert joins.outer_join(job, bench, on, "left").count() == 4
+    assert joins.outer_join(job, bench, on, "right").count() == 4
+    assert _rows(joins.semi_join(bench, job, [("bench_no", "bench")]).select("place")) == [("door",), ("window",)]
+    assert _rows(joins.anti_join(bench, job, [("bench_no", "bench")]).select("place")) == [("stairs",)]
+    assert joins.cross_product(job, bench).count() == 12
+    # A tool that a job lists twice does not double the pair; 'loupe' is not in the store.
+    assert _rows(joins.array_member_join(job, "tools", tool, "code").select("job", "shelf")) == [
+        ("case", 1), ("case", 7), ("gear", 7), ("lens", 2)]
 
 
-def test_semi_keeps_duplicate_left_rows(spark, people):
-    person, program, _ = people
-    extra = spark.createDataFrame([(0, "Masters", "Dup", "North")], program.schema)
-    dup = program.unionByName(extra)
-    assert joins.semi_join(dup, person, [("program_id", "graduate_program")]).count() == 3
+def test_semi_keeps_duplicate_left_rows(spark, workshop):
+    job, bench, _ = workshop
+    twice = bench.unionByName(bench.where("place = 'door'"))
+    assert _rows(joins.semi_join(twice, job, [("bench_no", "bench")]).select("bench_no")) == [(10,), (20,), (20,)]
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
@@ -63,30 +65,23 @@ def test_semi_anti_partition_left(spark):
     assert set(r.id for r in semi.collect()).isdisjoint(r.id for r in anti.collect())
 
 
-def test_cross_product_refuses_unbounded_side(spark, people):
-    person, program, _ = people
-    with pytest.raises(ValueError):
-        joins.cross_product(person, program, max_right_rows=2)
-
-
-def test_array_member_join_plans_equi_join(spark, people):
-    person, _, status = people
-    plan = joins.array_member_join(person, "spark_status", status, "id")._jdf.queryExecution().executedPlan().toString()
+def test_array_member_join_plans_equi_join(spark, workshop):
+    job, _, tool = workshop
+    plan = joins.array_member_join(job, "tools", tool, "code")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan
 
 
-def test_keep_both_keys_and_drop_and_rename(spark, people):
-    person, program, _ = people
-    both = joins.join_keep_both_keys(person, program, "graduate_program", "program_id")
-    assert both.select("l.graduate_program", "r.program_id").count() == 3
-    prog_id = program.withColumnRenamed("program_id", "graduate_program")
-    dropped = joins.join_drop_right_key(person, prog_id, "graduate_program")
-    assert dropped.columns.count("graduate_program") == 1
-    renamed = joins.join_renamed(person, program, "graduate_program", "program_id")
-    assert "program_id" not in renamed.columns and renamed.count() == 3
+def test_keep_both_keys_and_drop_and_rename(spark, workshop):
+    job, bench, _ = workshop
+    both = joins.join_keep_both_keys(job, bench, "bench", "bench_no")
+    assert both.select("l.bench", "r.bench_no").count() == 3
+    dropped = joins.join_drop_right_key(job, bench.withColumnRenamed("bench_no", "bench"), "bench")
+    assert dropped.columns.count("bench") == 1
+    renamed = joins.join_renamed(job, bench, "bench", "bench_no")
+    assert "bench_no" not in renamed.columns and renamed.count() == 3
 
 
-def test_cross_with_condition_is_inner(spark, people):
-    person, program, _ = people
-    cond = person["graduate_program"] == program["program_id"]
-    assert _rows(person.join(program, cond, "cross")) == _rows(person.join(program, cond, "inner"))
+def test_cross_with_condition_is_inner(spark, workshop):
+    job, bench, _ = workshop
+    cond = job["bench"] == bench["bench_no"]
+    assert _rows(job.join(bench, cond, "cross")) == _rows(job.join(bench, cond, "inner"))
