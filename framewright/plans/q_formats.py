@@ -80,5 +80,5 @@ SELECT o_orderstatus, count(*) AS count FROM orders GROUP BY o_orderstatus
 """)
 def stream_csv_count(spark, sf_dir):
     path, schema = _orders_csv(spark, sf_dir)   # declared schema: no pass over the files infers it
-    stream = file_stream(spark, path, "csv", schema, glob="*.csv", max_files_per_trigger=1, header=True)
+    stream = file_stream(spark, path, "csv", schema, glob="*.csv", header=True)
     return run_to_table(stream.groupBy("o_orderstatus").count(), "complete", unique_name("stream_csv_count"), spark)

@@ -10,8 +10,8 @@ Sinks:
 * ``files`` (default): results are written by the executors as Parquet under the shared
   checkpoint folder, with the query's checkpoint beside them, so a lost executor or a restarted
   driver resumes from the last committed batch.  Append mode uses the fault-tolerant file sink;
-  complete mode rewrites the whole result table each batch through ``foreachBatch`` (a replayed
-  batch rewrites the same result, so it is idempotent).
+  complete mode writes each batch's result to a folder of its own, and the last finished one is the
+  result, so a failure never leaves half a result (a replayed batch rewrites its own folder).
 * ``memory``: the result rows are held by the driver.  Only for results with a known small bound.
 """
 
@@ -32,6 +32,23 @@ def unique_name(base: str) -> str:
     return f"{base}_{uuid.uuid4().hex[:8]}"
 
 
+def _complete_results(spark: SparkSession, data: str) -> list[tuple[int, str]]:
+    """Finished results of a complete-mode query: batch number and folder, oldest first."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(data)
+    fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(root):
+        return []
+    found = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("batch=")]
+    return sorted((int(p.getName().partition("=")[2]), p.toString()) for p in found
+                  if fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str = "files",
           processing_time: str | None = None, out_dir: str | None = None) -> tuple[StreamingQuery, str | None]:
     """Start the query; ``processing_time`` (e.g. ``"5 seconds"``, R11) gives a fixed-interval
@@ -50,22 +67,40 @@ def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str =
     if mode == "append":
         q = writer.format("parquet").option("path", data).start()
     elif mode == "complete":
-        if out_dir is None:
-            # An empty result table exists from the start, so a query that never runs a batch
-            # (no input) still reads back as an empty table; each batch then replaces it.
-            spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(data)
-
-        def overwrite(batch: DataFrame, epoch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(data)
-        q = writer.foreachBatch(overwrite).start()
+        def publish(batch: DataFrame, batch_id: int) -> None:
+            batch.write.mode("overwrite").parquet(os.path.join(data, f"batch={batch_id}"))
+            for number, folder in _complete_results(spark, data)[:-1]:
+                if number < batch_id:
+                    _drop_folder(spark, folder)     # superseded
+        q = writer.foreachBatch(publish).start()
     else:
         raise ValueError("files sink supports append and complete modes; use memory for update")
     return q, data
 
 
+def read_result(df: DataFrame, mode: str, data: str, spark: SparkSession, any_batch: bool) -> DataFrame:
+    """The result of a files-sink query with the stream's schema."""
+    if mode == "complete":
+        finished = _complete_results(spark, data)
+        if not finished and any_batch:
+            raise RuntimeError(f"no finished result under {data}")
+        return spark.read.schema(df.schema).parquet(finished[-1][1]) if finished else spark.createDataFrame([], df.schema)
+    # With the schema given, a committed output without data files (no input, or every window
+    # still open) reads as empty, and so does a folder that no batch ever created.
+    try:
+        return spark.read.schema(df.schema).parquet(data)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND" or any_batch:
+            raise                      # a batch ran, so its result must be readable
+        return spark.createDataFrame([], df.schema)
+
+
 def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str = "files",
-                 timeout: float | None = 600, out_dir: str | None = None) -> DataFrame:
-    """Drain the stream into its sink and return the result as a batch frame."""
+                 timeout: float | None = None, out_dir: str | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Drain the stream into its sink and return the result as a batch frame.
+
+    There is no time limit unless the caller gives one.  With ``source``, a static read of the
+    stream's input, a stream that ran no batch although its input has rows raises."""
     q, data = start(df, mode, name, spark, sink=sink, out_dir=out_dir)
     try:
         finished = q.awaitTermination(timeout)   # R16
@@ -78,15 +113,9 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
         raise RuntimeError(str(q.exception()))
     if sink == "memory":
         return spark.table(name)
-    # With the schema given, a committed output without data files (no input, or every window
-    # still open) reads as empty, and so does a result folder no batch ever created; any other
-    # failure to read is raised.
-    try:
-        result = spark.read.schema(df.schema).parquet(data)
-    except AnalysisException as e:
-        processed = sum(p.get("numInputRows", 0) for p in q.recentProgress)
-        if e.getCondition() != "PATH_NOT_FOUND" or processed > 0:
-            raise                      # rows went in, so their result must be readable
-        result = spark.createDataFrame([], df.schema)
+    any_batch = q.lastProgress is not None and out_dir is None
+    if source is not None and q.lastProgress is None and not source.isEmpty():
+        raise RuntimeError(f"streaming query {name} read nothing although its input has rows")
+    result = read_result(df, mode, data, spark, any_batch)
     result.createOrReplaceTempView(name)
     return result

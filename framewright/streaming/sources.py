@@ -1,8 +1,9 @@
 """Streaming file sources (S12, S13, R13, R15) and the borrowed schema.
 
-A stream reads a *directory*; ``glob`` narrows it to some files (for example one table file
-in a folder of tables).  ``max_files_per_trigger`` limits each micro-batch; files are taken in
-modification-time order.
+A stream reads a *directory*; ``glob`` narrows it to some files.  Without a limit all files that
+are there make one parallel micro-batch.  ``max_files_per_trigger`` (R13) limits each batch, files
+taken in modification-time order; the watermark then moves between batches, so rows of a later file
+may be late.
 """
 
 from __future__ import annotations
@@ -34,8 +35,11 @@ def file_stream(spark: SparkSession, directory: str, fmt: str, schema: StructTyp
     return df
 
 
-def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """A stream over one table file of a scale-factor folder; the schema comes from a static read."""
+def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream over one table of a scale-factor folder, be it a file or a folder of part files; the
+    schema comes from a static read."""
     path = f"{sf_dir.rstrip('/')}/{table}.parquet"
-    return file_stream(spark, sf_dir, "parquet", schema_of(spark, path), glob=f"{table}.parquet",
-                       max_files_per_trigger=max_files_per_trigger)
+    # A pattern that only the table's own name matches: a stream's plain path must be a folder, a
+    # pattern may name a file as well.
+    pattern = f"{sf_dir.rstrip('/')}/[{table[0]}]{table[1:]}.parquet"
+    return file_stream(spark, pattern, "parquet", schema_of(spark, path), max_files_per_trigger=max_files_per_trigger)
