@@ -10,7 +10,7 @@ levels partial.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
@@ -91,6 +91,31 @@ def averages_of_numeric(df: DataFrame, keys: Sequence[str], prefix: str = "avg_"
     return df.groupBy(*keys).agg(*[F.avg(F.col(c)).alias(f"{prefix}{c}") for c in numeric])
 
 
+def levels_of_totals(df: DataFrame, keys: Sequence[str], sets: str | Sequence[Sequence[str]], measures: Mapping[str, tuple[str, str | None]],
+                     gid: str = "grouping_id") -> DataFrame:
+    """A21-A24 over pre-aggregated groups: rows are aggregated by the full key first and only the
+    groups are expanded to the levels of ``sets`` (``"rollup"``, ``"cube"`` or explicit sets).
+
+    ``measures`` maps an output name to ``(kind, column)``; kinds that can be re-aggregated: ``sum``,
+    ``count`` (column None: rows), ``min``, ``max`` and ``avg`` (kept as sum and count)."""
+    first, again = [], []
+    for i, (name, (kind, column)) in enumerate(measures.items()):
+        c = F.lit(1) if column is None else F.col(column)
+        if kind not in ("sum", "count", "min", "max", "avg"):
+            raise ValueError(f"{kind} cannot be computed from groups")
+        if kind in ("count", "avg"):
+            first.append(F.count(c).alias(f"__n{i}"))
+        if kind != "count":
+            first.append({"sum": F.sum, "avg": F.sum, "min": F.min, "max": F.max}[kind](c).alias(f"__v{i}"))
+        value = {"sum": lambda v, n: F.sum(v), "count": lambda v, n: F.sum(n), "min": lambda v, n: F.min(v),
+                 "max": lambda v, n: F.max(v), "avg": lambda v, n: F.sum(v) / F.sum(n)}[kind](f"__v{i}", f"__n{i}")
+        again.append((F.coalesce(value, F.lit(0)) if kind == "count" else value).alias(name))
+    groups = df.groupBy(*keys).agg(*first)
+    spread = {"rollup": groups.rollup, "cube": groups.cube}.get(sets) if isinstance(sets, str) else None
+    leveled = spread(*keys) if spread else groups.groupingSets([list(s) for s in sets], *keys)
+    return leveled.agg(*again, F.grouping_id().alias(gid))
+
+
 def rollup(df: DataFrame, keys: Sequence[str], *aggs: Column, gid: str = "grouping_id") -> DataFrame:
     """Prefix subtotals with the grouping level as a column (null keys of data and of
     subtotals stay apart through ``grouping_id``)."""
@@ -114,6 +139,19 @@ def pivot(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence,
     return df.groupBy(*keys).pivot(pivot_col, list(values)).agg(agg)
 
 
+def values_of(df: DataFrame, column: str, given: Sequence | None = None) -> list:
+    """The distinct values of a pivot column in order, null first: they become column names, so
+    there are as many as the result is wide.  A caller's own list must not miss any of them."""
+    found = [r[0] for r in df.select(column).distinct().collect()]
+    found.sort(key=lambda v: (v is not None, v))
+    if given is None:
+        return found
+    missing = [v for v in found if v not in given]
+    if missing:
+        raise ValueError(f"{column} has values without a column: {missing}")
+    return list(given)
+
+
 def pivot_values(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence, agg_fn,
                  value_col: str) -> DataFrame:
     """A25 as one aggregate: one conditional aggregate per given value,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
-from framewright.plans.broadcast import broadcast_known
+from framewright.plans.broadcast import broadcast_within
 
 
 def prepare(df: DataFrame, ts: str, day_name: str = "day_of_week", fill=0,
@@ -47,31 +47,10 @@ def fit_features(train: DataFrame, numeric: Sequence[str], category: str) -> Pip
 
 
 def cached_for_iterations(df: DataFrame) -> DataFrame:
-    """Cache a frame that an iterative fit reads many times, spread over at least as many
-    partitions as the cluster has cores.  Small inputs that AQE coalesced into a few partitions
-    would otherwise leave cores idle in every iteration; large inputs already have more
-    partitions than cores and are cached as they are (no extra shuffle).  Unpersist the result when
-    done, unless the input was already cached before the call (then it may be returned as is)."""
-    owned = not df.is_cached
-    cached = df.cache()
-    try:
-        cached.count()
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if cached.rdd.getNumPartitions() >= cores:
-            return cached
-        spread = cached.repartition(cores).cache()
-        try:
-            spread.count()
-        except Exception:
-            spread.unpersist()
-            raise
-    except Exception:
-        if owned:
-            cached.unpersist()
-        raise
-    if owned:
-        cached.unpersist()
-    return spread
+    """Cache a frame that an iterative fit reads many times.  Its partitions stay as they are, so a
+    seeded fit does not depend on the number of cores.  Unpersist the result when done, unless the
+    input was cached before the call (then it is the input)."""
+    return df.cache()
 
 
 def fit_kmeans(features: DataFrame, k: int = 20, seed: int = 1, column: str = "features") -> KMeansModel:
@@ -83,7 +62,7 @@ def centres_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
     schema = StructType([StructField("__cluster", IntegerType(), False),
                          StructField("__centre", ArrayType(DoubleType()), False)])
     rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return broadcast_known(spark.createDataFrame(rows, schema), len(rows))
+    return broadcast_within(spark.createDataFrame(rows, schema))
 
 
 def clustering_cost(spark: SparkSession, model: KMeansModel, features: DataFrame,
@@ -97,3 +76,12 @@ def clustering_cost(spark: SparkSession, model: KMeansModel, features: DataFrame
     sq = F.aggregate(F.zip_with("__x", "__centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
                      lambda acc, v: acc + v)
     return joined.agg(F.sum(sq).alias("cost"))
+
+
+def nearest_cost(spark: SparkSession, model: KMeansModel, features: DataFrame, column: str = "features") -> DataFrame:
+    """The same cost by searching all ``k`` centres (a parameter, so few) for every row."""
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+    x = features.select(vector_to_array(F.col(column)).alias("__x"))
+    each = F.transform(centres, lambda c: F.aggregate(F.zip_with("__x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
+                                                      lambda acc, v: acc + v))
+    return x.agg(F.sum(F.array_min(each)).alias("cost"))

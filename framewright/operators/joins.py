@@ -4,16 +4,16 @@ Scale notes
 -----------
 * Spark picks broadcast-hash or sort-merge per join from size statistics, and AQE re-plans at
   run time (``spark.sql.adaptive.*``), so the plain joins carry no hints.
-* Hot keys: a single key may hold a large share of one side.  AQE's skew-join split handles the
-  inner join (either side) and the preserved side of an outer join, but not the *non-preserved*
-  side of an outer join nor the lookup side of a semi/anti join.  Therefore
-  - semi/anti joins look up against the **distinct keys** of the other side; the distinct runs as a
-    partial (map-side) aggregate, so a hot key collapses to one row per task before the shuffle;
-  - outer joins are built as ``inner  UNION ALL  unmatched rows`` where the unmatched rows come from
-    an anti join against distinct keys.  Every shuffle in that plan is either splittable by AQE or
-    pre-aggregated.  ``skew_safe=False`` gives the single Spark join instead.
-* Cross products are only built against a side with a checked row bound (broadcast), so the
-  output is linear in the other side; unbounded all-pairs products are refused.
+* Hot keys: a single key may hold a large share of either side.  AQE splits hot partitions of both
+  sides of an inner join and of the left side of a semi or anti join, as long as both sides come
+  straight from a shuffle by the join key; it cannot split the lookup side.  Therefore
+  - semi/anti joins look up a side that was reduced to at most ``LOOKUP_ROWS`` rows per key by a
+    pre-aggregate on (key, bucket of map tasks).  That aggregate's shuffle is not the join's: the
+    join still shuffles both sides by its key, so AQE can split the hot left rows;
+  - outer joins are built as ``inner  UNION ALL  unmatched rows``, the latter from such an anti join.
+    ``skew_safe=False`` gives the single Spark join instead.
+* A cross product broadcasts its right side within a checked size and otherwise leaves the plan to
+  Spark; its output is what was asked for.
 """
 
 from __future__ import annotations
@@ -23,7 +23,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.plans.broadcast import has_at_most
+from framewright.plans.broadcast import broadcast_within
+
+#: Rows that a key keeps on the lookup side of a semi or anti join.
+LOOKUP_ROWS = 16
 
 KeyPairs = Sequence[tuple[str, str]]
 
@@ -56,27 +59,30 @@ def join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame
     return left.join(right, _condition(left, right, pairs), how)
 
 
-def _distinct_keys(side: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    return side.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).distinct()
+def _lookup_keys(side: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """The keys of a side, each at most ``LOOKUP_ROWS`` times; a retried task feeds the same bucket."""
+    bucket = F.pmod(F.spark_partition_id(), F.lit(LOOKUP_ROWS)).alias("__bucket")
+    rows = side.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], bucket)
+    return rows.groupBy(*names, "__bucket").agg(F.lit(1).alias("__one")).select(*names)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
     """Left rows with a match, each left row once (duplicate left rows stay duplicated).
-    The right side is reduced to its distinct keys first (map-side pre-aggregation)."""
+    The right side is pre-aggregated by key first (see module notes)."""
     pairs = _pairs(on)
     lks = [lk for lk, _ in pairs]
     tmp = [f"__k{i}" for i in range(len(pairs))]
-    keys = _distinct_keys(right, [rk for _, rk in pairs], tmp)
+    keys = _lookup_keys(right, [rk for _, rk in pairs], tmp)
     cond = _condition(left, keys, list(zip(lks, tmp)))
     return left.join(keys, cond, "left_semi")
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:
-    """Left rows without a match (a null left key never matches), against distinct keys."""
+    """Left rows without a match (a null left key never matches), against pre-aggregated keys."""
     pairs = _pairs(on)
     lks = [lk for lk, _ in pairs]
     tmp = [f"__k{i}" for i in range(len(pairs))]
-    keys = _distinct_keys(right, [rk for _, rk in pairs], tmp)
+    keys = _lookup_keys(right, [rk for _, rk in pairs], tmp)
     cond = _condition(left, keys, list(zip(lks, tmp)))
     return left.join(keys, cond, "left_anti")
 
@@ -128,12 +134,10 @@ def outer_join(left: DataFrame, right: DataFrame, on: str | Sequence, how: str =
     return out
 
 
-def cross_product(left: DataFrame, right: DataFrame, max_right_rows: int = 10_000) -> DataFrame:
-    """Every pair, allowed only when ``right`` has a checked row bound; ``right`` is
-    broadcast so the output grows linearly with ``left``."""
-    if not has_at_most(right, max_right_rows):
-        raise ValueError(f"cross product refused: right side has more than {max_right_rows} rows")
-    return left.crossJoin(F.broadcast(right))
+def cross_product(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every pair of rows.  ``right`` is broadcast if its plan's size is within the bound of
+    ``plans.broadcast``, so the output then grows with ``left`` without a shuffle."""
+    return left.crossJoin(broadcast_within(right))
 
 
 def array_member_join(left: DataFrame, array_col: str, right: DataFrame, right_key: str) -> DataFrame:

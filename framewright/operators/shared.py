@@ -1,7 +1,7 @@
 """Replacements for broadcast variables and accumulators.
 
-* X3 (dictionary lookup with a default): the dictionary becomes a small frame whose row count is
-  known on the driver, joined with a broadcast hint behind that bound; missing words take the
+* X3 (dictionary lookup with a default): the dictionary becomes a small frame that is broadcast
+  if its size is within a bound; missing words take the
   default.  No Python runs per row.
 * X4 (accumulator adding a value when either of two conditions holds): one aggregate of two
   conditional sums, exact and repeatable, unlike an accumulator updated in ``foreach`` (which may
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from framewright.plans.broadcast import broadcast_known
+from framewright.plans.broadcast import broadcast_within
 
 
 def lookup_with_default(spark: SparkSession, df: DataFrame, key: str, mapping: Mapping[str, int],
@@ -25,7 +25,7 @@ def lookup_with_default(spark: SparkSession, df: DataFrame, key: str, mapping: M
     """Every row of ``df`` with ``mapping.get(row[key], default)``."""
     schema = StructType([StructField("__key", StringType(), False), StructField(value_name, LongType(), False)])
     table = spark.createDataFrame([(k, int(v)) for k, v in mapping.items()], schema)
-    table = broadcast_known(table, len(mapping))
+    table = broadcast_within(table)
     out = df.join(table, df[key] == table["__key"], "left")
     return out.select(*[df[c] for c in df.columns],
                       F.coalesce(table[value_name], F.lit(default).cast("long")).alias(value_name))

@@ -10,9 +10,10 @@ Ranks over a descending order only depend on those counts:
 * running ``max`` of the ordering column from the first row = the group maximum,
 
 so the window runs over distinct values only and the per-row result is a join back on
-(group, value), which AQE can split when a key is hot.  ``method="auto"`` applies this only to the
-groups that are actually big and ranks every other row with the single window.
-``ranked_report_window`` is the direct single-window form, used by tests as the reference semantics.
+(group, value), which AQE can split when a key is hot.  A group with very many distinct values is
+split once more: its values are dealt to ``SLICES`` slices in order of value, ranks are counted inside
+a slice and shifted by the totals of the slices before it.  ``ranked_report_window`` is the direct
+single-window form, used by tests as the reference semantics.
 """
 
 from __future__ import annotations
@@ -60,63 +61,67 @@ def _join_back(df: DataFrame, ranks: DataFrame, keys: Sequence[str], value: str,
     return out.select(*[df[c] for c in df.columns], *[F.col(x) for x in names])
 
 
-MAX_BIG_GROUPS = 64
-
-
-def _ranked_report_auto(df: DataFrame, keys: Sequence[str], value: str, names, big_group_rows: int,
-                        partitions: int | None, hot_method: str = "counts") -> DataFrame:
-    if hot_method not in ("counts", "range"):
-        raise ValueError(f"hot_method must be counts or range, not {hot_method}")
-    if not keys:                       # one global group: it is the big group
-        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
-    if any(getattr(df.select(k).schema[0].dataType, "collation", "UTF8_BINARY") != "UTF8_BINARY" for k in keys):
-        # Hashes see bytes, grouping sees the collation: route nothing, rank every group safely.
-        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
-    # Groups are routed by a 64-bit hash of their keys (null-safe, any key type, no literals to
-    # convert).  A normal group that shares a big group's hash is ranked by the big-group path,
-    # which is exact too, so routing never changes results.
-    group_hash = F.xxhash64(*[F.col(k) for k in keys])
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
-    # Bounded probe: at most MAX_BIG_GROUPS + 1 hashes reach the driver.
-    big = [r[0] for r in sizes.where(F.col("__size") > big_group_rows)
-           .select(group_hash).limit(MAX_BIG_GROUPS + 1).collect()]
-    if not big:
-        return ranked_report_window(df, keys, value, names)
-    if len(big) > MAX_BIG_GROUPS:
-        return ranked_report(df, keys, value, names, method=hot_method, partitions=partitions)
-    in_big = group_hash.isin(big)
-    # Rows split by a predicate (no join, no shuffle): the window is safe for groups below the
-    # bound, and the few big groups take the pre-aggregated path.
-    return ranked_report_window(df.where(~in_big), keys, value, names).unionByName(
-        ranked_report(df.where(in_big), keys, value, names, method=hot_method, partitions=partitions))
+#: Slices of a group's values.
+SLICES = 64
+
+
+def _numeric(df: DataFrame, column: str) -> bool:
+    return df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long", "float", "double", "decimal")
+
+
+def _from_slices(counts: DataFrame, keys: Sequence[str], value: str, names) -> DataFrame:
+    """Ranks of the counts with each group's values split into slices by their place between the
+    group's least and largest value (numbers; other types have one slice)."""
+    n, gs = "__n", [f"__g{i}" for i in range(len(keys))]
+    rows = counts.select(*[F.col(k).alias(g) for k, g in zip(keys, gs)], F.col(value).alias("__v"), n)
+    if _numeric(counts, value):
+        x = F.col("__v").cast("double")
+        x = F.when(F.isnan(x) | x.isNull(), None).otherwise(x)
+        ends = rows.groupBy(*gs).agg(F.min(x).alias("__lo"), F.max(x).alias("__hi")).select(*[F.col(g).alias(f"e{g}") for g in gs], "__lo", "__hi")
+        cond = F.lit(True)
+        for g in gs:
+            cond = cond & F.col(g).eqNullSafe(F.col(f"e{g}"))
+        rows = rows.join(ends, cond).drop(*[f"e{g}" for g in gs])
+        width = F.col("__hi") - F.col("__lo")
+        place = F.when((width > 0) & (width < float("inf")), F.floor((x - F.col("__lo")) / width * (SLICES - 1))).otherwise(0)
+        place = F.coalesce(place, F.lit(0)).cast("int")
+        # NaN is larger than every number, null comes last in descending order.
+        rows = rows.withColumn("__s", F.when(F.col("__v").isNull(), -1).when(F.isnan(F.col("__v").cast("double")), SLICES).otherwise(place))
+    else:
+        rows = rows.withColumn("__s", F.lit(0))
+    totals = rows.groupBy(*gs, "__s").agg(F.sum(n).alias("__sn"), F.count(F.lit(1)).alias("__sd"), F.max("__v").alias("__sm"))
+    above = Window.partitionBy(*gs).orderBy(F.col("__s").desc())
+    before = above.rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(*[F.col(g).alias(f"t{g}") for g in gs], F.col("__s").alias("__ts"),
+                           F.coalesce(F.sum("__sn").over(before), F.lit(0)).alias("__off_n"),
+                           F.coalesce(F.sum("__sd").over(before), F.lit(0)).alias("__off_d"),
+                           F.max("__sm").over(above.rowsBetween(Window.unboundedPreceding, 0)).alias(names[0]))
+    inside = Window.partitionBy(*gs, "__s").orderBy(F.col("__v").desc())
+    rows = rows.withColumn("__before", F.coalesce(F.sum(n).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumn("__nth", F.sum(F.lit(1).cast("long")).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    cond = F.col("__s") == F.col("__ts")
+    for g in gs:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"t{g}"))
+    return rows.join(shifts, cond).select(*gs, "__v", names[0], (F.col("__off_d") + F.col("__nth")).alias(names[1]),
+                                          (F.col("__off_n") + F.col("__before") + 1).alias(names[2]))
 
 
 def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
                   names: tuple[str, str, str] = ("max_value", "dense_rank", "rank"),
-                  method: str = "counts", partitions: int | None = None,
-                  big_group_rows: int = 1_000_000, hot_method: str = "counts") -> DataFrame:
-    """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``.
-
-    ``method="counts"`` ranks the (group, value) counts with one window per group: a hot group
-    costs one task per group *distinct value set*, which is small whenever the ordering column
-    has few distinct values per group.  ``method="range"`` also splits a group with very many
-    distinct values: the counts are range-partitioned on (group, value), which cuts a hot group
-    into value ranges on several partitions; the partition of each count is frozen by a reliable
-    checkpoint in the shared checkpoint folder, ranks are computed inside each partition and
-    shifted by the totals of the group's earlier (higher-valued) partitions.
-
-    ``method="auto"`` counts the rows of every group first (a partial aggregate, one row per
-    group, run when called) and fetches 64-bit hashes of the keys of at most 64 groups with more
-    than ``big_group_rows`` rows: rows whose key hash is among them take the ``hot_method`` path
-    (a small group sharing a hash goes there too, which is still exact), all other rows the single
-    window, which is safe for them and cheaper (no join back).  With no big group it is the single
-    window; with more than 64, no keys, or collated string keys it is ``hot_method`` for all rows.  ``hot_method`` is ``counts`` or
-    ``range`` (for big groups with very many distinct values; only they pay for the checkpoint)."""
-    if method == "auto":
-        return _ranked_report_auto(df, keys, value, names, big_group_rows, partitions, hot_method)
+                  method: str = "slices", partitions: int | None = None) -> DataFrame:
+    """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``, with
+    64-bit ranks.
+
+    ``method="slices"`` (one lazy plan) splits every group's values into slices; ``method="counts"``
+    ranks the (group, value) counts with one window per group, for columns with few values;
+    ``method="range"`` range-partitions the counts on (group, value), freezes each count's partition by
+    a checkpoint in the shared folder, and shifts ranks by the totals of earlier partitions, for values
+    of any type and any distribution."""
     n = "__n"
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
     gcols = [F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]
+    if method == "slices":
+        return _join_back(df, _from_slices(counts, keys, value, names), keys, value, names)
     if method == "counts":
         by_value = Window.partitionBy(*keys).orderBy(F.col(value).desc())
         before = by_value.rowsBetween(Window.unboundedPreceding, -1)
@@ -124,8 +129,8 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
         ranks = counts.select(
             *gcols, F.col(value).alias("__v"),
             F.max(F.col(value)).over(by_value.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(names[0]),
-            F.row_number().over(by_value).alias(names[1]),
-            (F.coalesce(F.sum(F.col(n)).over(before), F.lit(0)) + 1).cast("int").alias(names[2]),
+            F.sum(F.lit(1).cast("long")).over(by_value.rowsBetween(Window.unboundedPreceding, 0)).alias(names[1]),
+            (F.coalesce(F.sum(F.col(n)).over(before), F.lit(0)) + 1).alias(names[2]),
         )
         return _join_back(df, ranks, keys, value, names)
     if method != "range":
@@ -148,12 +153,12 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     local = tagged.select(
         *keys, "__pid", value,
         F.coalesce(F.sum(n).over(local_spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
-        F.row_number().over(local_spec).alias("__local_dense"))
+        F.sum(F.lit(1).cast("long")).over(local_spec.rowsBetween(Window.unboundedPreceding, 0)).alias("__local_dense"))
     cond = local["__pid"] == offsets["__pid"]
     for k in keys:
         cond = cond & local[k].eqNullSafe(offsets[k])
     ranks = local.join(offsets, cond, "inner").select(
         *[local[k].alias(f"__g{i}") for i, k in enumerate(keys)], local[value].alias("__v"), offsets[names[0]],
-        (offsets["__off_d"] + local["__local_dense"]).cast("int").alias(names[1]),
-        (offsets["__off_n"] + local["__before"] + 1).cast("int").alias(names[2]))
+        (offsets["__off_d"] + local["__local_dense"]).alias(names[1]),
+        (offsets["__off_n"] + local["__before"] + 1).alias(names[2]))
     return _join_back(df, ranks, keys, value, names)

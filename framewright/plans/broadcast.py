@@ -1,10 +1,9 @@
 """Size-checked broadcasting.
 
-Spark already broadcasts a join side only when its estimated size is under
-``spark.sql.autoBroadcastJoinThreshold`` (and AQE re-checks the real size at run time), so most
-joins carry no hint at all.  An explicit hint is given only behind a proven bound: either the row
-count is known on the driver (a literal lookup table) or a bounded probe ``limit(n + 1).count()``
-shows the side has at most ``n`` rows.  Beyond the bound the plain shuffle join is used.
+Spark broadcasts a join side whose estimated size is under ``spark.sql.autoBroadcastJoinThreshold``
+(and AQE checks the real size again at run time), so most joins carry no hint at all.  A hint is
+given only to a side whose size in bytes, as Spark's statistics or its own rows show it, is within a
+bound; beyond it the plan is left to Spark.
 """
 
 from __future__ import annotations
@@ -12,19 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 100_000
+MAX_BYTES = 32 << 20
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded probe: reads at most ``max_rows + 1`` rows of ``df``'s result."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate of a plan: an upper estimate for scans, filters and projections."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
-
-def broadcast_known(df: DataFrame, known_rows: int, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """Broadcast a frame whose row count is known on the driver (built from a literal)."""
-    return F.broadcast(df) if known_rows <= max_rows else df
+def broadcast_within(df: DataFrame, limit: int = MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its estimated size is at most ``limit`` bytes, else ``df`` unchanged."""
+    return F.broadcast(df) if estimated_bytes(df) <= limit else df

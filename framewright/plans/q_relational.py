@@ -158,72 +158,76 @@ def like_not_null(spark, sf_dir):
     return op(ev, "event_type", "%i%", ["props"]).select("event_id", "user_id", "event_type")
 
 
-# Join inputs: value filters make unmatched rows on both sides (every customer has orders).
-JOIN_SIDES = """
-  (SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000) c
-  {how} JOIN
-  (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_totalprice > 300000) o
-  ON c.c_custkey = o.o_custkey
-"""
+# The joins read whole tables with natural gaps: most documents have no label, most customers no event.
+def _documents_labels(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    d = t.documents.select("doc_id", "source", "lang")
+    return d, t.labels.select(F.col("doc_id").alias("label_id"), "quality")
 
 
-def _join_sides(spark, sf_dir):
+def _customers_events(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    c = t.customer.where(F.col("c_acctbal") > 5000).select("c_custkey", "c_name", "c_acctbal")
-    o = t.orders.where(F.col("o_totalprice") > 300000).select("o_orderkey", "o_custkey", "o_totalprice")
-    return c, o
+    c = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    return c, t.events.select("event_id", "user_id", "event_type")
+
+
+@register("join_inner", covers=("J1",), oracle="""
+SELECT d.doc_id, d.source, d.lang, l.doc_id AS label_id, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+""")
+def join_inner(spark, sf_dir):
+    return joins.join(*_documents_labels(spark, sf_dir), [("doc_id", "label_id")], "inner")
 
 
-def _outer(how):
-    def build(spark, sf_dir):
-        c, o = _join_sides(spark, sf_dir)
-        if how == "inner":
-            return joins.join(c, o, [("c_custkey", "o_custkey")], "inner")
-        return joins.outer_join(c, o, [("c_custkey", "o_custkey")], how)
-    return build
+@register("join_left", covers=("J3",), oracle="""
+SELECT d.doc_id, d.source, d.lang, l.doc_id AS label_id, l.quality
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+""")
+def join_left(spark, sf_dir):
+    return joins.outer_join(*_documents_labels(spark, sf_dir), [("doc_id", "label_id")], "left")
+
 
+@register("join_right", covers=("J4",), oracle="""
+SELECT e.event_id, e.user_id, e.event_type, c.c_custkey, c.c_name, c.c_acctbal
+FROM events e RIGHT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def join_right(spark, sf_dir):
+    c, e = _customers_events(spark, sf_dir)
+    return joins.outer_join(e, c, [("user_id", "c_custkey")], "right")
 
-for _how, _sql, _cov in (("inner", "INNER", "J1"), ("full", "FULL OUTER", "J2"),
-                         ("left", "LEFT OUTER", "J3"), ("right", "RIGHT OUTER", "J4")):
-    register(f"join_{_how}", covers=(_cov,),
-             oracle="SELECT c.*, o.* FROM " + JOIN_SIDES.format(how=_sql))(_outer(_how))
+
+@register("join_full", covers=("J2",), oracle="""
+SELECT c.c_custkey, c.c_name, c.c_acctbal, e.event_id, e.user_id, e.event_type
+FROM customer c FULL JOIN events e ON c.c_custkey = e.user_id
+""")
+def join_full(spark, sf_dir):
+    return joins.outer_join(*_customers_events(spark, sf_dir), [("c_custkey", "user_id")], "full")
 
 
 @register("join_semi", covers=("J5",), oracle="""
-SELECT c_custkey, c_name, c_acctbal FROM customer
-WHERE c_acctbal > 5000
-  AND c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey IN (SELECT user_id FROM events)
 """)
 def join_semi(spark, sf_dir):
-    c, o = _join_sides(spark, sf_dir)
-    return joins.semi_join(c, o, [("c_custkey", "o_custkey")])
+    return joins.semi_join(*_customers_events(spark, sf_dir), [("c_custkey", "user_id")])
 
 
 @register("join_semi_duplicates", covers=("J6", "U1"), oracle="""
 SELECT * FROM (
-  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000
+  SELECT c_custkey, c_name, c_acctbal FROM customer
   UNION ALL
-  SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 5000 AND c_mktsegment = 'BUILDING'
-) u
-WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+  SELECT c_custkey, c_name, c_acctbal FROM customer) u
+WHERE c_custkey IN (SELECT user_id FROM events)
 """)
 def join_semi_duplicates(spark, sf_dir):
     from framewright.operators.setops import union_all
-    t = Tables(spark, sf_dir)
-    c, o = _join_sides(spark, sf_dir)
-    again = (t.customer.where((F.col("c_acctbal") > 5000) & (F.col("c_mktsegment") == "BUILDING"))
-             .select("c_custkey", "c_name", "c_acctbal"))
-    return joins.semi_join(union_all(c, again, by_name=False), o, [("c_custkey", "o_custkey")])
+    c, e = _customers_events(spark, sf_dir)
+    return joins.semi_join(union_all(c, c, by_name=False), e, [("c_custkey", "user_id")])
 
 
 @register("join_anti", covers=("J7",), oracle="""
-SELECT c_custkey, c_name, c_acctbal FROM customer c
-WHERE c_acctbal > 5000
-  AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_totalprice > 300000 AND o.o_custkey = c.c_custkey)
+SELECT doc_id, source, lang FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
 """)
 def join_anti(spark, sf_dir):
-    c, o = _join_sides(spark, sf_dir)
-    return joins.anti_join(c, o, [("c_custkey", "o_custkey")])
+    return joins.anti_join(*_documents_labels(spark, sf_dir), [("doc_id", "label_id")])
 
 
 @register("join_cross", covers=("J9",), oracle="""
@@ -231,7 +235,7 @@ SELECT c_custkey, c_name, r_regionkey, r_name FROM customer CROSS JOIN region
 """)
 def join_cross(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return joins.cross_product(t.customer.select("c_custkey", "c_name"), t.region, max_right_rows=1000)
+    return joins.cross_product(t.customer.select("c_custkey", "c_name"), t.region)
 
 
 @register("join_cross_condition", covers=("J8",), oracle="""
@@ -339,15 +343,63 @@ def distinct_pairs(spark, sf_dir):
     return distinct_rows(Tables(spark, sf_dir).orders, "o_orderstatus", "o_orderpriority")
 
 
-@register("sample_split", covers=("O7", "O8"))
+@register("sample_split", covers=("O7", "O8"), oracle="""
+SELECT count(*) AS n_rows, count(*) AS n_split, 0::BIGINT AS n_in_both, true AS sample_of_table,
+       true AS sample_size_close, true AS split_size_close
+FROM lineitem
+""")
 def sample_split(spark, sf_dir):
-    """Rows only: a seeded sample and a seeded split depend on the input partitioning."""
+    """What must hold of a seeded sample and split whatever the partitioning: the split's parts are
+    disjoint and make the table, the sample is of the table's rows, and the sizes are within six
+    standard deviations of the shares asked for."""
     li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber")
-    s = ordering.sample(li, 0.1, seed=7).select(F.lit("sample").alias("part"))
     a, b = ordering.random_split(li, [0.25, 0.75], seed=7)
-    parts = s.unionByName(a.select(F.lit("split_25").alias("part"))).unionByName(
-        b.select(F.lit("split_75").alias("part")))
-    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    sampled = ordering.sample(li, 0.1, seed=7)
+    tagged = (li.withColumn("part", F.lit("all")).unionByName(a.withColumn("part", F.lit("a")))
+              .unionByName(b.withColumn("part", F.lit("b"))).unionByName(sampled.withColumn("part", F.lit("s"))))
+    count = lambda p: F.count(F.when(F.col("part") == p, 1))
+    rows = tagged.groupBy("l_orderkey", "l_linenumber").agg(*[count(p).alias(p) for p in ("all", "a", "b", "s")])
+    sums = rows.agg(F.sum("all").alias("n_rows"), F.sum(F.col("a") + F.col("b")).alias("n_split"),
+                    F.count(F.when((F.col("a") > 0) & (F.col("b") > 0) & (F.col("all") == 1), 1)).alias("n_in_both"),
+                    F.min(F.col("s") <= F.col("all")).alias("sample_of_table"), F.sum("s").alias("n_s"), F.sum("a").alias("n_a"))
+    close = lambda c, p: F.abs(F.col(c) - p * F.col("n_rows")) <= 6 * F.sqrt(p * (1 - p) * F.col("n_rows")) + 1
+    return sums.select("n_rows", "n_split", "n_in_both", "sample_of_table", close("n_s", 0.1).alias("sample_size_close"),
+                       close("n_a", 0.25).alias("split_size_close"))
+
+
+@register("row_ids", covers=("P17",), oracle="""
+SELECT count(*) AS n_rows, count(*) AS n_ids, true AS ids_grow_by_row FROM lineitem
+""")
+def row_ids(spark, sf_dir):
+    """Generated row ids are distinct; within a partition they count up from its first one."""
+    from framewright.operators.project import unique_row_id
+    li = unique_row_id(Tables(spark, sf_dir).lineitem.select("l_orderkey"), "row_id")
+    per = (li.select("row_id", F.shiftright("row_id", 33).alias("partition"))
+           .groupBy("partition").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("row_id").alias("d"),
+                                     (F.max("row_id") - F.min("row_id") + 1 == F.count(F.lit(1))).alias("gapless")))
+    return per.agg(F.sum("n").alias("n_rows"), F.sum("d").alias("n_ids"), F.min("gapless").alias("ids_grow_by_row"))
+
+
+@register("orders_until_today", covers=("D1",), oracle="""
+SELECT o_orderkey, CAST(o_orderdate AS DATE) <= current_date AS ordered_by_today FROM orders
+""")
+def orders_until_today(spark, sf_dir):
+    from framewright.functions import dates
+    today = dates.today_and_now()[0]
+    return Tables(spark, sf_dir).orders.select("o_orderkey", (F.to_date("o_orderdate") <= today).alias("ordered_by_today"))
+
+
+@register("view_by_name", covers=("S10", "S11"), oracle="""
+SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS last_order FROM orders GROUP BY o_orderpriority
+""")
+def view_by_name(spark, sf_dir):
+    """SQL text over a registered view."""
+    import uuid
+
+    from framewright.sources import files
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    files.register_view(Tables(spark, sf_dir).orders.select("o_orderkey", "o_orderpriority"), name)
+    return spark.sql(f"SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS last_order FROM {name} GROUP BY o_orderpriority")
 
 
 @register("join_lines_orders", covers=("J1",), oracle="""
@@ -363,12 +415,11 @@ def join_lines_orders(spark, sf_dir):
 
 @register("semi_orders_with_lines", covers=("J5",), oracle="""
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
 """)
 def semi_orders_with_lines(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    returned = t.lineitem.where(F.col("l_returnflag") == "R")
-    return joins.semi_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), returned,
+    return joins.semi_join(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), t.lineitem,
                            [("o_orderkey", "l_orderkey")])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from framewright.plans.catalog import register
 from framewright.sources.tables import Tables
 from framewright.streaming import operators as so
-from framewright.streaming.sinks import run_to_table, unique_name
+from framewright.streaming.sinks import read_result, run_to_table, start, unique_name
 from framewright.streaming.sources import table_stream
 
 
@@ -32,6 +32,21 @@ def stream_count(spark, sf_dir):
     return _drain(counts, "complete", "stream_count", spark, sf_dir)
 
 
+@register("stream_fixed_interval", covers=("R11", "R1", "R16"), oracle="""
+SELECT event_type, count(*) AS count FROM events GROUP BY event_type
+""")
+def stream_fixed_interval(spark, sf_dir):
+    """A fixed-interval trigger: batches are tried every second; all that is there is waited for and
+    the query is stopped."""
+    counts = so.count_by(_events(spark, sf_dir), "event_type")
+    q, data = start(counts, "complete", unique_name("stream_fixed_interval"), spark, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    return read_result(counts, "complete", data, spark, any_batch=True)
+
+
 @register("stream_filter", covers=("R2", "F12", "F13"), oracle="""
 SELECT event_id, user_id, event_type FROM events
 WHERE event_type LIKE '%i%' AND props IS NOT NULL

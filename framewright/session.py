@@ -1,15 +1,13 @@
 """Session helpers for tests, the benchmark and local runs.
 
 Library operators never create sessions; the caller passes one in.  ``local_session`` is for
-tests and ``bench.py`` only.  ``shared_dir`` resolves the folder the cluster names in
-``spark.checkpoint.dir``: on a cluster that setting must name shared storage; only when it is unset
-(tests, local runs) do we create a private folder and register it.
+tests and ``bench.py`` only.  ``shared_dir`` resolves the folder that the session names in
+``spark.checkpoint.dir`` (tests and ``bench.py`` set it; on a cluster it must be shared storage).
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,8 +38,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder: ``spark.checkpoint.dir`` if the session names one,
-    else the context's current checkpoint dir, else a private folder registered for local runs."""
+    """The shared checkpoint folder: the context's, or else the one the session names in
+    ``spark.checkpoint.dir``.  Where neither is set, a local master (tests, one machine) gets a folder
+    of its own; a cluster has to name one that all its machines share."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -51,8 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: checkpoints and streaming "
                                "results must be readable from every machine of the cluster")
-        # Unset on a local master (tests, local runs): a private folder is enough.
-        configured = tempfile.mkdtemp(prefix="framewright-chk-")
+        configured = f"/tmp/checkpoints/framewright-{uuid.uuid4().hex[:12]}"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

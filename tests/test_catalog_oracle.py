@@ -1,4 +1,4 @@
-"""Every registered query with an oracle matches DuckDB at sf0.01; the rest run and have rows."""
+"""Every registered query has an oracle and matches DuckDB at sf0.01."""
 
 import pytest
 
@@ -17,7 +17,5 @@ def test_matches_duckdb(spark, duck01, name):
     compare(q.build(spark, SF01), duck01, q.oracle)
 
 
-@pytest.mark.parametrize("name", WITHOUT_ORACLE)
-def test_runs(spark, name):
-    df = QUERIES[name].build(spark, SF01)
-    assert df.count() >= 0
+def test_every_query_has_an_oracle():
+    assert WITHOUT_ORACLE == []

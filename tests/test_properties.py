@@ -46,4 +46,4 @@ def test_ranked_report_methods_agree(spark, rows):
     direct = _bag(windows.ranked_report_window(df, ["g"], "v"))
     assert _bag(windows.ranked_report(df, ["g"], "v")) == direct
     assert _bag(windows.ranked_report(df, ["g"], "v", method="range", partitions=3)) == direct
-    assert _bag(windows.ranked_report(df, ["g"], "v", method="auto", big_group_rows=3)) == direct
+    assert _bag(windows.ranked_report(df, ["g"], "v", method="counts")) == direct

@@ -150,25 +150,33 @@ def test_empty_complete_stream_with_own_folder(spark):
     assert res.count() == 0
 
 
-def test_auto_ranks_global_and_ntz_keys(spark):
+def test_ranks_global_and_ntz_keys(spark):
     from framewright.operators import windows
     df = spark.createDataFrame([(float(i % 4), i) for i in range(10)], "v double, id int")
     direct = sorted(map(tuple, windows.ranked_report_window(df, [], "v").collect()))
-    assert sorted(map(tuple, windows.ranked_report(df, [], "v", method="auto", big_group_rows=5).collect())) == direct
+    assert sorted(map(tuple, windows.ranked_report(df, [], "v").collect())) == direct
     rows = [(dt.datetime(2024, 1, 1, 10), float(i % 3), i) for i in range(20)] + \
            [(dt.datetime(2024, 1, 2, 10), 1.0, 100)]
     t = spark.createDataFrame(rows, "t timestamp_ntz, v double, id int")
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        auto = windows.ranked_report(t, ["t"], "v", method="auto", big_group_rows=5)
-        plan = auto._jdf.queryExecution().optimizedPlan().toString()
-        assert "Aggregate" in plan                     # the big group took the counts path
-        assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, windows.ranked_report_window(t, ["t"], "v").collect()))
+        ranked = windows.ranked_report(t, ["t"], "v")
+        assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, windows.ranked_report_window(t, ["t"], "v").collect()))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     with pytest.raises(ValueError):
-        windows.ranked_report(df, ["v"], "id", method="auto", hot_method="window")
+        windows.ranked_report(df, ["v"], "id", method="auto")
+
+
+def test_unseen_pivot_value_becomes_a_column(spark):
+    df = spark.createDataFrame([("k", "A", 1), ("k", "Q", 2), ("j", None, 4)], "g string, p string, v int")
+    values = agg.values_of(df, "p")
+    assert values == [None, "A", "Q"]
+    wide = agg.pivot_values(df, ["g"], "p", values, F.sum, "v")
+    assert wide.columns == ["g", "null", "A", "Q"]
+    with pytest.raises(ValueError, match="Q"):
+        agg.values_of(df, "p", given=[None, "A"])
 
 
 def test_pivot_values_names_for_floats_follow_spark(spark):

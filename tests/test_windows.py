@@ -25,12 +25,8 @@ def test_ranked_report_ties_nulls_and_hot_group(spark):
     direct = windows.ranked_report_window(df, ["a", "b"], "v", names)
     assert fast.columns == direct.columns
     assert _rows(fast) == _rows(direct)
-    # auto: the hot group (300 rows) takes the counts path, the others the window.
-    auto = windows.ranked_report(df, ["a", "b"], "v", names, method="auto", big_group_rows=100)
-    assert _rows(auto) == _rows(direct)
-    # more big groups than the bound: counts for everything
-    many = windows.ranked_report(df, ["a", "b"], "v", names, method="auto", big_group_rows=1)
-    assert _rows(many) == _rows(direct)
+    for method in ("counts", "range"):
+        assert _rows(windows.ranked_report(df, ["a", "b"], "v", names, method=method)) == _rows(direct)
 
 
 def test_ranked_report_orders_per_customer(spark):
@@ -50,10 +46,19 @@ def test_range_method_splits_hot_group_with_many_values(spark):
     direct = windows.ranked_report_window(df, ["a"], "v", names)
     by_range = windows.ranked_report(df, ["a"], "v", names, method="range", partitions=8)
     assert _rows(by_range) == _rows(direct)
-    auto_range = windows.ranked_report(df, ["a"], "v", names, method="auto", big_group_rows=1000,
-                                       hot_method="range", partitions=8)
-    assert _rows(auto_range) == _rows(direct)
+    assert _rows(windows.ranked_report(df, ["a"], "v", names)) == _rows(direct)
     # The hot group's distinct values are spread over several range partitions.
     counts = df.groupBy("a", "v").count().repartitionByRange(8, F.col("a").asc(), F.col("v").desc())
     spread = counts.where("a = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
     assert spread > 1
+
+
+def test_slices_of_odd_values(spark):
+    """Infinities, NaN, nulls, one value only, and values that are no numbers."""
+    inf, nan = float("inf"), float("nan")
+    rows = [("x", v, i) for i, v in enumerate([1.0, inf, -inf, nan, None, 2.5, 2.5, nan])]
+    rows += [("one", 3.0, 100 + i) for i in range(5)] + [("many", float(i * i % 5003), 200 + i) for i in range(4000)] + [("none", None, 9000)]
+    df = spark.createDataFrame(rows, "a string, v double, id long")
+    assert repr(_rows(windows.ranked_report(df, ["a"], "v"))) == repr(_rows(windows.ranked_report_window(df, ["a"], "v")))
+    text = df.select("a", F.col("v").cast("string").alias("v"), "id")
+    assert _rows(windows.ranked_report(text, ["a"], "v")) == _rows(windows.ranked_report_window(text, ["a"], "v"))
