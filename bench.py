@@ -26,12 +26,12 @@ HEADLINE = [
     "ranked_purchases_window",      # rank over (supplier, ship date): a window, like the probe
     "agg_rollup",                   # rollup (ship date, return flag)
     "agg_cube",                     # cube (ship date, return flag)
-    "agg_pivot",                    # pivot by return flag, explicit values
+    "agg_pivot",                    # pivot by return flag
     "events_user_day",              # events by user and 1-day window
     "count_distinct_parts",         # exact count distinct
     "approx_distinct_parts",        # approximate count distinct, error 0.1
     "top5_suppliers_by_quantity",   # the same top 5 with supplier names (join)
-    "ranked_purchases",             # the same ranks, skew-safe (big groups from counts, the rest by window)
+    "ranked_purchases",             # the same ranks, skew-safe (slices of pre-aggregated counts)
     "join_full",
     "join_array_member",
     "two_sided_total",

@@ -88,8 +88,8 @@ def main() -> None:
     suppliers = li.select("l_suppkey").distinct().withColumnRenamed("l_suppkey", "s_key")
     forms = {
         "rank_window": lambda: windows.ranked_report_window(li, keys, "l_quantity"),
-        "rank_counts": lambda: windows.ranked_report(li, keys, "l_quantity"),
-        "rank_auto": lambda: windows.ranked_report(li, keys, "l_quantity", method="auto", big_group_rows=100_000),
+        "rank_counts": lambda: windows.ranked_report(li, keys, "l_quantity", method="counts"),
+        "rank_slices": lambda: windows.ranked_report(li, keys, "l_quantity"),
         "full_join_spark": lambda: joins.outer_join(suppliers, li, [("s_key", "l_suppkey")], "full", skew_safe=False),
         "full_join_skew_safe": lambda: joins.outer_join(suppliers, li, [("s_key", "l_suppkey")], "full"),
     }
