@@ -2,8 +2,9 @@
 
 Every five-word shingle of a text (its whole word sequence if shorter) is hashed once.  The high bits
 choose one of ``BINS`` bins, which keeps its least hash.  An empty bin takes the value of the first
-full bin on its own fixed random walk over the bins.  Of each bin the ``LOW`` lowest bits are kept, so
-two fingerprints agree in a bin by chance with probability ``2 ** -LOW``; the likeness takes that out.
+full bin on its own fixed random walk over the bins.  Of each bin's value, hashed with the bin, the
+``LOW`` lowest bits are kept, so two fingerprints agree in a bin by chance with probability
+``2 ** -LOW``; the likeness takes that out.
 """
 
 from __future__ import annotations
@@ -71,18 +72,21 @@ def sketch(shingles: np.ndarray) -> np.ndarray | None:
     s = np.sort(shingles)
     bins = (s >> np.uint64(_TOP)).astype(np.int64)
     first = np.flatnonzero(np.r_[True, bins[1:] != bins[:-1]])
-    low = (s[first] & np.uint64((1 << LOW) - 1)).astype(np.uint8)
-    if len(first) == 1:
-        return np.full(BINS, low[0], np.uint8)
-    out, full = np.zeros(BINS, np.uint8), np.zeros(BINS, bool)
-    out[bins[first]], full[bins[first]] = low, True
+    least, full = np.zeros(BINS, np.uint64), np.zeros(BINS, bool)
+    least[bins[first]], full[bins[first]] = s[first], True
     empty, step = np.flatnonzero(~full), 0
+    if len(first) == 1:
+        least[:] = s[0]
+        empty = empty[:0]
     while len(empty):
         seen = _walk(step)[empty]
         hit = full[seen]
-        out[empty[hit]] = out[seen[hit]]
+        least[empty[hit]] = least[seen[hit]]
         empty, step = empty[~hit], step + 1
-    return out
+    # Hashed once more with the bin, so that bins filled from one shingle agree by chance one by one.
+    with np.errstate(over="ignore"):
+        own = _mixed(least ^ (np.arange(BINS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+    return (own & np.uint64((1 << LOW) - 1)).astype(np.uint8)
 
 
 def packed(bits: np.ndarray | None) -> str:

@@ -1,0 +1,104 @@
+"""Quality rules: statistics, base rules, and the estimate against a numpy version."""
+
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from framewright.llm import quality_rules as q
+from tests.llm import helpers
+from tests.llm.helpers import WORDS
+
+
+def plain(text: str) -> tuple:
+    w, seen, covered = WORDS.findall(text), Counter(), set()
+    for t in zip(w, w[1:], w[2:]):
+        seen[t] += 1
+    for i, t in enumerate(zip(w, w[1:], w[2:])):
+        if seen[t] > 1:
+            covered |= {i, i + 1, i + 2}
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    return len(w), sum(map(len, w)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
+
+
+@pytest.mark.parametrize("docs", [helpers.odd_docs, helpers.small_docs])
+def test_statistics_and_base_rules(spark, docs):
+    docs = docs(spark)
+    got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in q.verdicts(docs).collect())
+    want = Counter()
+    for i, text in helpers.rows_of(docs):
+        p = plain(text)
+        want[(i, *p, p[0] < 50 or 100 * p[4] > 50 * p[0])] += 1
+    assert got == want
+
+
+def numpy_estimate(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Concentration from the same three starts, on one group of integer vectors."""
+    x = x / q.SCALE
+    n, d = x.shape
+    floor, prior = np.array(q.ORDINARY) ** 2, (np.array(q.ORDINARY) * q.PRIOR_TIMES) ** 2
+
+    def estimate(part):
+        c = q.CONSISTENCY * ((part.T @ part) / len(part) - np.outer(part.mean(0), part.mean(0)))
+        i = np.arange(d)
+        c[i, i] = np.maximum(c[i, i], 0) + floor + prior * q.PRIOR_DOCS / (len(part) + q.PRIOR_DOCS)
+        return part.mean(0), c
+
+    def distance(m, c):
+        y = np.linalg.solve(np.linalg.cholesky(c), (x - m).T)
+        return (y * y).sum(0)
+
+    v = (np.round(x * q.SCALE).astype(int) >> 3)
+    at = lambda p: np.array([np.sort(v[:, i])[int(np.ceil(n * p)) - 1] for i in range(d)]) * 8 / q.SCALE
+    middle = (at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2 + floor))
+    unit = np.round((x - middle[0]) * q.SCALE / np.sqrt(distance(*middle) + 1e-9)[:, None]) / q.SCALE
+    best = None
+    for k, (m, c) in enumerate((estimate(x), middle, (middle[0], estimate(unit)[1]))):
+        for _ in range(q.STEPS):
+            b = np.floor(8 * np.log2(distance(m, c) + 1e-6))
+            order = np.sort(b)
+            m, c = estimate(x[b <= order[int(np.ceil(n * q.CORE)) - 1]])
+        size = np.log(np.diag(np.linalg.cholesky(c))).sum()
+        if best is None or size < best[0] - 1e-12:
+            best = (size, m, c)
+    return best[1], best[2]
+
+
+def test_estimate_equals_numpy_and_finds_planted_outliers(spark):
+    dice = np.random.default_rng(3)
+    clean = dice.multivariate_normal([1.6, 0.4, 0.3, 0.5], np.diag([0.01, 0.05, 0.04, 0.02]) + 0.004, 400)
+    junk = dice.normal([1.6, 3.0, 0.3, 0.5], 0.05, (90, 4))
+    x = np.round(np.r_[clean, junk] * q.SCALE).astype(int)
+    df = spark.createDataFrame([("g", v.tolist()) for v in x] + [("lone", [1, 2, 3, 4])], "grp string, x array<long>")
+    params = q.estimates(df)
+    got = {r.grp: r for r in params.collect()}
+    m, c = numpy_estimate(x)
+    assert [got["g"][f"m{i}"] for i in range(4)] == pytest.approx(m)
+    low = np.linalg.cholesky(c)
+    assert [got["g"][f"f{i}{j}"] for i, j in q.PAIRS] == pytest.approx([low[i, j] for i, j in q.PAIRS])
+    d2 = [r.d2 for r in q._squared(df.where("grp = 'g'").join(params, "grp")).select("x", "d2").collect()]
+    far = sorted(d2, reverse=True)
+    assert sum(v > q.LIMIT for v in d2) == 90 and far[89] > q.LIMIT > far[90]
+
+
+def test_kept_documents(spark):
+    docs = helpers.odd_docs(spark)
+    kept = q.kept_documents(docs)
+    assert kept.columns == docs.columns
+    good = Counter(r.doc_id for r in q.verdicts(docs).where("kept").collect())
+    assert Counter(r.doc_id for r in kept.collect()) == good and good[13] == 0 and good[100] == 1
+    assert q.verdicts(helpers.no_docs(spark)).count() == 0 and q.kept_documents(helpers.no_docs(spark)).count() == 0
+
+
+def test_plan_has_no_python(spark):
+    docs = q.statistics(helpers.odd_docs(spark)).select("stats", q.features().alias("x"), F.lit("g").alias("grp"))
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_groups_do_not_mix(spark):
+    rows = defaultdict(list)
+    for r in q.judged(helpers.small_docs(spark)).select("lang", "source", "kept").collect():
+        rows[r.lang, r.source].append(r.kept)
+    assert len(rows) > 10

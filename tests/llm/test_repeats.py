@@ -1,0 +1,127 @@
+"""Suffix-array and seed-and-extend dedup against brute force."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+
+from framewright.llm import repeats, seed_extend, suffix_dedup
+from framewright.llm.anchors import BYTE_UNITS, blocks
+from tests.llm import helpers
+from tests.llm.helpers import WORDS
+
+
+def test_blocks_cover_every_window_once(monkeypatch):
+    from framewright.llm import anchors
+    monkeypatch.setattr(anchors, "SEGMENT", 700)
+    dice = np.random.default_rng(1)
+    raw = np.r_[dice.integers(97, 100, 3000), np.full(400, 97), np.tile([97, 98], 300)].astype(np.uint8)
+    g, b, start, count, off = blocks(BYTE_UNITS[raw], 50, 16)
+    assert [x for s, n in zip(start, count) for x in range(s, s + n)] == list(range(len(raw) - 49))
+    anchor = {}
+    for s, n, o, h in zip(start, count, off, g):
+        for j in range(n):                              # equal windows have equal anchors at equal places
+            w = raw[s + j:s + j + 50].tobytes()
+            assert anchor.setdefault(w, (h, o - j)) == (h, o - j)
+    assert all(len(x) == 0 for x in blocks(BYTE_UNITS[raw[:49]], 50, 16))
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "a"])
+def test_suffix_order_and_common_prefixes(letters):
+    dice = random.Random(len(letters))
+    text = "".join(dice.choice(letters) for _ in range(400)).encode() + bytes(64)
+    array = np.frombuffer(text, np.uint8)
+    wanted = np.zeros(len(array), bool)
+    wanted[:400:3] = True
+    order = suffix_dedup.suffix_order(array, wanted)
+    assert sorted(order.tolist()) == list(range(0, 400, 3))
+    cut = [text[p:p + 56] for p in order.tolist()]
+    assert cut == sorted(cut)
+    if letters != "a":
+        small = suffix_dedup.smaller_than_next(array)
+        assert all(bool(small[p]) == (text[p:] < text[p + 1:]) for p in range(400))
+    common = suffix_dedup.common_prefixes(array, order)
+    for k in range(1, len(order)):
+        a, b = text[order[k]:], text[order[k - 1]:]
+        want = next((i for i in range(50) if a[i:i + 1] != b[i:i + 1] or i >= len(a)), 50)
+        assert common[k] == want
+
+
+def overlapping(seed: int) -> list[tuple]:
+    """Texts that share passages of many lengths, at many places, with repeats inside a text."""
+    dice = random.Random(seed)
+    vocabulary = ["".join(dice.choice("abcé") for _ in range(dice.randint(1, 5))) for _ in range(60)]
+    passages = [" ".join(dice.choice(vocabulary) for _ in range(dice.randint(5, 130))) for _ in range(12)]
+    rows = []
+    for i in range(90):
+        parts = [dice.choice(passages) if dice.random() < 0.5 else " ".join(dice.choice(vocabulary) for _ in range(dice.randint(1, 60)))
+                 for _ in range(dice.randint(0, 6))]
+        cut = " ".join(parts)
+        rows.append((i * 2, cut[dice.randint(0, 20):]))
+    return rows + [(500, rows[5][1]), (501, rows[5][1]), (7, rows[60][1])]
+
+
+def plain_bytes(rows):
+    raws = [(helpers.last_id(i), t.encode()) for i, t in rows]
+    out = []
+    for (i, t), (_, raw), gone in zip(rows, raws, helpers.removed_mask(raws, 50)):
+        kept = bytes(x for x, m in zip(raw, gone) if not m)
+        out.append((i, len(raw), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def plain_words(rows):
+    seqs = [(helpers.last_id(i), tuple(WORDS.findall(t))) for i, t in rows]
+    out = []
+    for (i, t), (_, w), gone in zip(rows, seqs, helpers.removed_mask(seqs, 50)):
+        kept = " ".join(x for x, m in zip(w, gone) if not m)
+        out.append((i, len(w), sum(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_overlapping_passages(spark, seed):
+    rows = overlapping(seed)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(map(tuple, suffix_dedup.removals(docs).collect()), key=repr) == plain_bytes(rows)
+    assert sorted(map(tuple, seed_extend.removals(docs).collect()), key=repr) == plain_words(rows)
+
+
+def test_small_chunks_and_common_seeds(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "CHUNK_ROWS", 7)
+    monkeypatch.setattr(seed_extend, "PAIRS_OF", 3)
+    rows = overlapping(3)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, suffix_dedup.removals(docs).collect()), key=repr) == plain_bytes(rows)
+    assert sorted(map(tuple, seed_extend.removals(docs).collect()), key=repr) == plain_words(rows)
+
+
+@pytest.mark.parametrize("docs", [helpers.odd_docs, helpers.small_docs])
+def test_odd_and_small_documents(spark, docs):
+    docs = docs(spark)
+    rows = helpers.rows_of(docs)
+    assert sorted(map(tuple, suffix_dedup.removals(docs).collect()), key=repr) == plain_bytes(rows)
+    assert sorted(map(tuple, seed_extend.removals(docs).collect()), key=repr) == plain_words(rows)
+
+
+def test_no_documents(spark):
+    assert suffix_dedup.removals(helpers.no_docs(spark)).count() == 0
+    assert seed_extend.removals(helpers.no_docs(spark)).count() == 0
+    assert suffix_dedup.without_repeats(helpers.no_docs(spark)).count() == 0
+
+
+def test_documents_without_repeats(spark):
+    docs = helpers.odd_docs(spark)
+    out = suffix_dedup.without_repeats(docs)
+    assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+    rows = helpers.rows_of(docs)
+    raws = [(helpers.last_id(i), t.encode()) for i, t in rows]
+    want = []
+    for (i, t), gone in zip(rows, helpers.removed_mask(raws, 50)):
+        kept = bytes(x for x, m in zip(t.encode(), gone) if not m).decode("utf-8", "ignore")
+        if kept.strip() or not any(gone):
+            want.append((i, kept))
+    assert sorted(helpers.rows_of(out), key=repr) == sorted(want, key=repr)
+    assert out.where("text is null").count() == 1           # a null text stays null
