@@ -1,30 +1,55 @@
 """Byte-level BPE by pre-tokens: the same ids as the tokenizers library, each pre-token encoded once.
 
 A byte-level BPE file never merges across pre-tokens, so the ids of a text are those of its
-pre-tokens in order.  Pre-tokens repeat a lot, so a table of them saves nearly all of the encoding.
-Texts with characters whose class may differ between Unicode versions, and tokenizers with other
-parts than a plain byte-level one, are given whole to the library.
+pre-tokens in order.  Pre-tokens repeat a lot, so a table of them saves most of the encoding; a
+missing one is merged by the file's own ranks.  Texts with characters whose class may differ between
+Unicode versions, and tokenizers with other parts than a plain byte-level one, are given whole to the
+library.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
-import regex
+import tiktoken
 from tokenizers import Tokenizer
 
-# The pre-token pattern of byte-level BPE files with use_regex.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The pre-token pattern of byte-level BPE files with use_regex, for the settled letters
+# and numbers below.
+LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ώА-яぁ-ゖァ-ヺ一-龥가-힣"
+NUMBERS = "0-9²³¹¼-¾"
+PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
 
-#: Characters outside these long-settled blocks send a text to the library as a whole.
-UNSETTLED = r"[^\x09\x0A\x0D\x20-\x7E -ɏΑ-ΡΣ-ώА-я‐-‧‰-⁞€ぁ-ゖァ-ヺ一-龥가-힣]"
+#: Characters outside these long-settled ones send a text to the library as a whole.
+UNSETTLED = rf"[^\x09\x0A\x0D\x20-\x7E\u00A1-\u00AC\u00AE-\u00BF×÷‐-‧‰-⁞€{LETTERS}]"
 
 #: Longer texts are matched piecewise, so that their pre-tokens are never all in memory.
 LONG = 1 << 22
 
 
+def _byte_letters() -> dict[str, int]:
+    """The letters that byte-level files write for bytes: printable ones for themselves, the others
+    from U+0100 on in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def _ranked(spec: dict) -> tiktoken.Encoding | None:
+    """The file's merges as ranks, if its ids follow the order of its merges."""
+    vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
+    made = [vocab.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in merges]
+    if None in made or any(a >= b for a, b in zip(made, made[1:])):
+        return None
+    letters = _byte_letters()
+    special = {t["content"] for t in spec["added_tokens"]}
+    ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
+    return tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+
+
 class PreTokens:
     """Splits texts into pre-tokens; special strings are split off first, as the library does."""
 
@@ -37,22 +62,31 @@ class PreTokens:
                       and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                       and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout"))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.pattern = regex.compile(PATTERN)
-        self.unsettled = regex.compile(UNSETTLED)
+        self.ranks = _ranked(spec) if self.plain else None
+        self.pattern = re.compile(PATTERN)
+        self.unsettled = re.compile(UNSETTLED)
 
     def whole_ids(self, text: str) -> list[int]:
+        """Ids of a text by the library."""
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def runs(self, text: str) -> Iterator[list[str]] | None:
+    def token_ids(self, token: str) -> list[int]:
+        """Ids of one pre-token or special string."""
+        if token in self.special:
+            return [self.special[token]]
+        return self.ranks.encode_ordinary(token) if self.ranks else self.whole_ids(token)
+
+    def runs(self, text: str) -> Iterable[list[str]] | None:
         """Lists of pre-tokens and special strings in order; None: encode the text whole."""
         if not self.plain or self.unsettled.search(text):
             return None
+        if len(text) <= LONG and not (self.cut and self.cut.search(text)):
+            return (self.pattern.findall(text),)
         return self._runs(text)
-
     def _runs(self, text: str) -> Iterator[list[str]]:
         parts = self.cut.split(text) if self.cut else [text]
         for i, part in enumerate(parts):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from framewright.llm.common import stored, texts
 
 #: Pieces in a shard (mean), islands of a shard, rounds between migrations, crossovers of a round,
 #: packings an island holds, entries of a worker's cache of pre-token ids.
-SHARD_ITEMS, ISLANDS, ROUNDS, CROSSOVERS, POPULATION, CACHE_ENTRIES = 2048, 2, 2, 24, 5, 300_000
+SHARD_ITEMS, ISLANDS, ROUNDS, CROSSOVERS, POPULATION, CACHE_ENTRIES = 2048, 2, 2, 24, 5, 100_000
 
 _WORKER: dict = {}
 
@@ -35,8 +36,7 @@ _WORKER: dict = {}
 def _id_bytes(path: str) -> tuple[PreTokens, Table]:
     if path not in _WORKER:
         pre = PreTokens(path)
-        value = lambda t: np.asarray([pre.special[t]] if t in pre.special else pre.whole_ids(t), "<u4").tobytes()
-        _WORKER[path] = pre, Table({}, value, CACHE_ENTRIES)
+        _WORKER[path] = pre, Table({}, lambda t: array("I", pre.token_ids(t)).tobytes(), CACHE_ENTRIES)
     return _WORKER[path]
 
 

@@ -21,7 +21,7 @@ from framewright.llm.bpe import PreTokens, Table
 from framewright.llm.common import texts
 
 #: Documents read for the frequent table, its entries, its longest pre-token, entries of a worker's cache.
-FREQUENT_DOCS, FREQUENT_ENTRIES, FREQUENT_CHARS, CACHE_ENTRIES = 2_000, 32_768, 32, 400_000
+FREQUENT_DOCS, FREQUENT_ENTRIES, FREQUENT_CHARS, CACHE_ENTRIES = 2_000, 32_768, 32, 600_000
 
 _WORKER: dict = {}
 
@@ -51,7 +51,7 @@ def frequent_lengths(docs: DataFrame, path: str, n_docs: int = FREQUENT_DOCS,
                 seen = Counter(dict(seen.most_common(4 * entries)))
         top = [t for t, _ in seen.most_common(entries) if t not in pre.special and len(t) <= FREQUENT_CHARS]
         yield pa.RecordBatch.from_pydict({"token": pa.array(top, pa.string()), "n": pa.array(
-            [len(pre.whole_ids(t)) for t in top], pa.int32())})
+            [len(pre.token_ids(t)) for t in top], pa.int32())})
 
     rows = chosen.select("text").repartition(1).mapInArrow(count, "token string, n int").collect()
     return {r["token"]: r["n"] for r in rows}
@@ -69,7 +69,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
         pre = _pre_tokens(path)
         table = _WORKER.get(("lengths", path))
         if table is None or table.given.keys() != frequent.keys():
-            table = _WORKER["lengths", path] = Table(frequent, lambda t: 1 if t in pre.special else len(pre.whole_ids(t)), CACHE_ENTRIES)
+            table = _WORKER["lengths", path] = Table(frequent, lambda t: len(pre.token_ids(t)), CACHE_ENTRIES)
         look = table.__getitem__
         for batch in batches:
             n = []
