@@ -94,7 +94,7 @@ def _blocks_of(units: Units, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
         for b in batches:
-            found, text_of, keys = [], [], []
+            found, text_of, keys, again = [], [], [], []
             wanted = b.column("hs")
             for i, (key, tag, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "tag", "text")))):
                 u, cut = units(text)
@@ -103,6 +103,13 @@ def _blocks_of(units: Units, window: int, gram: int):
                 if not keep.any():
                     continue
                 g, f, s, n, o = g[keep], f[keep], s[keep], n[keep], o[keep]
+                # A block that a document holds several times is sent once, with its other places.
+                by = np.lexsort((s, f, g))
+                g, f, s, n, o = g[by], f[by], s[by], n[by], o[by]
+                lead = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (f[1:] != f[:-1])])
+                size = np.diff(np.r_[lead, len(g)])
+                again += [s[a + 1:a + k].astype("<u4").tobytes() if k > 1 else None for a, k in zip(lead.tolist(), size.tolist())]
+                g, f, s, n, o = g[lead], f[lead], s[lead], n[lead], o[lead]
                 for x, a, z in zip(zip(g.tolist(), f.tolist()), s.tolist(), (s + n - 1 + window).tolist()):
                     if x in sent:
                         text_of.append(None)          # this task has sent the same block before
@@ -115,7 +122,8 @@ def _blocks_of(units: Units, window: int, gram: int):
                 keys.append(np.full(len(g), key, np.int64))
             if found:
                 g, f, at = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_pydict({"h": g, "f": f, "key": np.concatenate(keys), "at": at, "block": pa.array(text_of, pa.binary())})
+                yield pa.RecordBatch.from_pydict({"h": g, "f": f, "key": np.concatenate(keys), "at": at,
+                                                  "again": pa.array(again, pa.binary()), "block": pa.array(text_of, pa.binary())})
     return run
 
 
@@ -142,7 +150,19 @@ def _removed(table: pa.Table, window: int, thresholds: Thresholds) -> pa.RecordB
     _, z = np.nonzero(step == -1)
     if not len(row):
         return None
-    start = (at[row] >> 12) & 0xFFFFFFFF
+    # Every place of the row's block: the first one and those that came along.
+    others = [x or b"" for x in table.column("again").to_pylist()]
+    many = np.array([len(x) // 4 for x in others]) + 1
+    first = np.cumsum(many) - many
+    places = np.empty(int(many.sum()), np.int64)
+    places[first] = (at >> 12) & 0xFFFFFFFF
+    rest = np.ones(len(places), bool)
+    rest[first] = False
+    places[rest] = np.frombuffer(b"".join(others), "<u4")
+    each = np.repeat(np.arange(len(row)), many[row])
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(many[row]) - many[row], many[row])
+    row, a, z = row[each], a[each], z[each]
+    start = places[first[row] + nth]
     return pa.RecordBatch.from_pydict({"key": key[row], "tag": (at[row] >> 44).astype(np.int32), "a": start + a, "z": start + z - 1 + window})
 
 
@@ -198,7 +218,7 @@ def spans(docs: DataFrame, units: Units, window: int, gram: int, thresholds: Thr
     shared = _anchor_hashes(alone, units, window, gram).repartition(parts, "h").mapInArrow(_in_two, "h long, key long")
     wanted = shared.groupBy("key").agg(F.collect_list("h").alias("hs"))
     sent = alone.join(wanted, "key").select("key", "tag", "text", "hs").mapInArrow(
-        _blocks_of(units, window, gram), "h long, f long, key long, at long, block binary")
+        _blocks_of(units, window, gram), "h long, f long, key long, at long, again binary, block binary")
     gone = sent.repartition(parts, "h").sortWithinPartitions("h", "f", "key").mapInArrow(
         _judged(window, thresholds), "key long, tag int, a long, z long")
     found = gone.groupBy("key", "tag").agg(F.collect_list(F.struct("a", "z")).alias("spans"))

@@ -60,6 +60,7 @@ def overlapping(seed: int) -> list[tuple]:
                  for _ in range(dice.randint(0, 6))]
         cut = " ".join(parts)
         rows.append((i * 2, cut[dice.randint(0, 20):]))
+    rows += [(600 + i, f"start {i} " + "round and " * (40 + i)) for i in range(5)]          # blocks many times in a text
     return rows + [(500, rows[5][1]), (501, rows[5][1]), (7, rows[60][1])]
 
 
