@@ -90,14 +90,24 @@ def _in_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"h": h[a:a + (1 << 16)], "key": key[a:a + (1 << 16)]})
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they are dealt by id once, and half as large."""
+    for b in batches:
+        raw = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_pydict({
+            "key": b.column("key"), "tag": b.column("tag"), "size": pa.array([len(x) for x in raw], pa.int32()),
+            "packed": pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in raw], pa.binary())})
+
+
 def _blocks_of(units: Units, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
         for b in batches:
             found, text_of, keys, again = [], [], [], []
             wanted = b.column("hs")
-            for i, (key, tag, text) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "tag", "text")))):
-                u, cut = units(text)
+            for i, (key, tag, size, packed) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "tag", "size", "packed")))):
+                raw = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True)
+                u, cut = units(raw.decode("utf-8", "surrogatepass"))
                 g, f, s, n, o = blocks(u, window, gram)
                 keep = np.isin(g, wanted[i].values.to_numpy(zero_copy_only=False))
                 if not keep.any():
@@ -217,7 +227,8 @@ def spans(docs: DataFrame, units: Units, window: int, gram: int, thresholds: Thr
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
     shared = _anchor_hashes(alone, units, window, gram).repartition(parts, "h").mapInArrow(_in_two, "h long, key long")
     wanted = shared.groupBy("key").agg(F.collect_list("h").alias("hs"))
-    sent = alone.join(wanted, "key").select("key", "tag", "text", "hs").mapInArrow(
+    texts = alone.where(F.octet_length("text") >= window).mapInArrow(_squeezed, "key long, tag int, size int, packed binary")
+    sent = texts.join(wanted, "key").select("key", "tag", "size", "packed", "hs").mapInArrow(
         _blocks_of(units, window, gram), "h long, f long, key long, at long, again binary, block binary")
     gone = sent.repartition(parts, "h").sortWithinPartitions("h", "f", "key").mapInArrow(
         _judged(window, thresholds), "key long, tag int, a long, z long")
