@@ -44,11 +44,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.size(words(F.coalesce(text, F.lit("")))), F.lit(0)).cast("long")
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: the lineage ends here."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -151,7 +151,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = texts(docs).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # Ranges are of the id alone: the driver samples their keys, and texts are no part of them.
+    ordered = texts(docs).repartitionByRange(parts, order[0]).sortWithinPartitions(*order)
     extra, types = ["part", "kind", "text"], [*_TYPES, pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +175,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             rows = zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "fingerprint", "next_text", "next_fingerprint")))
             yield _batch([_described(d, t, unpacked(f), nt, unpacked(nf)) for d, t, f, nt, nf in rows], _NAMES, _TYPES)
 
-    found = stored(ordered.mapInArrow(run, f"{_FIELDS}, part int, kind int, text string"), "fingerprints")
+    found = stored(ordered.mapInArrow(run, f"{_FIELDS}, part int, kind int, text string"), "fingerprints", "zstd")
     heads = found.where("kind = 2")
     by = Window.orderBy("part")                     # one row per range
     after = heads.select("part", F.coalesce(F.lead("part").over(by), F.min("part").over(Window.partitionBy())).alias("next_part"))
