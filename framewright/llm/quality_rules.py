@@ -22,8 +22,10 @@ from framewright.llm.common import GAP, WORD, broadcast_within, stored, words
 CORE, STEPS, TAIL = 0.75, 5, 1e-5
 
 #: Standard deviations that always count as ordinary: of the log mean word length, and of the logs of
-#: symbols per word, repeated lines and repeated words (see ``features``).
-ORDINARY = (0.08, 0.20, 0.45, 0.45)
+#: symbols per word, repeated lines and repeated words (see ``features``).  They are floors of the
+#: estimate, so each must be under its statistic's range (log 11 for lines, log 6 for words that pass
+#: the base rule) by more than the root of ``LIMIT``; else that statistic can never reject alone.
+ORDINARY = (0.08, 0.20, 0.35, 0.25)
 
 #: Weight, in documents, of the wider prior that stands in for documents a small group does not have.
 PRIOR_DOCS, PRIOR_TIMES = 10, 2.0

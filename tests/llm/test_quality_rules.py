@@ -102,3 +102,25 @@ def test_groups_do_not_mix(spark):
     for r in q.judged(helpers.small_docs(spark)).select("lang", "source", "kept").collect():
         rows[r.lang, r.source].append(r.kept)
     assert len(rows) > 10
+
+
+def test_each_statistic_rejects_alone(spark):
+    dice = np.random.default_rng(8)
+    vocabulary = ["".join(dice.choice(list("abcdefgh"), 5)) for _ in range(3000)]
+    prose = lambda n: list(dice.choice(vocabulary, n))
+    lines = lambda w: "\n".join(" ".join(w[i:i + 12]) for i in range(0, len(w), 12))
+    few, seen = prose(10), set()                # one word a line, ten different ones, no three in a row twice
+    short = few[:2]
+    while len(short) < 160:
+        w = next(w for w in dice.permutation(few) if (*short[-2:], w) not in seen)
+        seen.add((*short[-2:], w))
+        short.append(w)
+    twice = prose(48)
+    planted = {"long words": lines([w * 3 for w in prose(240)]), "symbols": lines([w + "##" for w in prose(240)]),
+               "lines": "\n".join(short), "words": lines(prose(60) + twice + prose(55) + twice)}
+    rows = [(1000 + i, text) for i, text in enumerate(planted.values())] + [(i, lines(prose(240))) for i in range(300)]
+    docs = spark.createDataFrame([(*r, "en", "src1") for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in q.verdicts(docs).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert {name: got[1000 + i].kept for i, name in enumerate(planted)} == dict.fromkeys(planted, False)
+    assert all(got[i].kept for i in range(300))
