@@ -148,6 +148,26 @@ def star_pairs(nodes: DataFrame, sigs: DataFrame) -> DataFrame:
     return _grouped(placed, "node", "place").select("node", "cls", "sig").mapInArrow(run, "a long, b long").distinct()
 
 
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """``node, cls, root`` of mixed nodes, large ones in groups of at most about two blocks.
+
+    The blocks of a node's largest component meet those of its other documents, and these each other; two
+    blocks of the largest component never meet.  Documents of different components share a group."""
+    sizes = rows.where(F.col("n") > BLOCK).groupBy("node", "root").agg(F.count(F.lit(1)).alias("size"))
+    most = F.max(F.struct("size", "root")).alias("most")
+    sizes = sizes.groupBy("node").agg(most, F.sum("size").alias("all")).select(
+        "node", F.col("most.root").alias("largest"), F.ceil(F.col("most.size") / BLOCK).cast("int").alias("p"),
+        F.ceil((F.col("all") - F.col("most.size")) / BLOCK).cast("int").alias("q"))
+    rows = rows.join(broadcast_within(stored(sizes, "mixed-sizes"), 24), "node", "left")
+    upto = lambda c, use: F.transform(F.sequence(F.lit(0), F.col(c) - 1), use)
+    own = lambda c: F.pmod(F.xxhash64("cls"), F.col(c)).cast("int")
+    largest = upto("q", lambda k: F.xxhash64("node", F.lit("largest"), own("p"), k))
+    other = F.concat(upto("p", lambda k: F.xxhash64("node", F.lit("largest"), k, own("q"))),
+                     upto("q", lambda k: F.xxhash64("node", F.lit("other"), F.least(own("q"), k), F.greatest(own("q"), k))))
+    groups = F.when(F.col("p").isNull(), F.array("node")).when(F.col("root") == F.col("largest"), largest).otherwise(other)
+    return rows.select(F.explode(groups).alias("node"), "cls", "root").distinct()
+
+
 def mixed_groups(nodes: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFrame:
     """Documents of nodes that hold several components and look similar to one of another component:
     ``grp, cls, root``.  Groups with the same documents, from other trees, are one group."""
@@ -155,11 +175,7 @@ def mixed_groups(nodes: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFra
     rows = rows.select("node", "n", "cls", F.coalesce("root", "cls").alias("root"))
     several = stored(rows.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.max("n").alias("m"))
                      .where("x <> y").select("node"), "mixed-nodes")
-    rows = rows.join(broadcast_within(several, 8), "node")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("cls"), blocks).cast("int")
-    pairs = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.xxhash64("node", F.least(own, k), F.greatest(own, k)))
-    rows = rows.select(F.explode(F.when(F.col("n") > BLOCK, pairs).otherwise(F.array("node"))).alias("node"), "cls", "root").distinct()
+    rows = _in_blocks(rows.join(broadcast_within(several, 8), "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in _by_group(batches, "node"):

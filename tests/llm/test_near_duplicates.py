@@ -70,6 +70,33 @@ def test_large_nodes_in_blocks_lose_no_link(spark, monkeypatch):
     assert got(docs) == all_pairs(rows)
 
 
+def mixed(spark, monkeypatch, roots: list[int]) -> dict[int, list]:
+    """The groups that ``mixed_groups`` searches for one node whose documents have these components."""
+    dealt, grouped = [], cp._grouped
+    monkeypatch.setattr(cp, "BLOCK", 12)
+    monkeypatch.setattr(cp, "_grouped", lambda rows, by, *order: dealt.append(rows) or grouped(rows, by, *order))
+    nodes = spark.createDataFrame([(7, len(roots), i) for i in range(len(roots))], "node long, n long, cls long")
+    tops = spark.createDataFrame(list(enumerate(roots)), "vertex long, root long")
+    sigs = spark.createDataFrame([(i, bytes(4 * cp.COORDINATES)) for i in range(len(roots))], "cls long, sig binary")
+    cp.mixed_groups(nodes, tops, sigs)
+    found = {}
+    for r in dealt[0].collect():
+        found.setdefault(r.node, []).append(r.cls)
+    return found
+
+
+def test_one_stranger_does_not_make_a_node_quadratic(spark, monkeypatch):
+    found = mixed(spark, monkeypatch, [0] * 600 + [600])
+    assert sum(map(len, found.values())) <= 600 + 50 + 1 and all(600 in g for g in found.values())
+
+
+def test_all_pairs_of_components_meet(spark, monkeypatch):
+    dice = random.Random(9)
+    roots = [dice.choice([0, 0, 0, 1, 2, 3]) for _ in range(150)]
+    met = {(a, b) for g in mixed(spark, monkeypatch, roots).values() for a in g for b in g}
+    assert all((a, b) in met for a in range(150) for b in range(a) if roots[a] != roots[b])
+
+
 def test_one_of_each_group_stays(spark):
     docs = helpers.odd_docs(spark)
     kept = cp.deduplicated(docs)
