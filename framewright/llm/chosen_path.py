@@ -27,9 +27,9 @@ from framewright.llm.components import components
 from framewright.llm.fingerprints import shingle_hashes, word_hashes
 
 #: Least similarity in per cent; trees; coordinates; a node of so many documents is searched; levels;
-#: documents of a block; estimated similarity from which sets are compared (four standard deviations
-#: below the threshold for this number of coordinates).
-PERCENT, TREES, COORDINATES, SMALL, DEPTH, BLOCK, LIKELY = 85, 12, 128, 256, 4, 512, 0.72
+#: documents of a block; estimated similarity from which sets are compared (six standard deviations
+#: below the threshold for this number of coordinates: it loses 4e-8 of the pairs at the threshold).
+PERCENT, TREES, COORDINATES, SMALL, DEPTH, BLOCK, LIKELY = 85, 12, 128, 256, 4, 512, 0.66
 
 _FACTORS = np.random.default_rng(11).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})

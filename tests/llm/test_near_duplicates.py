@@ -1,6 +1,7 @@
 """Near-duplicates against all pairs; components; large nodes."""
 
 import random
+from math import ceil, comb
 
 import pytest
 
@@ -97,6 +98,14 @@ def test_all_pairs_of_components_meet(spark, monkeypatch):
     assert all((a, b) in met for a in range(150) for b in range(a) if roots[a] != roots[b])
 
 
+def test_the_filter_before_full_sets_loses_almost_nothing(spark):
+    n, least = cp.COORDINATES, ceil(cp.LIKELY * cp.COORDINATES)
+    assert sum(comb(n, i) * 0.85 ** i * 0.15 ** (n - i) for i in range(least)) < 1e-7
+    sigs = spark.createDataFrame([(1, bytes(4 * n)), (2, bytes(4 * 90) + bytes([1]) * 4 * (n - 90))], "cls long, sig binary")
+    nodes = spark.createDataFrame([(7, 2, 1), (7, 2, 2)], "node long, n long, cls long")
+    assert [tuple(r) for r in cp.star_pairs(nodes, sigs).collect()] == [(1, 2)]
+
+
 def test_one_of_each_group_stays(spark):
     docs = helpers.odd_docs(spark)
     kept = cp.deduplicated(docs)
