@@ -36,10 +36,11 @@ def frequent_lengths(docs: DataFrame, path: str, n_docs: int = FREQUENT_DOCS,
                      entries: int = FREQUENT_ENTRIES) -> dict[str, int]:
     """Lengths of the most frequent pre-tokens of about ``n_docs`` documents chosen by hash.
 
-    One task counts them: its input is those documents, its output at most ``entries`` rows."""
+    The hash is of id and text, so rows that share an id are not chosen together.  Each task counts its own
+    and gives a bounded list; the lists are summed by pre-token, and ``entries`` of them stay."""
     total = docs.count()
     share = min(1.0, n_docs / max(total, 1))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, seen = _pre_tokens(path), Counter()
@@ -49,12 +50,18 @@ def frequent_lengths(docs: DataFrame, path: str, n_docs: int = FREQUENT_DOCS,
                     seen.update(run)
             if len(seen) > 8 * entries:
                 seen = Counter(dict(seen.most_common(4 * entries)))
-        top = [t for t, _ in seen.most_common(entries) if t not in pre.special and len(t) <= FREQUENT_CHARS]
-        yield pa.RecordBatch.from_pydict({"token": pa.array(top, pa.string()), "n": pa.array(
-            [len(pre.token_ids(t)) for t in top], pa.int32())})
+        top = [(t, k) for t, k in seen.most_common(4 * entries) if t not in pre.special and len(t) <= FREQUENT_CHARS]
+        yield pa.RecordBatch.from_pydict({"token": pa.array([t for t, _ in top], pa.string()), "k": pa.array([k for _, k in top], pa.int64())})
 
-    rows = chosen.select("text").repartition(1).mapInArrow(count, "token string, n int").collect()
-    return {r["token"]: r["n"] for r in rows}
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pre = _pre_tokens(path)
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"token": batch.column("token"), "n": pa.array(
+                [len(pre.token_ids(t)) for t in batch.column("token").to_pylist()], pa.int32())})
+
+    counts = chosen.select("text").mapInArrow(count, "token string, k long").groupBy("token").agg(F.sum("k").alias("k"))
+    top = counts.orderBy(F.desc("k"), "token").limit(entries).select("token")
+    return {r["token"]: r["n"] for r in top.mapInArrow(measured, "token string, n int").collect()}
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:

@@ -105,3 +105,16 @@ def test_crossover_keeps_every_piece_once():
         a, b = b, child
     best = packing.evolve(sizes, 100, 0, [a.labels()])
     assert len(best.bins) <= len(a.bins) and packing.from_labels(sizes, 100, best.labels()).cost[0] == best.cost[0]
+
+
+def test_rows_that_share_an_id_are_not_all_chosen(spark):
+    rows = [(None, f"alone{i}") for i in range(4000)] + [(i, f"other{i}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = token_counts.frequent_lengths(docs, token_counts.tokenizer_path(), n_docs=80)
+    assert seen and not {"alone", "other"} - {"".join(c for c in t if c.isalpha()) for t in seen}
+    plan = []
+    chosen = type(docs).mapInArrow
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(type(docs), "mapInArrow", lambda df, *a, **k: plan.append(df) or chosen(df, *a, **k))
+        token_counts.frequent_lengths(docs, token_counts.tokenizer_path(), n_docs=80)
+    assert 20 < plan[0].count() < 200 and plan[0].rdd.getNumPartitions() > 1
