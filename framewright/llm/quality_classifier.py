@@ -127,12 +127,15 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Machine:
     """Fit on the labelled documents that are not held out, at most ``rows`` of them by least hash.
 
-    One task fits: its input is those rows' features.  Null labels are left out."""
+    Of the rows that share an id the one with the least text hash counts.  One task fits: its input is those
+    rows' features.  Null labels are left out."""
     spark = docs.sparkSession
     chosen = (labels.where(labels["quality"].isNotNull() & labels["doc_id"].isNotNull() & ~held_out(labels["doc_id"]))
               .groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.max("quality").alias("label"))
               .withColumn("rank", F.xxhash64("id")).orderBy("rank", "id").limit(rows))
     given = _input(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("rank", "label", "text", "n_chars")
+    least = F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars"))
+    given = given.groupBy("rank", "label").agg(least.alias("row")).select("rank", "label", "row.*")
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -48,3 +48,12 @@ def test_odd_documents_and_no_labels(spark):
     assert qc.score(helpers.no_docs(spark), none).count() == 0
     bounded = qc.train(docs, labels, rows=3)
     assert bounded.w.any()
+
+
+def test_rows_that_share_a_labelled_id_count_once(spark, monkeypatch):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame([(i % 20, f"text {i} of some words", i) for i in range(400)], "doc_id long, text string, n_chars long")
+    plan, chosen = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, *a, **k: plan.append(df) or chosen(df, *a, **k))
+    qc.train(docs, labels, rows=5)
+    assert plan[0].count() == 5
