@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framewright.llm import chosen_path, fingerprints, mixing, packing, quality_classifier, quality_rules, resharding, seed_extend, suffix_dedup, token_counts
+from framewright.llm import (chosen_path, fingerprints, hard_negatives, mixing, packing, prefix_trie, quality_classifier, quality_rules, resharding,
+                             seed_extend, sequence_files, suffix_dedup, token_counts)
 from framewright.llm.common import documents
 from framewright.sources.tables import load
 
@@ -63,11 +64,23 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), token_counts.tokenizer_path())
 
 
+def op11_sequence_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sequence_files.token_files(documents(spark, sf_dir), token_counts.tokenizer_path())
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined_embeddings(load(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(load(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Builder]:
     return {f.__name__: f for f in (op1_source_mix, op2_quality_rules, op3_token_counts, op4_fingerprints,
                                   op5_factorisation_machine, op6_flow_resharding, op7_chosen_path, op8_suffix_dedup, op9_seed_extend,
-                                  op10_best_fit_packing)}
+                                  op10_best_fit_packing, op11_sequence_files, op12_hard_negatives, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mix": mixing.SQL}
+    return {"op1_source_mix": mixing.SQL, "op12_hard_negatives": hard_negatives.SQL}
