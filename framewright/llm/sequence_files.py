@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.llm.bpe import PreTokens, Table
-from framewright.llm.common import broadcast_within, stored, texts
+from framewright.llm.common import stored, texts
 from framewright.session import shared_dir
 
 #: Ids of a sequence, sequences of a batch, text bytes of a file (about), entries of a worker's cache.
@@ -161,6 +161,15 @@ class SequenceFile:
             yield from zip(*(c.to_pylist() for c in self.index.get_batch(k).columns))
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one, for the shuffle."""
+    for b in batches:
+        raw = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": b.column("doc_id"), "h": b.column("h"), "nth": b.column("nth"), "size": pa.array([len(x) for x in raw], pa.int32()),
+            "packed": pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in raw], pa.binary())})
+
+
 def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 0, length: int = LENGTH, batch: int = BATCH,
                     file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write the documents' ids to files under ``folder``: ``part, path, n_ids, n_docs`` per file, in order."""
@@ -170,7 +179,8 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
     parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (1 << 20)), total // file_bytes)
     order = [F.col("doc_id").asc_nulls_last(), "h", "nth"]
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
+    rows = rows.mapInArrow(_squeezed, "doc_id long, h long, nth long, size int, packed binary")
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "size", "packed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, table = _encoder(tokenizer)
@@ -179,7 +189,8 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str, end_id: int =
         part, writer = TaskContext.get().partitionId(), None
         path = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}"
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
+            for doc, size, packed in zip(*(c.to_pylist() for c in b.columns)):
+                text = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True).decode("utf-8", "surrogatepass")
                 if writer is None:
                     writer = SequenceWriter(path, np.dtype("<u2" if max(vocabulary, end_id + 1) <= 1 << 16 else "<u4"), length, batch)
                 runs = pre.runs(text)
