@@ -75,7 +75,7 @@ def json_scan_inferred(spark, sf_dir):
                                         F.max("ts").alias("last_ts_text"))
 
 
-@register("stream_csv_count", covers=("S12", "R1", "R13"), oracle="""
+@register("stream_csv_count", covers=("S12", "R1"), oracle="""
 SELECT o_orderstatus, count(*) AS count FROM orders GROUP BY o_orderstatus
 """)
 def stream_csv_count(spark, sf_dir):

@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from framewright.plans.catalog import register
+from framewright.session import drop_dir, shared_dir
 from framewright.sources.tables import Tables
 from framewright.streaming import operators as so
-from framewright.streaming.sinks import read_result, run_to_table, start, unique_name
-from framewright.streaming.sources import table_stream
+from framewright.streaming.sinks import committed_batches, read_result, run_to_table, start, unique_name
+from framewright.streaming.sources import file_stream, table_stream
+from framewright.streaming.stateful import keyed_visits, route_late
 
 
 def _events(spark, sf_dir):
@@ -24,7 +26,7 @@ def _drain(df, mode, name, spark, sf_dir):
     return run_to_table(df, mode, unique_name(name), spark, source=Tables(spark, sf_dir).events)
 
 
-@register("stream_count", covers=("R1", "R12", "R13", "R14", "R15", "R16", "R17", "S13", "S19", "S20", "P15"), oracle="""
+@register("stream_count", covers=("R1", "R12", "R14", "R15", "R16", "R17", "S13", "S19", "S20", "P15"), oracle="""
 SELECT event_type, count(*) AS count FROM events GROUP BY event_type
 """)
 def stream_count(spark, sf_dir):
@@ -186,3 +188,84 @@ def stream_stream_join(spark, sf_dir):
                              [("click_user", "purchase_user")], "click_time", "purchase_time", "1 hour",
                              salt=4, left_id="click_id")
     return _drain(j.select("click_id", "purchase_id"), "append", "stream_stream_join", spark, sf_dir)
+
+
+@register("stream_cube_inside", covers=("R3", "A20", "A22"), oracle="""
+SELECT event_type, user_id, round(sum(value), 2) / count(value) AS avg_value,
+       grouping(event_type, user_id) AS grouping_id
+FROM events GROUP BY CUBE (event_type, user_id)
+""")
+def stream_cube_inside(spark, sf_dir):
+    """The cube on the stream itself: its state holds every level (``stream_cube`` keeps the full key only)."""
+    ev = _events(spark, sf_dir).select("event_type", "user_id", "value")
+    cube = ev.cube("event_type", "user_id").agg((F.round(F.sum("value"), 2) / F.count("value")).alias("avg_value"),
+                                                F.grouping_id().alias("grouping_id"))
+    return _drain(cube, "complete", "stream_cube_inside", spark, sf_dir)
+
+
+def _in_parts(spark, sf_dir, part, parts, files):
+    """Events written part by part, each as a few files, so that a stream reads the parts in order."""
+    folder = shared_dir(spark, "event-files")
+    ev = Tables(spark, sf_dir).events
+    for k in range(parts):
+        ev.where(part == k).repartition(files).write.mode("append").parquet(folder)
+    return folder, ev
+
+
+@register("stream_limited_files", covers=("R13", "R1", "R17"), oracle="""
+SELECT event_type, count(*) AS count, round(sum(value), 2) AS total, true AS several_batches FROM events GROUP BY event_type
+""")
+def stream_limited_files(spark, sf_dir):
+    """At most two of eight files a batch: counts and sums are carried from batch to batch in the state; the
+    checkpoint says that there were three batches or more."""
+    folder, ev = _in_parts(spark, sf_dir, F.lit(0), 1, 8)
+    stream = file_stream(spark, folder, "parquet", ev.schema, max_files_per_trigger=2)
+    counts = stream.groupBy("event_type").agg(F.count(F.lit(1)).alias("count"), F.sum("value").alias("total"))
+    base = shared_dir(spark, "stream_limited_files")
+    res = run_to_table(counts, "complete", unique_name("stream_limited_files"), spark, out_dir=base, source=ev)
+    batches = committed_batches(spark, base)
+    drop_dir(spark, folder)
+    return res.select("event_type", "count", F.round("total", 2).alias("total"), F.lit(batches >= 3).alias("several_batches"))
+
+
+@register("stream_sessions", covers=("session windows", "R8"), oracle="""
+WITH flagged AS (
+  SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 3 HOUR THEN 0 ELSE 1 END AS new FROM events),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nth FROM flagged)
+SELECT min(ts) AS window_start, max(ts) + INTERVAL 3 HOUR AS window_end, user_id, count(*) AS n_events, max(value) AS largest
+FROM numbered GROUP BY user_id, nth HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 30 MINUTE
+""")
+def stream_sessions(spark, sf_dir):
+    """Session windows of three hours per user in append mode; sessions still open at the end are not emitted."""
+    out = so.session_windows(_events(spark, sf_dir), "ts", "3 hours", ["user_id"], F.count(F.lit(1)).alias("n_events"),
+                             F.max("value").alias("largest"), watermark="30 minutes")
+    return _drain(out, "append", "stream_sessions", spark, sf_dir)
+
+
+@register("stream_keyed_visits", covers=("keyed state functions",), oracle="""
+WITH flagged AS (
+  SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events),
+numbered AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS nth FROM flagged)
+SELECT user_id, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS n_rows
+FROM numbered GROUP BY user_id, nth HAVING max(ts) + INTERVAL 2 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+""")
+def stream_keyed_visits(spark, sf_dir):
+    """Visits by a state function with event-time timeouts, one state per user."""
+    return _drain(keyed_visits(_events(spark, sf_dir), "user_id", "ts", 2 * 3600, "10 minutes"), "append", "stream_keyed_visits", spark, sf_dir)
+
+
+@register("stream_late_rows", covers=("late-data side output",), oracle="""
+WITH part AS (SELECT event_id, event_type, ts, event_id % 3 AS part FROM events),
+judged AS (
+  SELECT event_id, event_type, ts < (SELECT max(b.ts) FROM part b WHERE b.part < a.part) - INTERVAL 20 DAY AS late FROM part a)
+SELECT event_type, coalesce(late, false) AS late, count(*) AS n, sum(event_id) AS ids FROM judged GROUP BY 1, 2
+""")
+def stream_late_rows(spark, sf_dir):
+    """Events in three batches that each span the whole time: rows over twenty days behind the greatest time of
+    the batches before go to the side output; both outputs together are the input."""
+    folder, ev = _in_parts(spark, sf_dir, F.col("event_id") % 3, 3, 4)
+    stream = file_stream(spark, folder, "parquet", ev.schema, max_files_per_trigger=4)
+    on_time, late = route_late(stream, "ts", 20 * 86_400, unique_name("stream_late_rows"))
+    drop_dir(spark, folder)
+    both = on_time.withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
+    return both.groupBy("event_type", "late").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))

@@ -60,3 +60,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     root = checkpoint_root(spark)
     path = os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
     return path
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote under the shared checkpoint folder."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)

@@ -58,6 +58,19 @@ def windowed(df: DataFrame, ts: str, size: str, slide: str | None, keys: Sequenc
     return flat_window(out, to_ntz=bool(watermark) and was_ntz)
 
 
+def session_windows(df: DataFrame, ts: str, gap: str, keys: Sequence[str], *aggs: Column, watermark: str | None = None) -> DataFrame:
+    """Aggregate per key and session: rows with less than ``gap`` between neighbours; the window ends ``gap``
+    after the last row.  The state of an open session holds its bounds and partial aggregates, and
+    sessions that a new row joins are merged, over any number of batches.  With ``watermark`` append
+    mode emits a session once the watermark has passed its end.  Bounds have the input's type."""
+    was_ntz = _type_of(df, ts) == "timestamp_ntz"
+    df = event_time(df, ts, "__et")
+    if watermark:
+        df = df.withWatermark("__et", watermark)
+    out = df.groupBy(F.session_window("__et", gap).alias("window"), *keys).agg(*aggs)
+    return flat_window(out, to_ntz=was_ntz)
+
+
 def deduplicated(df: DataFrame, keys: Sequence[str], ts: str, watermark: str,
                  within_watermark: bool = False) -> DataFrame:
     """Drop repeated (keys, event time) rows; state older than the watermark is dropped.

@@ -19,12 +19,13 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from framewright.session import shared_dir
+from framewright.session import drop_dir, shared_dir
 
 
 def unique_name(base: str) -> str:
@@ -32,21 +33,46 @@ def unique_name(base: str) -> str:
     return f"{base}_{uuid.uuid4().hex[:8]}"
 
 
-def _complete_results(spark: SparkSession, data: str) -> list[tuple[int, str]]:
-    """Finished results of a complete-mode query: batch number and folder, oldest first."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    root = hadoop.Path(data)
+def _folders(spark: SparkSession, path: str) -> list:
+    """The entries of a folder, as Hadoop paths; none if it does not exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(root):
-        return []
-    found = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith("batch=")]
+    return [f.getPath() for f in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def finished_batches(spark: SparkSession, data: str) -> list[tuple[int, str]]:
+    """Batches whose folder ``batch=N`` was written to its end: number and folder, oldest first."""
+    found = [p for p in _folders(spark, data) if p.getName().startswith("batch=")]
     return sorted((int(p.getName().partition("=")[2]), p.toString()) for p in found
-                  if fs.exists(hadoop.Path(p, "_SUCCESS")))
+                  if any(x.getName() == "_SUCCESS" for x in _folders(spark, p.toString())))
+
 
+def committed_batches(spark: SparkSession, base: str) -> int:
+    """Batches that a query with its checkpoint under ``base`` has committed, in all its runs.
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+    A query over an empty input reports progress but commits nothing, so this and not the progress says
+    whether there is a result."""
+    names = [p.getName() for p in _folders(spark, os.path.join(base, "_checkpoint", "commits"))]
+    return sum(1 for n in names if n.isdigit())
+
+
+def start_batches(df: DataFrame, mode: str, name: str, base: str, publish: Callable[[DataFrame, int], None]) -> StreamingQuery:
+    """Start a query that hands each batch to ``publish``, with its checkpoint under ``base``, and stops
+    when all that is there is read."""
+    writer = df.writeStream.queryName(name).outputMode(mode).trigger(availableNow=True)
+    return writer.option("checkpointLocation", os.path.join(base, "_checkpoint")).foreachBatch(publish).start()
+
+
+def drain(q: StreamingQuery, name: str, timeout: float | None = None) -> None:
+    """Wait for the end of a query; an error of the query raises here."""
+    try:
+        if q.awaitTermination(timeout) is False:
+            raise TimeoutError(f"streaming query {name} did not finish in {timeout}s")
+    finally:
+        if q.isActive:
+            q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
 
 
 def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str = "files",
@@ -69,9 +95,9 @@ def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str =
     elif mode == "complete":
         def publish(batch: DataFrame, batch_id: int) -> None:
             batch.write.mode("overwrite").parquet(os.path.join(data, f"batch={batch_id}"))
-            for number, folder in _complete_results(spark, data)[:-1]:
+            for number, folder in finished_batches(spark, data)[:-1]:
                 if number < batch_id:
-                    _drop_folder(spark, folder)     # superseded
+                    drop_dir(spark, folder)         # superseded
         q = writer.foreachBatch(publish).start()
     else:
         raise ValueError("files sink supports append and complete modes; use memory for update")
@@ -81,7 +107,7 @@ def start(df: DataFrame, mode: str, name: str, spark: SparkSession, sink: str =
 def read_result(df: DataFrame, mode: str, data: str, spark: SparkSession, any_batch: bool) -> DataFrame:
     """The result of a files-sink query with the stream's schema."""
     if mode == "complete":
-        finished = _complete_results(spark, data)
+        finished = finished_batches(spark, data)
         if not finished and any_batch:
             raise RuntimeError(f"no finished result under {data}")
         return spark.read.schema(df.schema).parquet(finished[-1][1]) if finished else spark.createDataFrame([], df.schema)
@@ -102,19 +128,11 @@ def run_to_table(df: DataFrame, mode: str, name: str, spark: SparkSession, sink:
     There is no time limit unless the caller gives one.  With ``source``, a static read of the
     stream's input, a stream that ran no batch although its input has rows raises."""
     q, data = start(df, mode, name, spark, sink=sink, out_dir=out_dir)
-    try:
-        finished = q.awaitTermination(timeout)   # R16
-        if finished is False:
-            raise TimeoutError(f"streaming query {name} did not finish in {timeout}s")
-    finally:
-        if q.isActive:
-            q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    drain(q, name, timeout)
     if sink == "memory":
         return spark.table(name)
-    any_batch = q.lastProgress is not None and out_dir is None
-    if source is not None and q.lastProgress is None and not source.isEmpty():
+    any_batch = committed_batches(spark, os.path.dirname(data)) > 0
+    if source is not None and not any_batch and not source.isEmpty():
         raise RuntimeError(f"streaming query {name} read nothing although its input has rows")
     result = read_result(df, mode, data, spark, any_batch)
     result.createOrReplaceTempView(name)
