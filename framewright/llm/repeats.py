@@ -8,7 +8,9 @@
 4. The operator's own method finds, for every window of the blocks, the least id that has it.
 5. Windows that a smaller id has are merged into spans, per document.
 
-Ids: a null one comes after all others; rows with equal ids do not remove each other's windows.
+Ids: a null one comes after all others; rows with equal ids do not remove each other's windows.  What belongs
+to a text is found again by a 128-bit hash of it and never by its id, so texts that share an id are not
+mixed up, and the rows of one id are never gathered.
 """
 
 from __future__ import annotations
@@ -21,13 +23,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm.anchors import blocks
-from framewright.llm.common import BROADCAST_BYTES, LAST_ID, broadcast_within, stored
+from framewright.llm.common import BROADCAST_BYTES, LAST_ID, broadcast_within, discard, stored
 
 #: Units of input text for a task of step 2, rows that step 4 handles at once (whole anchors).
 TASK_BYTES, CHUNK_ROWS = 64 << 20, 60_000
 
-_TAG_BITS = 19
-
 #: units of a text, the text of a range of units, thresholds of blocks
 Units = Callable[[str], tuple[np.ndarray, Callable[[int, int], bytes]]]
 Thresholds = Callable[[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -37,57 +37,64 @@ def key_of(docs: DataFrame) -> Column:
     return F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID))
 
 
-def tag_of(text: Column) -> Column:
-    """Tells texts apart that share an id."""
-    return F.pmod(F.xxhash64(text), F.lit(1 << _TAG_BITS)).cast("int")
+def text_hash(text: Column) -> list[Column]:
+    """Two 64-bit hashes that name a text."""
+    return [F.xxhash64(text).alias("x"), F.xxhash64(F.lit(1), text).alias("y")]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(docs["text"], F.lit(""))
-    return docs.select(key_of(docs).alias("key"), tag_of(text).alias("tag"), text.alias("text"))
-
-
-def copies(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``key, tag`` of the documents that equal one with a smaller id, and the bytes of all texts."""
-    marks = stored(rows.select("key", "tag", F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"),
-                               F.octet_length("text").alias("size")), "text-hashes")
-    first = marks.groupBy("x", "y").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last")
-    first = broadcast_within(stored(first, "equal-texts"), 40)
-    found = marks.join(first, ["x", "y"]).where(F.col("key") > F.col("first")).select("key", "tag").distinct()
-    return stored(found, "copies"), int(marks.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0)
+    return docs.select(key_of(docs).alias("key"), *text_hash(text), text.alias("text"))
+
+
+def copies(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """One row of each text, the texts of several rows as ``x, y, first`` (least id), and the bytes of all texts."""
+    marks = stored(rows.select("key", "x", "y", F.octet_length("text").alias("size")), "text-hashes")
+    each = marks.groupBy("x", "y", "key").agg(F.count(F.lit(1)).alias("n"))
+    least = each.groupBy("x", "y").agg(F.min(F.struct("key", "n")).alias("least"), F.sum("n").alias("n")).where("n > 1")
+    several = stored(least.select("x", "y", F.col("least.key").alias("first"), (F.col("least.n") > 1).alias("twins")), "equal-texts")
+    same = broadcast_within(several.select("x", "y", "first"), 24)
+    joined = rows.join(same, ["x", "y"], "left")
+    alone = joined.where(F.col("first").isNull() | (F.col("key") == F.col("first"))).drop("first")
+    if several.where("twins").limit(1).count():         # rows that are equal in id and text
+        alone = joined.where(F.col("first").isNull()).drop("first").unionByName(
+            joined.where(F.col("key") == F.col("first")).drop("first").dropDuplicates(["x", "y"]))
+    total = int(marks.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0)
+    discard(marks)
+    return alone, several.select("x", "y", "first"), total
 
 
 def _anchor_hashes(rows: DataFrame, units: Units, window: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             h, k = [], []
-            for key, text in zip(b.column("key").to_pylist(), b.column("text").to_pylist()):
+            for x, text in zip(b.column("x").to_pylist(), b.column("text").to_pylist()):
                 u = units(text)[0]
                 if len(u) >= window:
                     g = np.unique(blocks(u, window, gram)[0])
                     h.append(g)
-                    k.append(np.full(len(g), key, np.int64))
+                    k.append(np.full(len(g), x, np.int64))
             if h:
-                yield pa.RecordBatch.from_pydict({"h": np.concatenate(h), "key": np.concatenate(k)})
-    return rows.select("key", "text").mapInArrow(run, "h long, key long")
+                yield pa.RecordBatch.from_pydict({"h": np.concatenate(h), "x": np.concatenate(k)})
+    return rows.select("x", "text").mapInArrow(run, "h long, x long")
 
 
 def _in_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of the anchors that two different documents have."""
-    parts = [(b.column("h").to_numpy(), b.column("key").to_numpy()) for b in batches]
+    """Rows of the anchors that two different texts have."""
+    parts = [(b.column("h").to_numpy(), b.column("x").to_numpy()) for b in batches]
     if not parts:
         return
-    h, key = (np.concatenate(x) for x in zip(*parts))
+    h, x = (np.concatenate(c) for c in zip(*parts))
     if not len(h):
         return
-    order = np.lexsort((key, h))
-    h, key = h[order], key[order]
+    order = np.lexsort((x, h))
+    h, x = h[order], x[order]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     last = np.r_[first[1:], len(h)] - 1
-    keep = np.repeat(key[first] != key[last], last - first + 1)
-    h, key = h[keep], key[keep]
+    keep = np.repeat(x[first] != x[last], last - first + 1)
+    h, x = h[keep], x[keep]
     for a in range(0, len(h), 1 << 16):
-        yield pa.RecordBatch.from_pydict({"h": h[a:a + (1 << 16)], "key": key[a:a + (1 << 16)]})
+        yield pa.RecordBatch.from_pydict({"h": h[a:a + (1 << 16)], "x": x[a:a + (1 << 16)]})
 
 
 def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,7 +102,7 @@ def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         raw = [t.encode("utf-8", "surrogatepass") for t in b.column("text").to_pylist()]
         yield pa.RecordBatch.from_pydict({
-            "key": b.column("key"), "tag": b.column("tag"), "size": pa.array([len(x) for x in raw], pa.int32()),
+            "key": b.column("key"), "x": b.column("x"), "y": b.column("y"), "size": pa.array([len(x) for x in raw], pa.int32()),
             "packed": pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in raw], pa.binary())})
 
 
@@ -103,9 +110,9 @@ def _blocks_of(units: Units, window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent: set = set()
         for b in batches:
-            found, text_of, keys, again = [], [], [], []
+            found, text_of, ids, again = [], [], [], []
             wanted = b.column("hs")
-            for i, (key, tag, size, packed) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "tag", "size", "packed")))):
+            for i, (key, x_, y_, size, packed) in enumerate(zip(*(b.column(c).to_pylist() for c in ("key", "x", "y", "size", "packed")))):
                 raw = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True)
                 u, cut = units(raw.decode("utf-8", "surrogatepass"))
                 g, f, s, n, o = blocks(u, window, gram)
@@ -128,11 +135,12 @@ def _blocks_of(units: Units, window: int, gram: int):
                             sent.clear()
                         sent.add(x)
                         text_of.append(cut(a, z))
-                found.append((g, f, (np.int64(tag) << 44) | (s << 12) | (n << 6) | o))
-                keys.append(np.full(len(g), key, np.int64))
+                found.append((g, f, (s << 12) | (n << 6) | o))
+                ids.append(np.tile(np.array([[key], [x_], [y_]], np.int64), len(g)))
             if found:
                 g, f, at = (np.concatenate(x) for x in zip(*found))
-                yield pa.RecordBatch.from_pydict({"h": g, "f": f, "key": np.concatenate(keys), "at": at,
+                key, x_, y_ = np.concatenate(ids, axis=1)
+                yield pa.RecordBatch.from_pydict({"h": g, "f": f, "key": key, "x": x_, "y": y_, "at": at,
                                                   "again": pa.array(again, pa.binary()), "block": pa.array(text_of, pa.binary())})
     return run
 
@@ -165,7 +173,7 @@ def _removed(table: pa.Table, window: int, thresholds: Thresholds) -> pa.RecordB
     many = np.array([len(x) // 4 for x in others]) + 1
     first = np.cumsum(many) - many
     places = np.empty(int(many.sum()), np.int64)
-    places[first] = (at >> 12) & 0xFFFFFFFF
+    places[first] = at >> 12
     rest = np.ones(len(places), bool)
     rest[first] = False
     places[rest] = np.frombuffer(b"".join(others), "<u4")
@@ -173,7 +181,8 @@ def _removed(table: pa.Table, window: int, thresholds: Thresholds) -> pa.RecordB
     nth = np.arange(len(each)) - np.repeat(np.cumsum(many[row]) - many[row], many[row])
     row, a, z = row[each], a[each], z[each]
     start = places[first[row] + nth]
-    return pa.RecordBatch.from_pydict({"key": key[row], "tag": (at[row] >> 44).astype(np.int32), "a": start + a, "z": start + z - 1 + window})
+    x, y = (table.column(c).to_numpy()[row] for c in ("x", "y"))
+    return pa.RecordBatch.from_pydict({"x": x, "y": y, "a": start + a, "z": start + z - 1 + window})
 
 
 def _judged(window: int, thresholds: Thresholds):
@@ -214,35 +223,38 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in b.column("spans"):
             v = x.values
             spans.append(np.stack(merged(v.field("a").to_numpy(), v.field("z").to_numpy()), 1).astype("<i8").tobytes())
-        yield pa.RecordBatch.from_pydict({"key": b.column("key"), "tag": b.column("tag"), "spans": pa.array(spans, pa.binary())})
+        yield pa.RecordBatch.from_pydict({"x": b.column("x"), "y": b.column("y"), "spans": pa.array(spans, pa.binary())})
 
 
 def spans(docs: DataFrame, units: Units, window: int, gram: int, thresholds: Thresholds) -> tuple[DataFrame, DataFrame]:
-    """``key, tag, spans`` of documents with repeated windows (int64 pairs, merged, in units), and
-    ``key, tag`` of whole copies."""
+    """``x, y, spans`` of the texts with repeated windows (int64 pairs, merged, in units), and
+    ``x, y, first`` of the texts that several rows have."""
     spark = docs.sparkSession
-    rows = keyed(docs)
-    same, total = copies(rows)
-    alone = rows.join(broadcast_within(same, 24), ["key", "tag"], "left_anti")
+    alone, same, total = copies(keyed(docs))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // TASK_BYTES)
-    shared = _anchor_hashes(alone, units, window, gram).repartition(parts, "h").mapInArrow(_in_two, "h long, key long")
-    wanted = shared.groupBy("key").agg(F.collect_list("h").alias("hs"))
-    texts = alone.where(F.octet_length("text") >= window).mapInArrow(_squeezed, "key long, tag int, size int, packed binary")
-    sent = texts.join(wanted, "key").select("key", "tag", "size", "packed", "hs").mapInArrow(
-        _blocks_of(units, window, gram), "h long, f long, key long, at long, again binary, block binary")
+    shared = _anchor_hashes(alone, units, window, gram).repartition(parts, "h").mapInArrow(_in_two, "h long, x long")
+    # A text's list is bounded by its own anchors; the shuffle of all anchors ends with this table.
+    wanted = stored(shared.groupBy("x").agg(F.collect_list("h").alias("hs")), "wanted")
+    texts = alone.where(F.octet_length("text") >= window).mapInArrow(_squeezed, "key long, x long, y long, size int, packed binary")
+    sent = texts.join(wanted, "x").select("key", "x", "y", "size", "packed", "hs").mapInArrow(
+        _blocks_of(units, window, gram), "h long, f long, key long, x long, y long, at long, again binary, block binary")
     gone = sent.repartition(parts, "h").sortWithinPartitions("h", "f", "key").mapInArrow(
-        _judged(window, thresholds), "key long, tag int, a long, z long")
-    found = gone.groupBy("key", "tag").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
-    return stored(found.mapInArrow(_merge, "key long, tag int, spans binary"), "spans"), same
+        _judged(window, thresholds), "x long, y long, a long, z long")
+    found = gone.groupBy("x", "y").agg(F.collect_list(F.struct("a", "z")).alias("spans"))
+    found = stored(found.mapInArrow(_merge, "x long, y long, spans binary"), "spans")
+    discard(wanted)
+    return found, same
 
 
 def with_spans(docs: DataFrame, found: DataFrame, same: DataFrame) -> DataFrame:
     """``docs`` with ``__spans`` (null: none) and ``__copy`` (null: no whole copy)."""
     size = found.agg(F.sum(F.octet_length("spans").cast("long") + 32)).first()[0] or 0
     found = F.broadcast(found) if size <= BROADCAST_BYTES else found
-    found = found.select(F.col("key").alias("__key"), F.col("tag").alias("__tag"), F.col("spans").alias("__spans"))
-    same = broadcast_within(same, 24).select(F.col("key").alias("__ckey"), F.col("tag").alias("__ctag"), F.lit(True).alias("__copy"))
-    key, tag = key_of(docs), tag_of(F.coalesce(docs["text"], F.lit("")))
-    out = docs.join(found, (key == found["__key"]) & (tag == found["__tag"]), "left")
-    out = out.join(same, (key == same["__ckey"]) & (tag == same["__ctag"]), "left")
-    return out.drop("__key", "__tag", "__ckey", "__ctag")
+    found = found.select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.col("spans").alias("__spans"))
+    same = broadcast_within(same, 24).select(F.col("x").alias("__cx"), F.col("y").alias("__cy"), F.col("first").alias("__first"))
+    x, y = text_hash(F.coalesce(docs["text"], F.lit("")))
+    rows = docs.withColumn("__hx", x).withColumn("__hy", y).withColumn("__key", key_of(docs))
+    out = rows.join(found, (rows["__hx"] == found["__x"]) & (rows["__hy"] == found["__y"]), "left")
+    out = out.join(same, (rows["__hx"] == same["__cx"]) & (rows["__hy"] == same["__cy"]), "left")
+    out = out.withColumn("__copy", F.when(F.col("__key") > F.col("__first"), True))
+    return out.drop("__x", "__y", "__cx", "__cy", "__hx", "__hy", "__key", "__first")

@@ -126,3 +126,28 @@ def test_documents_without_repeats(spark):
             want.append((i, kept))
     assert sorted(helpers.rows_of(out), key=repr) == sorted(want, key=repr)
     assert out.where("text is null").count() == 1           # a null text stays null
+
+
+def test_texts_that_share_an_id(spark):
+    """Hundreds of rows without id and with one id: each text loses its own bytes only."""
+    dice = random.Random(11)
+    vocabulary = ["".join(dice.choice("abcdefgh") for _ in range(dice.randint(2, 7))) for _ in range(300)]
+    prose = lambda n: " ".join(dice.choice(vocabulary) for _ in range(n))
+    a, passage = prose(90), prose(60)
+    rows = [(1, a), (2, prose(20) + " " + passage), (None, a), (None, a), (7, a), (7, a)]
+    rows += [(None, prose(80)) for _ in range(300)] + [(9, prose(70)) for _ in range(200)]
+    rows += [(None, prose(10) + " " + passage + " " + prose(k)) for k in range(1, 40)] + [(9, passage + " " + prose(k)) for k in range(1, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(map(tuple, suffix_dedup.removals(docs).collect()), key=repr)
+    assert got == plain_bytes(rows) and sum(r[2] > 0 for r in got) >= 80
+    assert sorted(map(tuple, seed_extend.removals(docs).collect()), key=repr) == plain_words(rows)
+
+
+def test_equal_short_hashes_do_not_mix_texts(spark, monkeypatch):
+    """Even if half of the hash of all texts were equal, the other half tells them apart."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(repeats, "text_hash", lambda text: [F.lit(5).cast("long").alias("x"), F.xxhash64(F.lit(1), text).alias("y")])
+    monkeypatch.setattr(repeats, "_in_two", lambda batches: batches)
+    rows = overlapping(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, suffix_dedup.removals(docs).collect()), key=repr) == plain_bytes(rows)
