@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framewright.llm.common import LAST_ID, WORDS, broadcast_within, stored
+from framewright.llm.common import LAST_ID, WORDS, broadcast_within, release, stored, stored_count, stored_since
 from framewright.llm.components import components
 from framewright.llm.fingerprints import shingle_hashes, word_hashes
 
@@ -49,12 +49,13 @@ def minwise(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def _set_id(s: np.ndarray) -> int:
-    return int.from_bytes(blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _set_name(s: np.ndarray) -> bytes:
+    """128 bits that name a set."""
+    return blake2b(s.tobytes(), digest_size=16).digest()
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """``key, text_hash, n_shingles, cls, sig``: cls names the set, null for an empty one."""
+    """``key, text_hash, n_shingles, name, sig``: name and sig are null for an empty set."""
     rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
 
@@ -63,9 +64,9 @@ def sketches(docs: DataFrame) -> DataFrame:
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({
                 "key": b.column("key"), "text_hash": b.column("text_hash"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                "cls": pa.array([_set_id(s) if len(s) else None for s in sets], pa.int64()),
+                "name": pa.array([_set_name(s) if len(s) else None for s in sets], pa.binary()),
                 "sig": pa.array([minwise(s).tobytes() if len(s) else None for s in sets], pa.binary())})
-    return rows.mapInArrow(run, "key long, text_hash long, n_shingles long, cls long, sig binary")
+    return rows.mapInArrow(run, "key long, text_hash long, n_shingles long, name binary, sig binary")
 
 
 def _branches(node: Column) -> Column:
@@ -197,16 +198,17 @@ def mixed_groups(nodes: DataFrame, roots: DataFrame, sigs: DataFrame) -> DataFra
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``cls, shingles`` of the classes ``key, cls`` wanted, from one document of each."""
+    """``cls, shingles`` of the classes ``key, name, cls`` wanted, from one document of each."""
     rows = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST_ID)).alias("key"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     some = rows.join(broadcast_within(wanted.select("key").distinct(), 16), "key")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"cls": pa.array([_set_id(s) for s in sets], pa.int64()),
+            yield pa.RecordBatch.from_pydict({"name": pa.array([_set_name(s) for s in sets], pa.binary()),
                                               "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
-    return some.select("text").mapInArrow(run, "cls long, shingles binary").dropDuplicates(["cls"])
+    sets = some.select("text").mapInArrow(run, "name binary, shingles binary")
+    return sets.join(broadcast_within(wanted.select("name", "cls"), 40), "name").select("cls", "shingles").dropDuplicates(["cls"])
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
@@ -228,25 +230,51 @@ def confirmed_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
+def group_links(cls: np.ndarray, root: np.ndarray, sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links between documents of different components: one for each pair of components that has any.
+
+    Documents are taken in order of size.  Each is held against all larger ones that its size allows in one
+    step: the shingles of the group are numbered once, and one gather over the others' numbers
+    counts what they share with it."""
+    size = np.array([len(x) for x in sets])
+    by = np.argsort(size, kind="stable")
+    cls, root, size = cls[by], root[by], size[by]
+    flat, numbers = np.unique(np.concatenate([sets[i] for i in by]), return_inverse=True)
+    begin = np.r_[0, np.cumsum(size)]
+    here = np.zeros(len(flat) + 1, bool)
+    # The last document that 100 * smaller >= percent * larger allows.
+    upto = np.searchsorted(size, size * 100 // percent, side="right")
+    top: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while top.get(v, v) != v:
+            top[v] = v = top.get(top[v], top[v])
+        return v
+    out = []
+    for i in range(len(cls) - 1):
+        if upto[i] <= i + 1:
+            continue
+        own = numbers[begin[i]:begin[i + 1]]
+        here[own] = True
+        a, z = begin[i + 1], begin[upto[i]]
+        both = np.add.reduceat(here[numbers[a:z]], begin[i + 1:upto[i]] - a, dtype=np.int64)
+        here[own] = False
+        others = slice(i + 1, upto[i])
+        hit = (100 * both >= percent * (size[i] + size[others] - both)) & (root[others] != root[i])
+        for j in (np.flatnonzero(hit) + i + 1).tolist():
+            x, y = find(int(root[i])), find(int(root[j]))
+            if x != y:
+                top[max(x, y)] = min(x, y)
+                out.append((int(cls[i]), int(cls[j])))
+    return out
+
+
 def confirmed_groups(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """Exhaustive search of the groups between components; a pair already joined is skipped."""
+    """Exhaustive search of the groups between components, on full sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in _by_group(batches, "grp"):
-            cls, top = t.column("cls").to_numpy(), {}
-            own = t.column("root").to_numpy().tolist()
             sets_ = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]
-
-            def find(v: int) -> int:
-                while top.get(v, v) != v:
-                    top[v] = v = top.get(top[v], top[v])
-                return v
-            out = []
-            for i in range(len(cls)):
-                for j in range(i):
-                    x, y = find(own[i]), find(own[j])
-                    if x != y and linked(sets_[i], sets_[j]):
-                        top[max(x, y)] = min(x, y)
-                        out.append((cls[i], cls[j]))
+            out = group_links(t.column("cls").to_numpy(), t.column("root").to_numpy(), sets_)
             if out:
                 a, b = zip(*out)
                 yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -259,30 +287,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A document without words is linked with nothing and kept.  Equal sets are linked.  Of repeated
     rows all are kept if one is.  An empty table gives no rows."""
+    mark = stored_count()
     rows = stored(sketches(docs), "sketches")
-    filled = rows.where(F.col("cls").isNotNull())
-    classes = stored(filled.groupBy("cls").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n")), "classes")
-    sigs = filled.select("cls", "key", "sig").join(broadcast_within(classes.select("cls", "key"), 24), ["cls", "key"])
+    filled = rows.where(F.col("name").isNotNull())
+    # Classes of equal sets are numbered once, in a table; the numbers stand for the 128-bit names from here on.
+    classes = filled.groupBy("name").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("n"))
+    classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "classes")
+    sigs = filled.select("name", "key", "sig").join(broadcast_within(classes.select("name", "key", "cls"), 56), ["name", "key"])
     sigs = stored(sigs.select("cls", "sig").dropDuplicates(["cls"]), "signatures")
     nodes = stored(tree_nodes(sigs), "nodes")
     pairs = stored(star_pairs(nodes, sigs), "star-pairs")
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    sets = stored(full_sets(docs, ends.join(classes, "cls").select("key", "cls")), "sets")
+    sets = stored(full_sets(docs, ends.join(classes, "cls").select("key", "name", "cls")), "sets")
     links = stored(confirmed_pairs(pairs, sets), "links")
     roots = stored(components(links), "roots")
     groups = stored(mixed_groups(nodes, roots, sigs), "groups")
-    more = full_sets(docs, groups.select("cls").distinct().join(classes, "cls").select("key", "cls"))
+    more = full_sets(docs, groups.select("cls").distinct().join(classes, "cls").select("key", "name", "cls"))
     links = links.unionByName(stored(confirmed_groups(groups, more), "links"))
     roots = components(links)
     joined = classes.join(roots, classes["cls"] == roots["vertex"], "left")
-    joined = stored(joined.select("cls", "key", "n", F.coalesce("root", "cls").alias("root"), F.col("root").isNotNull().alias("linked")), "classes")
+    joined = stored(joined.select("name", "key", "n", F.coalesce("root", "cls").alias("root"), F.col("root").isNotNull().alias("linked")), "classes")
     least = joined.where("linked").groupBy("root").agg(F.min("key").alias("component"))
-    groups_of = joined.where("linked").join(least, "root").select("cls", "component")
-    alone = joined.where("not linked and n > 1").select("cls", F.col("key").alias("component"))
+    groups_of = joined.where("linked").join(least, "root").select("name", "component")
+    alone = joined.where("not linked and n > 1").select("name", F.col("key").alias("component"))
     found = stored(groups_of.unionByName(alone), "components")
-    out = rows.drop("sig").join(broadcast_within(found, 24), "cls", "left")
+    out = rows.drop("sig").join(broadcast_within(found, 32), "name", "left")
     component = F.coalesce("component", "key")
-    return out.select("key", "text_hash", "n_shingles", component.alias("component"), (F.col("key") == component).alias("kept"))
+    out = out.select("key", "text_hash", "n_shingles", component.alias("component"), (F.col("key") == component).alias("kept"))
+    release(stored_since(mark), out)                # all but the tables that the result reads
+    return out
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:

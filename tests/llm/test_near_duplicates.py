@@ -3,7 +3,9 @@
 import random
 from math import ceil, comb
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framewright.llm import chosen_path as cp
 from framewright.llm.components import components
@@ -124,3 +126,60 @@ def test_components_of_paths_and_stars(spark):
     assert all(found[i] == 0 for i in range(61)) and all(found[1000 + i] == 1000 for i in range(50))
     assert found[3001] == found[3000] == 3000 and 2000 not in found
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_group_links_equal_all_pairs():
+    dice = np.random.default_rng(6)
+    base = dice.integers(0, 1 << 62, 200, dtype=np.uint64)
+    sets = []
+    for _ in range(120):
+        part = base[dice.random(200) < dice.choice([0.9, 0.97, 1.0])]
+        sets.append(np.unique(np.r_[part, dice.integers(0, 1 << 62, dice.integers(0, 30), dtype=np.uint64)]))
+    sets += [np.array([7], np.uint64), np.array([7, 8], np.uint64), sets[0]]
+    cls = np.arange(len(sets)) * 3 + 1
+    alone = cp.group_links(cls, cls, sets)
+
+    def joined(links):
+        top = {int(c): int(c) for c in cls}
+        for a, b in links:
+            a, b = top[a], top[b]
+            top = {k: min(a, b) if v in (a, b) else v for k, v in top.items()}
+        return top
+    hand = [(int(cls[i]), int(cls[j])) for i in range(len(sets)) for j in range(i) if cp.linked(sets[i], sets[j])]
+    assert hand and joined(alone) == joined(hand)
+    root = np.where(cls % 2 == 0, 0, 1)              # two components: one link between them is enough
+    assert len(cp.group_links(cls, root, sets)) == 1
+
+
+def test_trees_keep_the_links_of_a_large_group(spark, monkeypatch):
+    """2,000 near copies, whose nodes branch down to the fourth level: the pairs that are links share a node."""
+    dice = random.Random(12)
+    words = [f"w{i}" for i in range(260)]
+    rows = []
+    for i in range(2000):
+        own = list(words)
+        for k in dice.sample(range(260), dice.choice([1, 2, 3, 4])):
+            own[k] = f"x{dice.randint(0, 10 ** 6)}"
+        rows.append((i, " ".join(own)))
+    levels = []
+    keep = cp.stored
+    monkeypatch.setattr(cp, "stored", lambda df, purpose, *a: (levels.append(purpose), keep(df, purpose, *a))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sigs = keep(cp.sketches(docs).select(F.col("key").alias("cls"), "sig"), "test-signatures")
+    nodes = cp.tree_nodes(sigs).select("node", "cls").toPandas()
+    assert levels.count("paths") == cp.DEPTH
+    together = np.zeros((2000, 2000), bool)
+    for _, members in nodes.groupby("node")["cls"]:
+        m = members.to_numpy()
+        together[np.ix_(m, m)] = True
+    sets = [cp.shingle_set(t) for _, t in rows]
+    flat, numbers = np.unique(np.concatenate(sets), return_inverse=True)
+    holds = np.zeros((2000, len(flat)), np.float32)
+    holds[np.repeat(np.arange(2000), [len(s) for s in sets]), numbers] = 1
+    both = holds @ holds.T
+    size = np.array([len(s) for s in sets])
+    links = np.triu(100 * both >= 85 * (size[:, None] + size[None, :] - both), 1)
+    assert links.sum() > 10_000
+    recall = (links & together).sum() / links.sum()
+    print(f"recall of {links.sum()} links at four levels: {recall:.5f}")
+    assert recall >= 0.99
