@@ -139,10 +139,17 @@ def pivot(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence,
     return df.groupBy(*keys).pivot(pivot_col, list(values)).agg(agg)
 
 
-def values_of(df: DataFrame, column: str, given: Sequence | None = None) -> list:
+#: Values that a pivot may have as columns.
+MAX_VALUES = 10_000
+
+
+def values_of(df: DataFrame, column: str, given: Sequence | None = None, most: int = MAX_VALUES) -> list:
     """The distinct values of a pivot column in order, null first: they become column names, so
-    there are as many as the result is wide.  A caller's own list must not miss any of them."""
-    found = [r[0] for r in df.select(column).distinct().collect()]
+    there are as many as the result is wide.  A caller's own list must not miss any of them.  More than
+    ``most`` values raise; no more than that reach the driver."""
+    found = [r[0] for r in df.select(column).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values, too many to be columns")
     found.sort(key=lambda v: (v is not None, v))
     if given is None:
         return found

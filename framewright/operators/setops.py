@@ -1,8 +1,9 @@
-"""Set operations."""
+"""Set operations (U1), and intersections and differences of rows, distinct and with repeats."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame, by_name: bool = True) -> DataFrame:
@@ -12,3 +13,40 @@ def union_all(*frames: DataFrame, by_name: bool = True) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f) if by_name else out.union(f)
     return out
+
+
+#: Copies of a row made by one step of a replication.
+_COPIES = 1 << 16
+
+
+def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every different row with its number on either side, by one aggregate (columns by position; nulls
+    are equal)."""
+    if len(left.columns) != len(right.columns):
+        raise ValueError("set operations need equally many columns")
+    names = [f"__c{i}" for i in range(len(left.columns))]
+    a, b = (df.toDF(*names).select(*names, F.lit(x).alias("__l"), F.lit(1 - x).alias("__r")) for df, x in ((left, 1), (right, 0)))
+    return a.union(b).groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+
+
+def _copied(rows: DataFrame, n) -> DataFrame:
+    """Each row ``n`` times, in steps, so that no row becomes one long array."""
+    steps = rows.withColumn("__n", n).where("__n > 0").withColumn("__k", F.explode(F.sequence(F.lit(0), F.floor((F.col("__n") - 1) / _COPIES))))
+    size = F.least(F.lit(_COPIES), F.col("__n") - F.col("__k") * _COPIES)
+    return steps.withColumn("__j", F.explode(F.sequence(F.lit(1).cast("long"), size.cast("long"))))
+
+
+def _named(rows: DataFrame, left: DataFrame) -> DataFrame:
+    return rows.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(left.columns)])
+
+
+def intersect(left: DataFrame, right: DataFrame, all_: bool = False) -> DataFrame:
+    """Rows on both sides, once each; with ``all_`` as often as on the side that has fewer."""
+    rows = _counted(left, right)
+    return _named(_copied(rows, F.least("__l", "__r")) if all_ else rows.where("__l > 0 AND __r > 0"), left)
+
+
+def except_(left: DataFrame, right: DataFrame, all_: bool = False) -> DataFrame:
+    """Left rows that the right side does not have, once each; with ``all_`` as often as the left has more."""
+    rows = _counted(left, right)
+    return _named(_copied(rows, F.col("__l") - F.col("__r")) if all_ else rows.where("__l > 0 AND __r = 0"), left)
