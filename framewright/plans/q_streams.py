@@ -258,7 +258,7 @@ def stream_keyed_visits(spark, sf_dir):
 WITH part AS (SELECT event_id, event_type, ts, event_id % 3 AS part FROM events),
 judged AS (
   SELECT event_id, event_type, ts < (SELECT max(b.ts) FROM part b WHERE b.part < a.part) - INTERVAL 20 DAY AS late FROM part a)
-SELECT event_type, coalesce(late, false) AS late, count(*) AS n, sum(event_id) AS ids FROM judged GROUP BY 1, 2
+SELECT event_type, coalesce(late, false) AS late, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM judged GROUP BY 1, 2
 """)
 def stream_late_rows(spark, sf_dir):
     """Events in three batches that each span the whole time: rows over twenty days behind the greatest time of
