@@ -38,6 +38,6 @@ def register(name: str, oracle: str | None = None, covers: tuple[str, ...] = ())
 def load_all() -> dict[str, Query]:
     # Importing the modules fills the registry.
     from framewright.plans import (  # noqa: F401
-        q_relational, q_aggregates, q_scalars, q_nested, q_streams, q_features, q_formats, q_temporal,
+        q_relational, q_aggregates, q_scalars, q_nested, q_streams, q_features, q_formats, q_temporal, q_custom,
     )
     return REGISTRY

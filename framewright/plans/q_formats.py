@@ -1,4 +1,4 @@
-"""Queries over text formats: a table is written by the executors as CSV or JSON into the shared
+"""Queries over file formats: a table is written by the executors as CSV, JSON or ORC into the shared
 checkpoint folder and scanned back, so the work grows with the table."""
 
 from __future__ import annotations
@@ -82,3 +82,32 @@ def stream_csv_count(spark, sf_dir):
     path, schema = _orders_csv(spark, sf_dir)   # declared schema: no pass over the files infers it
     stream = file_stream(spark, path, "csv", schema, glob="*.csv", header=True)
     return run_to_table(stream.groupBy("o_orderstatus").count(), "complete", unique_name("stream_csv_count"), spark)
+
+
+@register("orc_scan_by_range", covers=("ORC scan",), oracle="""
+SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS quantity, min(CAST(l_shipdate AS DATE)) AS first_date,
+       max(CAST(l_shipdate AS DATE)) AS last_date
+FROM lineitem WHERE CAST(l_shipdate AS DATE) >= DATE '1995-03-01' AND CAST(l_shipdate AS DATE) < DATE '1995-06-01'
+GROUP BY l_returnflag
+""")
+def orc_scan_by_range(spark, sf_dir):
+    """One quarter of lineitem from ORC files that hold ranges of the ship date: the filter skips the others."""
+    out = shared_dir(spark, "lineitem-orc")
+    li = Tables(spark, sf_dir).lineitem.select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("ship_date"),
+                                               "l_returnflag", "l_quantity", "l_extendedprice")
+    files.write_orc(li, out, sort_by=["ship_date", "l_orderkey", "l_linenumber"])
+    df = files.read_orc(spark, out).where("ship_date >= DATE'1995-03-01' AND ship_date < DATE'1995-06-01'")
+    return df.groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"),
+                                          F.min("ship_date").alias("first_date"), F.max("ship_date").alias("last_date"))
+
+
+@register("orc_scan_by_partition", covers=("ORC scan",), oracle="""
+SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'click' AND user_id IN (3, 5, 8, 13, 21)
+""")
+def orc_scan_by_partition(spark, sf_dir):
+    """Clicks of some users from ORC files in folders by event type, with Bloom filters on the user."""
+    out = shared_dir(spark, "events-orc")
+    ev = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "event_type", "value")
+    files.write_orc(ev, out, sort_by=["ts", "event_id"], bloom=["user_id"], partition_by=["event_type"])
+    df = files.read_orc(spark, out).where((F.col("event_type") == "click") & F.col("user_id").isin(3, 5, 8, 13, 21))
+    return df.select("event_id", "user_id", "ts", "value")

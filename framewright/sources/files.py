@@ -66,3 +66,28 @@ def sql(spark: SparkSession, text: str, args: dict | None = None, **frames: Data
     if frames:
         return spark.sql(text, args, **frames)
     return spark.sql(text, args)
+
+
+def read_orc(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
+             merge_schemas: bool = False) -> DataFrame:
+    """ORC scan.  Filters reach the stripes and row groups (least and greatest values, Bloom filters), and
+    only the columns read are decoded.  With a declared ``schema`` columns are found by name and missing
+    ones are null; ``merge_schemas`` reads files that gained columns over time as one table."""
+    reader = spark.read.format("orc").option("mergeSchema", merge_schemas)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.load(path)
+
+
+def write_orc(df: DataFrame, path: str, sort_by: list[str] | None = None, bloom: list[str] | None = None,
+              partition_by: list[str] | None = None, mode: str = "overwrite", **options) -> None:
+    """ORC write that later filters can use: rows are dealt to files by ranges of ``sort_by`` and sorted within
+    them, so that each stripe holds a narrow range; ``bloom`` columns get Bloom filters for equality.
+
+    Give ``sort_by`` a last column that tells rows apart (an id) where its first one has very frequent
+    values: a range boundary may then fall inside such a value."""
+    if sort_by:
+        df = df.repartitionByRange(*sort_by).sortWithinPartitions(*(partition_by or []), *sort_by)
+    if bloom:
+        options = {"orc.bloom.filter.columns": ",".join(bloom), "orc.bloom.filter.fpp": 0.01} | options
+    write(df, path, "orc", mode, partition_by, **options)

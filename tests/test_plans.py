@@ -8,7 +8,8 @@ from framewright.plans.catalog import load_all
 from tests.conftest import SF01
 
 QUERIES = load_all()
-PYTHON_ALLOWED = {"udf_cube", "udf_cube_sql", "kmeans_cost"}
+PYTHON_ALLOWED = {"udf_cube", "udf_cube_sql", "kmeans_cost", "udaf_supplier_prices", "udaf_total_prices", "udtf_event_runs",
+                  "udtf_event_runs_sql"}
 BATCH = sorted(n for n in QUERIES if not n.startswith("stream_") and n not in PYTHON_ALLOWED)
 
 
