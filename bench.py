@@ -31,7 +31,7 @@ HEADLINE = [
     "count_distinct_parts",         # exact count distinct
     "approx_distinct_parts",        # approximate count distinct, error 0.1
     "top5_suppliers_by_quantity",   # the same top 5 with supplier names (join)
-    "ranked_purchases",             # the same ranks, skew-safe (slices of pre-aggregated counts)
+    "ranked_purchases",             # the same ranks, skew-safe (hot groups in slices of pre-aggregated counts)
     "join_full",
     "join_array_member",
     "two_sided_total",

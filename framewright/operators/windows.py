@@ -14,6 +14,9 @@ so the window runs over distinct values only and the per-row result is a join ba
 split once more: its values are dealt to ``SLICES`` slices in order of value, ranks are counted inside
 a slice and shifted by the totals of the slices before it.  ``ranked_report_window`` is the direct
 single-window form, used by tests as the reference semantics.
+
+Only groups of many rows need that: ``ranked_report(method="hot")`` finds them by a small aggregate, ranks
+them in slices, and gives all others to the direct form, one shuffle of the rows and one sort.
 """
 
 from __future__ import annotations
@@ -23,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from framewright.plans.broadcast import estimated_bytes
+
 
 def running_spec(keys: Sequence[str], order: str, descending: bool = True) -> WindowSpec:
     """Partition by keys, order (descending by default), rows from the start to the current row."""
@@ -106,9 +111,42 @@ def _from_slices(counts: DataFrame, keys: Sequence[str], value: str, names) -> D
                                           (F.col("__off_n") + F.col("__before") + 1).alias(names[2]))
 
 
+#: Rows from which a group is hot, and the most groups that are.  The list of hot groups is broadcast, so
+#: it is bounded by its length; a group that is not among the largest has at most rows / HOT_GROUPS rows.
+HOT_ROWS, HOT_GROUPS = 1_000_000, 10_000
+
+#: Buckets of groups that are counted first: one per HOT_ROWS bytes of the table, within these bounds.
+BUCKETS = (1 << 10, 1 << 20)
+
+
+def _hot_apart(df: DataFrame, keys: Sequence[str], value: str, names, hot_rows: int, hot_groups: int) -> DataFrame:
+    """Hot groups by slices, the others by one window over their rows.
+
+    Rows are first counted by a few hash buckets of their keys, which pre-aggregates to almost nothing; where no
+    bucket is full no group can be hot, else only the rows of full buckets are counted by group."""
+    buckets = min(max(estimated_bytes(df) // max(hot_rows, 1), BUCKETS[0]), BUCKETS[1])
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).alias("__b")
+    full = df.groupBy(bucket).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows).select("__b")
+    others = df
+    if not full.isEmpty():
+        some = df.select(*keys, bucket).join(F.broadcast(full), "__b", "left_semi")
+        sizes = some.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= hot_rows)
+        largest = sizes.orderBy(F.desc("__n"), *keys).limit(hot_groups)
+        hot = F.broadcast(largest.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)]))
+        cond = F.lit(True)
+        for i, k in enumerate(keys):
+            cond = cond & F.col(k).eqNullSafe(F.col(f"__h{i}"))
+        others = df.join(hot, cond, "left_anti")
+    ranked = ranked_report_window(others, keys, value, names).withColumns({n: F.col(n).cast("long") for n in names[1:]})
+    if others is df:
+        return ranked
+    return ranked.unionByName(ranked_report(df.join(hot, cond, "left_semi"), keys, value, names))
+
+
 def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
                   names: tuple[str, str, str] = ("max_value", "dense_rank", "rank"),
-                  method: str = "slices", partitions: int | None = None) -> DataFrame:
+                  method: str = "slices", partitions: int | None = None,
+                  hot_rows: int = HOT_ROWS, hot_groups: int = HOT_GROUPS) -> DataFrame:
     """W5, skew-safe form (see module notes); same rows and values as ``ranked_report_window``, with
     64-bit ranks.
 
@@ -116,8 +154,12 @@ def ranked_report(df: DataFrame, keys: Sequence[str], value: str,
     ranks the (group, value) counts with one window per group, for columns with few values;
     ``method="range"`` range-partitions the counts on (group, value), freezes each count's partition by
     a checkpoint in the shared folder, and shifts ranks by the totals of earlier partitions, for values
-    of any type and any distribution."""
+    of any type and any distribution; ``method="hot"`` does ``slices`` for the largest
+    ``hot_groups`` groups of ``hot_rows`` rows or more and one window for the rest; it counts rows by hash
+    bucket when called."""
     n = "__n"
+    if method == "hot":
+        return _hot_apart(df, keys, value, names, hot_rows, hot_groups)
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n))
     gcols = [F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)]
     if method == "slices":

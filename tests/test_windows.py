@@ -62,3 +62,16 @@ def test_slices_of_odd_values(spark):
     assert repr(_rows(windows.ranked_report(df, ["a"], "v"))) == repr(_rows(windows.ranked_report_window(df, ["a"], "v")))
     text = df.select("a", F.col("v").cast("string").alias("v"), "id")
     assert _rows(windows.ranked_report(text, ["a"], "v")) == _rows(windows.ranked_report_window(text, ["a"], "v"))
+
+
+def test_hot_groups_apart(spark):
+    """Hot groups (one of them with null keys) by slices, the others by the window; a bounded list of hot groups."""
+    rows = [("hot", 1, float(i % 97) if i % 11 else None, i) for i in range(900)] + [(None, None, float(i % 9), 2000 + i) for i in range(300)]
+    rows += [(f"g{i % 40}", i % 3, float(i % 5), 3000 + i) for i in range(600)] + [("nan", 0, float("nan"), 5000), ("nan", 0, None, 5001)]
+    df = spark.createDataFrame(rows, "a string, b int, v double, id long").repartition(5)
+    want = repr(_rows(windows.ranked_report_window(df, ["a", "b"], "v")))
+    for hot_rows, hot_groups in ((200, 10), (200, 1), (1, 10_000), (10_000, 10)):
+        got = windows.ranked_report(df, ["a", "b"], "v", method="hot", hot_rows=hot_rows, hot_groups=hot_groups)
+        assert dict(got.dtypes)["rank"] == dict(got.dtypes)["dense_rank"] == "bigint"
+        assert repr(_rows(got)) == want
+    assert windows.ranked_report(df.limit(0), ["a", "b"], "v", method="hot").count() == 0
