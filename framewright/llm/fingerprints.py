@@ -144,15 +144,18 @@ _TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.floa
 def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document, with its fingerprint, that of its edited text and both likenesses.
 
-    The next document has the next smaller id (null last, then by text); after the last comes the
-    first.  Texts are dealt once by ranges of the id.  Each task streams its range in order; the last
+    The next document has the next smaller id (null last, then by a hash of the text); after the last comes
+    the first.  Texts are dealt once by ranges of (id, text hash, row number), so that rows that share an id, or
+    have none, are split, and equal rows as well.  Each task streams its range in order; the last
     document of a range meets the first of the next range afterwards, one pair per range.  Null text:
     empty.  A lone document is its own next.  An empty table gives no rows."""
     spark = docs.sparkSession
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    order = [F.col("doc_id").desc_nulls_last(), "h", "nth"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Ranges are of the id alone: the driver samples their keys, and texts are no part of them.
-    ordered = texts(docs).repartitionByRange(parts, order[0]).sortWithinPartitions(*order)
+    # The driver samples the keys of the ranges; texts are no part of them.  Rows that tie in id and hash are
+    # equal, so a row number that comes out otherwise after a lost task changes no result.
+    rows = texts(docs).withColumn("h", F.xxhash64("text")).withColumn("nth", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "text")
     extra, types = ["part", "kind", "text"], [*_TYPES, pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framewright.llm import fingerprints as fp
 from tests.llm import helpers
@@ -21,10 +22,18 @@ def exact(a: str, b: str) -> float:
 
 
 def ordered(docs) -> list[tuple]:
-    return sorted(helpers.rows_of(docs), key=lambda r: (r[0] is None, 0 if r[0] is None else -r[0], r[1].encode()))
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()
+    return [(r.doc_id, r.text) for r in sorted(hashed, key=lambda r: (r.doc_id is None, 0 if r.doc_id is None else -r.doc_id, r.h))]
 
 
-@pytest.mark.parametrize("docs", [helpers.odd_docs, helpers.small_docs])
+def hot_docs(spark):
+    """A third of the rows without an id, a third with one id, equal rows among both."""
+    text = F.expr("concat_ws(' ', transform(sequence(1, 60), i -> concat('w', pmod(xxhash64(id, i), 500))))")
+    own = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id") + 100)
+    return spark.range(360).select(own.alias("doc_id"), F.when(F.col("id") % 12 < 2, F.repeat(F.lit("the same text of some words and "), 9)).otherwise(text).alias("text")).repartition(4)
+
+
+@pytest.mark.parametrize("docs", [helpers.odd_docs, helpers.small_docs, hot_docs])
 def test_rows_against_plain_python(spark, docs):
     docs = docs(spark)
     rows = ordered(docs)
@@ -67,3 +76,13 @@ def test_packing_and_empty_texts(spark):
     lone = spark.createDataFrame([(1, "only one text here of some words")], "doc_id long, text string")
     r = fp.fingerprints(lone).first()
     assert r.near_next == 1.0 and r.doc_id == 1
+
+
+def test_a_shared_id_is_split(spark):
+    """Rows of one id, and equal rows, reach more than one task: several ranges have a first row of that id."""
+    from framewright.llm import common
+    mark = common.stored_count()
+    assert fp.fingerprints(hot_docs(spark)).count() == 360
+    folder = next(f for f in common.stored_since(mark) if "fingerprints" in f)
+    heads = spark.read.parquet(folder).where("kind = 2")
+    assert heads.where("doc_id IS NULL").count() > 1 and heads.where("doc_id = 7").count() > 1
