@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from framewright.llm import (chosen_path, fingerprints, hard_negatives, mixing, packing, prefix_trie, quality_classifier, quality_rules, resharding,
                              seed_extend, sequence_files, suffix_dedup, token_counts)
 from framewright.llm.common import documents
+from framewright.session import shared_dir
 from framewright.sources.tables import load
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -43,7 +44,7 @@ def op5_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     old = F.pmod(F.crc32(F.encode(F.coalesce(docs["source"], F.lit("")), "UTF-8")), F.lit(OLD_SHARDS))
-    placed = resharding.reshard(docs, old, OLD_SHARDS, [1] * NEW_SHARDS)
+    placed = resharding.resharded(docs, old, OLD_SHARDS, [1] * NEW_SHARDS, shared_dir(spark, "reshard-shards"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
