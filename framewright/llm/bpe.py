@@ -11,20 +11,46 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 
 import tiktoken
 from tokenizers import Tokenizer
 
-# The pre-token pattern of byte-level BPE files with use_regex, for the settled letters
-# and numbers below.
-LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏΑ-ΡΣ-ώА-яぁ-ゖァ-ヺ一-龥가-힣"
-NUMBERS = "0-9²³¹¼-¾"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+"
+#: White space in the sense of Unicode.
+SPACES = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 
-#: Characters outside these long-settled ones send a text to the library as a whole.
-UNSETTLED = rf"[^\x09\x0A\x0D\x20-\x7E\u00A1-\u00AC\u00AE-\u00BF×÷‐-‧‰-⁞€{LETTERS}]"
+
+def _settled() -> dict[str, str]:
+    """Character classes: ``L`` letters, ``N`` numbers, ``O`` other characters than those and ``SPACES``.
+
+    A character of the first plane is settled if Unicode 3.2 and the present version put it into one class, so
+    that libraries with any version between them agree.  Blocks that only ever take symbols (currency signs,
+    flags, pictographs) are settled as a whole."""
+    space, runs = re.compile(f"[{SPACES}]"), {"L": [], "N": [], "O": [(0x20A0, 0x20CF), (0x1F1E6, 0x1F1FF), (0x1F300, 0x1FAFF)]}
+    last = None
+    for code in range(0x10000):
+        old, new = (c[0] if c[0] in "LN" else "" if c in ("Cn", "Cs", "Co") else "O"
+                    for c in (unicodedata.ucd_3_2_0.category(chr(code)), unicodedata.category(chr(code))))
+        kind = old if old == new and not space.match(chr(code)) else ""
+        if kind and kind == last:
+            runs[kind][-1] = (runs[kind][-1][0], code)
+        elif kind:
+            runs[kind].append((code, code))
+        last = kind
+    return {k: "".join(f"\\U{a:08X}-\\U{z:08X}" for a, z in v) for k, v in runs.items()}
+
+
+_CLASSES = _settled()
+LETTERS, NUMBERS = _CLASSES["L"], _CLASSES["N"]
+
+# The pre-token pattern of byte-level BPE files with use_regex, for settled characters.
+PATTERN = (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+"
+           rf"|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+
+#: Characters outside the settled ones send a text to the library as a whole.
+UNSETTLED = rf"[^{SPACES}{LETTERS}{NUMBERS}{_CLASSES['O']}]"
 
 #: Longer texts are matched piecewise, so that their pre-tokens are never all in memory.
 LONG = 1 << 22
@@ -87,6 +113,7 @@ class PreTokens:
         if len(text) <= LONG and not (self.cut and self.cut.search(text)):
             return (self.pattern.findall(text),)
         return self._runs(text)
+
     def _runs(self, text: str) -> Iterator[list[str]]:
         parts = self.cut.split(text) if self.cut else [text]
         for i, part in enumerate(parts):
