@@ -3,25 +3,26 @@
 * Indexing and encoding fit on the training rows only; unseen categories at transform time
   get their own index (``handleInvalid="keep"``).
 * The clustering cost of any frame is a distributed aggregate: each row's squared distance to
-  its assigned centre, summed.  The centres (``k`` rows, a known bound) are broadcast; the
-  distance is computed with array higher-order functions, so no Python runs per row.
+  its assigned centre, summed.  The centres (``k`` rows, a known bound) go along with the tasks; the
+  distances are computed over Arrow batches, and no row is shuffled for them.
+* A fit keeps its training rows as blocks (matrices), a fraction of the size of one vector object per row,
+  so what is worth caching before it is the plain columns that the features are made from.
 * The reference shrinks its input to five partitions before fitting; at scale that would remove
   the parallelism, so ``prepare`` leaves partitioning alone unless asked.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
-
-from framewright.plans.broadcast import broadcast_within
 
 
 def prepare(df: DataFrame, ts: str, day_name: str = "day_of_week", fill=0,
@@ -54,15 +55,23 @@ def cached_for_iterations(df: DataFrame) -> DataFrame:
 
 
 def fit_kmeans(features: DataFrame, k: int = 20, seed: int = 1, column: str = "features") -> KMeansModel:
-    """M6."""
-    return KMeans(k=k, seed=seed, featuresCol=column).fit(features)
+    """M6.  The solver keeps the rows as blocks itself, so ``features`` needs no cache of its own."""
+    return KMeans(k=k, seed=seed, featuresCol=column, solver="block").fit(features)
+
 
+def _summed(rows: DataFrame, width: int, distances: Callable[[pa.RecordBatch, np.ndarray], np.ndarray]) -> DataFrame:
+    """``cost``: the sum of ``distances`` over all batches, given the vectors ``__x`` as the columns of a matrix of ``width``
+    rows; one number per task is added up."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = 0.0, False
+        for batch in batches:
+            if batch.num_rows:
+                x = np.ascontiguousarray(batch.column("__x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width).T)
+                total, seen = total + float(distances(batch, x).sum()), True
+        if seen:
+            yield pa.RecordBatch.from_pydict({"cost": [total]})
 
-def centres_frame(spark: SparkSession, model: KMeansModel) -> DataFrame:
-    schema = StructType([StructField("__cluster", IntegerType(), False),
-                         StructField("__centre", ArrayType(DoubleType()), False)])
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    return broadcast_within(spark.createDataFrame(rows, schema))
+    return rows.where("__x IS NOT NULL").mapInArrow(run, "cost double").agg(F.sum("cost").alias("cost"))
 
 
 def clustering_cost(spark: SparkSession, model: KMeansModel, features: DataFrame,
@@ -71,17 +80,19 @@ def clustering_cost(spark: SparkSession, model: KMeansModel, features: DataFrame
     (the training cost when ``features`` is the training set)."""
     scored = model.transform(features).select(vector_to_array(F.col(column)).alias("__x"),
                                               F.col(model.getPredictionCol()).alias("__p"))
-    centres = centres_frame(spark, model)
-    joined = scored.join(centres, scored["__p"] == centres["__cluster"])
-    sq = F.aggregate(F.zip_with("__x", "__centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                     lambda acc, v: acc + v)
-    return joined.agg(F.sum(sq).alias("cost"))
+    centres = np.array(model.clusterCenters())
+
+    def to_own(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+        return ((x - centres.T[:, batch.column("__p").to_numpy()]) ** 2).sum(axis=0)
+
+    return _summed(scored, centres.shape[1], to_own)
 
 
 def nearest_cost(spark: SparkSession, model: KMeansModel, features: DataFrame, column: str = "features") -> DataFrame:
     """The same cost by searching all ``k`` centres (a parameter, so few) for every row."""
-    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-    x = features.select(vector_to_array(F.col(column)).alias("__x"))
-    each = F.transform(centres, lambda c: F.aggregate(F.zip_with("__x", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                                                      lambda acc, v: acc + v))
-    return x.agg(F.sum(F.array_min(each)).alias("cost"))
+    centres = np.array(model.clusterCenters())
+
+    def to_nearest(batch: pa.RecordBatch, x: np.ndarray) -> np.ndarray:
+        return np.min([((x - c[:, None]) ** 2).sum(axis=0) for c in centres], axis=0)
+
+    return _summed(features.select(vector_to_array(F.col(column)).alias("__x")), centres.shape[1], to_nearest)

@@ -37,17 +37,18 @@ def kmeans_cost(spark, sf_dir):
     splits by weekday, the weekday's index, and whether the costs equal those of a brute-force search of
     the nearest of the same centres for every row."""
     prepped = features.prepare(retail_lines(spark, sf_dir), "invoice_date")
-    train, test = time_split(prepped, "invoice_date", "2000-01-01")
-    stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
-    train_f = features.cached_for_iterations(stages.transform(train).select("features"))      # KMeans iterates
+    held = features.cached_for_iterations(prepped)      # joined once, in plain columns: the fits and the costs read it many times
     try:
+        train, test = time_split(held, "invoice_date", "2000-01-01")
+        stages = features.fit_features(train, ["unit_price", "quantity"], "day_of_week")
+        train_f = stages.transform(train).select("features")
         model = features.fit_kmeans(train_f, k=20, seed=1)
         agrees = []
         for rows in (train_f, stages.transform(test).select("features")):
             cost, brute = (f(spark, model, rows).first()["cost"] for f in (features.clustering_cost, features.nearest_cost))
             agrees.append(abs((cost or 0.0) - (brute or 0.0)) <= 1e-9 * max(cost or 0.0, 1.0))
     finally:
-        train_f.unpersist()
+        held.unpersist()
     later = F.col("invoice_date") >= F.to_date(F.lit("2000-01-01"))
     days = prepped.groupBy("day_of_week").agg(F.count(F.when(~later, 1)).alias("n_train"), F.count(F.when(later, 1)).alias("n_test"))
     index = stages.stages[0].transform(days.select("day_of_week")).select("day_of_week", F.col("day_of_week_index").cast("long").alias("day_index"))

@@ -31,3 +31,29 @@ def test_cost_falls_with_k(spark):
     small = features.clustering_cost(spark, features.fit_kmeans(train, k=2, seed=1), train).first().cost
     large = features.clustering_cost(spark, features.fit_kmeans(train, k=20, seed=1), train).first().cost
     assert large < small
+
+
+def test_costs_move_no_rows_and_interpret_no_lambdas(spark):
+    train, test = _prepared(spark)
+    model = features.fit_kmeans(train, k=3, seed=1)
+    frames = [f(spark, model, test) for f in (features.clustering_cost, features.nearest_cost)]
+    whole = model.summary.trainingCost
+    for cost, f in zip(frames, (features.clustering_cost, features.nearest_cost), strict=True):
+        plan = cost._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambdafunction" not in plan and plan.split("MapInArrow")[0].count("Join") == 0
+        assert plan.count("Join") == 1                                  # lines and orders, none with the centres
+        assert abs(f(spark, model, train).first().cost - whole) <= 1e-6 * whole
+        assert f(spark, model, test.limit(0)).first().cost is None
+
+
+def test_kmeans_cost_joins_its_lines_once_for_fit_and_costs(spark, monkeypatch):
+    from framewright.plans import q_features
+    seen = []
+    fit = features.fit_features
+    monkeypatch.setattr(features, "fit_features", lambda train, *a: seen.append(train) or fit(train, *a))
+    real = features.cached_for_iterations
+    monkeypatch.setattr(features, "cached_for_iterations", lambda df: seen.append(df) or real(df))
+    q_features.kmeans_cost(spark, SF001)
+    held, train = seen                                                  # held before the first fit, and the fit reads it
+    assert held.columns == ["unit_price", "quantity", "invoice_date", "day_of_week"] and train.columns == held.columns
+    assert not held.is_cached
