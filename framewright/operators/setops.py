@@ -20,13 +20,18 @@ _COPIES = 1 << 16
 
 
 def _counted(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Every different row with its number on either side, by one aggregate (columns by position; nulls
-    are equal)."""
+    """Every different row ``__row`` with its number on either side, by one aggregate (columns by position;
+    nulls are equal).
+
+    The key is one struct, which no result has as a column: results of several operations on the same
+    sides, which share the shuffle of this aggregate, are then united task beside task.  With the columns as keys
+    Spark unites them partition by partition, so that one task reads the shuffle once for each operation."""
     if len(left.columns) != len(right.columns):
         raise ValueError("set operations need equally many columns")
     names = [f"__c{i}" for i in range(len(left.columns))]
     a, b = (df.toDF(*names).select(*names, F.lit(x).alias("__l"), F.lit(1 - x).alias("__r")) for df, x in ((left, 1), (right, 0)))
-    return a.union(b).groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    rows = a.union(b).select(F.struct(*names).alias("__row"), "__l", "__r")
+    return rows.groupBy("__row").agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
 
 
 def _copied(rows: DataFrame, n) -> DataFrame:
@@ -37,7 +42,7 @@ def _copied(rows: DataFrame, n) -> DataFrame:
 
 
 def _named(rows: DataFrame, left: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(left.columns)])
+    return rows.select(*[F.col("__row")[f"__c{i}"].alias(c) for i, c in enumerate(left.columns)])
 
 
 def intersect(left: DataFrame, right: DataFrame, all_: bool = False) -> DataFrame:

@@ -72,6 +72,27 @@ def test_set_operations_with_nulls_repeats_and_a_hot_row(spark, monkeypatch):
         setops.intersect(left, right.select("name"))
 
 
+def test_united_set_operations_are_read_by_separate_tasks(spark):
+    """Operations that share one shuffle: a task of their union reads a part of it for one operation, not for all of them."""
+    left, right = spark.range(500).selectExpr("id % 90 AS n", "id % 2 AS m"), spark.range(300).selectExpr("id % 120 AS n", "id % 2 AS m")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ops = [f(left, right, all_) for f in (setops.intersect, setops.except_) for all_ in (False, True)]
+        assert setops.union_all(*ops).rdd.getNumPartitions() == sum(op.rdd.getNumPartitions() for op in ops) == 4 * 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_set_operations_on_floats_and_nested_rows(spark):
+    """0.0 and -0.0 are equal and so are NaNs, within a struct too; columns of one name stay apart."""
+    left = spark.createDataFrame([(0.0, (1, "a")), (float("nan"), None), (2.0, (1, None))], "x double, s struct<i:int,t:string>")
+    right = spark.createDataFrame([(-0.0, (1, "a")), (float("nan"), None), (2.0, (2, None))], "x double, s struct<i:int,t:string>")
+    assert sorted(str(r.x) for r in setops.intersect(left, right).collect()) == ["0.0", "nan"]
+    assert _rows(setops.except_(left, right, True)) == [(2.0, (1, None))]
+    twice = left.select("x", "x").where("x = 2")
+    assert setops.intersect(twice, twice, True).columns == ["x", "x"] and setops.intersect(twice, twice, True).count() == 1
+
+
 def test_pivot_values_are_bounded(spark):
     df = spark.range(50).withColumn("p", F.col("id") % 7)
     assert aggregate.values_of(df, "p", most=7) == list(range(7))
