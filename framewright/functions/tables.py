@@ -3,8 +3,9 @@
 ``value_runs`` finds the runs of equal values along a time column.  The function itself sees one
 partition of the table argument, in order, batch by batch, and keeps one open run.  So that a key with a
 third of all rows is read by many tasks, the time axis is cut into slices, each slice of a key is a
-partition of its own, and the runs at the edges of slices (two rows per key and slice) are joined
-afterwards.
+group of its own, and the runs at the edges of slices (two rows per key and slice) are joined
+afterwards.  A partition holds many groups, one after the other: there may be as many groups as rows, and
+each partition costs a call of the function and some small batches.
 """
 
 from __future__ import annotations
@@ -21,50 +22,69 @@ from pyspark.sql.types import LongType, StructField, StructType
 from framewright.operators.temporal import length, place
 
 
+#: Partitions of the table argument, each with the groups (a slice of a key) of one hash.
+BUCKETS = 4096
+
+
 def runs_function(table: StructType, keys: Sequence[str], time: str, value: str):
-    """The table function for tables of this schema, partitioned by ``keys`` and ordered by ``time, value``.
+    """The table function for tables of this schema, ordered by ``keys, time, value`` or partitioned by ``keys`` and
+    ordered by the others; all rows of a key are in one partition.
 
     Gives one row per run: the keys, the value, ``first`` and ``last`` time, ``n`` rows, ``nth`` (from 0, within
-    the partition) and ``left`` (runs of the partition after it: 0 for the last one, else 1)."""
+    the key) and ``left`` (runs of the key after it: 0 for the last one, else 1)."""
     out = StructType([*(table[k] for k in keys), table[value], StructField("first", table[time].dataType),
                       StructField("last", table[time].dataType), *(StructField(x, LongType()) for x in ("n", "nth", "left"))])
     schema, names = to_arrow_schema(out), list(keys)
 
+    def changed(column: pa.Array) -> np.ndarray:
+        """Whether a value differs from the one before it (the first one: no); nulls are equal, and so are NaNs, 0.0 and -0.0."""
+        if pa.types.is_floating(column.type):
+            x, null = column.to_numpy(zero_copy_only=False), column.is_null().to_numpy(zero_copy_only=False)
+            same = ((x[1:] == x[:-1]) | (np.isnan(x[1:]) & np.isnan(x[:-1]))) & (null[1:] == null[:-1])
+        elif pa.types.is_nested(column.type):
+            x = column.to_pylist()
+            same = np.array([y == z for y, z in zip(x[1:], x)], dtype=bool)
+        else:
+            code = column.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+            same = code[1:] == code[:-1]
+        return np.r_[False, ~same]
+
     class Runs:
         def __init__(self):
-            self.open, self.nth = None, 0
+            self.open = None
 
-        def _closed(self, rows: dict, left: int) -> pa.Table:
-            n = len(rows["n"])
-            rows |= {"nth": np.arange(self.nth, self.nth + n), "left": np.full(n, left)}
-            self.nth += n
+        def _closed(self, rows: dict, left: np.ndarray) -> pa.Table:
+            rows = {**rows, "left": left}
             return pa.table([pa.array(c) if isinstance(c, np.ndarray) else c for c in rows.values()],
                             names=schema.names).cast(schema)
 
         def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
             if not batch.num_rows:
                 return
-            v = batch.column(value)
-            code = v.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False)
-            start = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
-            end = np.r_[start[1:], batch.num_rows] - 1
             t = batch.column(time)
-            found = {k: batch.column(k).take(pa.array(start)) for k in names}
-            found |= {value: v.take(pa.array(start)), "first": t.take(pa.array(start)), "last": t.take(pa.array(end)), "n": end - start + 1}
-            if self.open is not None:
-                if self.open[value][0].as_py() == v[0].as_py():
-                    found["first"] = pa.concat_arrays([self.open["first"], found["first"].slice(1)])
-                    found["n"][0] += self.open["n"][0]
-                else:
-                    yield self._closed(self.open, 1)
+            rows = {k: batch.column(k) for k in [*names, value]} | {"first": t, "last": t}
+            count, nth = np.ones(batch.num_rows, dtype=np.int64), 0
+            if self.open is not None:                       # the open run goes on as the first row
+                rows = {k: pa.concat_arrays([self.open[k], c]) for k, c in rows.items()}
+                count, nth = np.r_[self.open["n"], count], self.open["nth"][0]
+            other = np.zeros(len(count), dtype=bool)
+            for k in names:
+                other |= changed(rows[k])
+            new = other | changed(rows[value])
+            new[0] = True
+            start = np.flatnonzero(new)
+            at, other = np.arange(len(start)), other[start]
+            end, before = np.r_[start[1:], len(count)] - 1, np.maximum.accumulate(np.where(other, at, -1))
+            found = {k: c.take(pa.array(end if k == "last" else start)) for k, c in rows.items()}
+            found |= {"n": np.add.reduceat(count, start), "nth": np.where(before < 0, nth + at, at - before)}
             cut = len(start) - 1
             if cut:
-                yield self._closed({k: c[:cut] for k, c in found.items()}, 1)
+                yield self._closed({k: c[:cut] for k, c in found.items()}, np.where(other[1:], 0, 1))
             self.open = {k: c[cut:] for k, c in found.items()}
 
         def terminate(self) -> Iterator[pa.Table]:
             if self.open is not None:
-                yield self._closed(self.open, 0)
+                yield self._closed(self.open, np.zeros(1, dtype=np.int64))
 
     return F.arrow_udtf(Runs, returnType=out)
 
@@ -86,7 +106,8 @@ def value_runs(df: DataFrame, keys: Sequence[str], time: str, value: str, width:
     rows = df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, kept)], F.floor(place(df, time) / length(df, time, width)).alias("__slice"),
                      F.col(f"`{time}`").alias("__t"), F.col(f"`{value}`").alias("__v"))
     parts = [*kept, "__slice"]
-    cut = rows.asTable().partitionBy(*parts).orderBy("__t", "__v")
+    rows = rows.withColumn("__bucket", F.pmod(F.xxhash64(*parts), F.lit(BUCKETS)).cast("int"))
+    cut = rows.asTable().partitionBy("__bucket").orderBy(*parts, "__t", "__v")
     runs = runs_function(rows.schema, parts, "__t", "__v")(cut)
     edge = (F.col("nth") == 0) | (F.col("left") == 0)
     along = Window.partitionBy(*kept).orderBy("__slice", "nth")

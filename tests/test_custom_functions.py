@@ -153,3 +153,27 @@ def test_runs_without_rows_keys_or_sql_names(spark):
     name = register_runs(spark, "runs_of_five", keyed, ["k"], "t", "v")
     got = spark.sql(f"SELECT v, first, last, n FROM {name}(TABLE(SELECT * FROM {{rows}}) PARTITION BY k ORDER BY (t, v))", rows=keyed)
     assert sorted(map(tuple, got.collect()), key=str) == [(5, 1, 2, 2), (5, 5, 5, 1), (None, 3, 4, 2)]
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_runs_of_many_keys_share_a_partition(spark, small_batches, monkeypatch, buckets):
+    """Far more slices of keys than partitions of the table argument; batches end inside and between keys."""
+    from framewright.functions import tables
+    monkeypatch.setattr(tables, "BUCKETS", buckets)
+    dice, start = random.Random(8), datetime(2024, 1, 1)
+    rows = [(dice.choice([None, *map(str, range(90))]), None if dice.random() < 0.05 else start + timedelta(minutes=dice.randint(0, 700)),
+             dice.choice(["x", "x", "y", None])) for _ in range(600)]
+    rows += [("hot", start + timedelta(minutes=i), "xxxxy"[i % 5]) for i in range(60)]
+    got = value_runs(spark.createDataFrame(rows, "k string, t timestamp_ntz, v string").repartition(4), ["k"], "t", "v", "3 hours")
+    assert sorted(map(tuple, got.collect()), key=lambda r: ((r[0] is not None, r[0] or ""), repr(tuple(r)))) == _runs(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    argument = plan[plan.index("ArrowEvalPythonUDTF"):].split("Exchange hashpartitioning(", 1)[1]
+    assert "__k0" not in argument.split("),", 1)[0]
+
+
+def test_runs_of_floats_and_nested_keys(spark, small_batches):
+    """Within a run NaNs are equal and so are 0.0 and -0.0, at ends of batches too; keys may be structs."""
+    values = [float("nan")] * 20 + [0.0, -0.0] * 10 + [None] * 9 + [float("nan")]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "t long, v double")
+    got = value_runs(df.withColumn("k", F.struct(F.lit(1).alias("a"), F.lit(None).cast("string").alias("b"))), ["k"], "t", "v", 1000)
+    assert sorted((r.run_start, r.run_end, r.n_rows) for r in got.collect()) == [(0, 19, 20), (20, 39, 20), (40, 48, 9), (49, 49, 1)]
